@@ -177,5 +177,18 @@ def map_texts(docs: DataFrame, fields: list[tuple[str, T.DataType]], make: Calla
     return own.mapInArrow(run, schema)
 
 
+def text_udf(make: Callable[[], Callable], kind: str | T.DataType):
+    """A column function of a text column. make() runs once in each task and returns f(texts), which gets a bounded run
+    of texts and returns a value for each."""
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        f = make()
+        for texts in columns:
+            parts = [f(piece.column(0)) for piece in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), 0)]
+            yield pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in parts]) if parts else texts.slice(0, 0)
+
+    return F.arrow_udf(run, kind)
+
+
 def id_type(docs: DataFrame, id_col: str) -> T.DataType:
     return docs.schema[id_col].dataType
