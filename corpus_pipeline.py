@@ -1,15 +1,52 @@
-"""A training-corpus pipeline of five of the operators."""
+"""A training-corpus pipeline of five of the operators, each stage over all that the one before kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from lamina.llm import bpe, decontaminate, secrets, simhash, toxicity
+from lamina.llm.queries import table, vocabulary_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine rejects go."""
+    return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one of the smallest id."""
+    return simhash.keep_first(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced."""
+    return secrets.redact(docs)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and the text that they decode to."""
+    return bpe.encode(docs, vocabulary_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
+    ("bpe", encode_tokens),
+]
+
+#: The stages are models, fingerprints and a tokenizer, which SQL can't express; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
