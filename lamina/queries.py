@@ -1,11 +1,334 @@
-"""Queries that exercise the library's operators on the driver's tables, each with its SQL for an oracle."""
+"""Queries that exercise the library's operators on the driver's tables, each with its SQL for an oracle.
+
+The tables hold no contract data, so each query dresses one of them up as what the operator works on.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina.functions.values import bigint, blank_to_null, date, days_between, is_blank, numeric, timestamp, yes_no
+from lamina.operators.amendments import fold, kind_of, settle_undescribed
+from lamina.operators.elements import elements
+from lamina.operators.ids import numbered
+from lamina.operators.latest import distinct_content, latest_by, new_content, newest, newest_dated, upsert
+from lamina.operators.model import latest_in_model, project_model, union_tagged
+from lamina.operators.pairing import Pairing, pair
+from lamina.operators.scope import scoped
+from lamina.operators.transport import transport_rates
+from lamina.session import reach
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        def reached(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(reach(spark), sf_dir)
 
-def queries() -> dict:
-    return {}
+        _QUERIES[f.__name__], _SQL[f.__name__] = reached, sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS ship_date, CAST(l_quantity AS BIGINT) AS quantity
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS FIRST, l_partkey DESC NULLS FIRST, l_suppkey DESC NULLS FIRST, l_quantity DESC NULLS FIRST) AS rn FROM lineitem)
+    WHERE rn = 1
+""")
+def latest_wins(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    last = latest_by(rows, ["l_orderkey", "l_linenumber"], [newest(c) for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity")])
+    return last.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("ship_date"), F.col("l_quantity").cast("long").alias("quantity"))
+
+
+@query("""
+    SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS order_date
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn FROM orders) WHERE rn = 1
+""")
+def latest_dated(spark, sf_dir):
+    last = latest_by(table(spark, sf_dir, "orders"), ["o_custkey"], [newest_dated("o_orderdate"), newest_dated("o_orderkey")])
+    return last.select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+
+
+@query("SELECT min(doc_id) AS doc_id, md5(text) AS hash_key FROM documents GROUP BY md5(text)")
+def content_hash_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("hash_key"))
+    return distinct_content(docs, order=[F.col("doc_id").asc()])
+
+
+@query("""
+    SELECT min(doc_id) AS doc_id, md5(text) AS hash_key FROM documents
+    WHERE doc_id % 2 = 1 AND md5(text) NOT IN (SELECT md5(text) FROM documents WHERE doc_id % 2 = 0) GROUP BY md5(text)
+""")
+def hash_append_delta(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("hash_key"))
+    return new_content(docs.filter("doc_id % 2 = 1"), docs.filter("doc_id % 2 = 0"), order=[F.col("doc_id").asc()])
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderstatus END AS state FROM orders")
+def keyed_upsert(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("state"))
+    return upsert(orders, orders.filter("o_orderkey % 3 = 0").withColumn("state", F.lit("new")).select("o_orderkey", "state"), ["o_orderkey"])
+
+
+@query("SELECT conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations")
+def json_element_explode(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    packed = turns.groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(F.struct("turn", "role", "text")).alias("turns"))).alias("raw_payload"))
+    return elements(packed, "turns", ["turn", "role", "text"], carry=["conv_id"]).select("conv_id", "turn", "role", "text")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_scalar(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+_DESCRIBED = """
+    SELECT event_id, user_id, ts, CAST(round(value * 100) AS BIGINT) AS cents, event_type,
+        CASE event_type WHEN 'purchase' THEN 'All Data' WHEN 'view' THEN ' changes only ' WHEN 'signup' THEN 'New' WHEN 'click' THEN 'Not an amendment' END AS description
+    FROM events
+"""
+_KINDS = f"""
+    SELECT *, CASE WHEN lower(trim(description)) IN ('all data', 'alldata', 'all') THEN 'ALL_DATA' WHEN lower(trim(description)) IN ('changes only', 'changesonly', 'changes') THEN 'CHANGES_ONLY'
+        WHEN lower(trim(description)) = 'new' THEN 'NEW' WHEN description IS NULL OR trim(description) = '' THEN 'NULL_DESC' ELSE 'UNKNOWN' END AS kind
+    FROM ({_DESCRIBED})
+"""
+_SETTLED = f"""
+    SELECT * EXCLUDE (kind), CASE WHEN kind = 'NULL_DESC' AND sum(CASE WHEN kind = 'NULL_DESC' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) > 2
+            AND sum(CASE WHEN kind = 'NULL_DESC' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 1 THEN 'ALL_DATA'
+        WHEN kind = 'NULL_DESC' THEN 'NEW' ELSE kind END AS kind
+    FROM ({_KINDS})
+"""
+
+
+def described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    what = F.col("event_type")
+    text = F.when(what == "purchase", "All Data").when(what == "view", " changes only ").when(what == "signup", "New").when(what == "click", "Not an amendment")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"), "event_type", text.alias("description"))
+
+
+@query(f"SELECT user_id, kind, count(*) AS n FROM ({_KINDS}) GROUP BY user_id, kind")
+def amend_classify(spark, sf_dir):
+    return described(spark, sf_dir).withColumn("kind", kind_of("description")).groupBy("user_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT event_id, user_id, kind FROM ({_SETTLED})")
+def null_descriptor_rule(spark, sf_dir):
+    rows = described(spark, sf_dir).withColumn("kind", kind_of("description"))
+    return settle_undescribed(rows, ["user_id"], [F.col("ts").asc_nulls_last(), F.col("event_id").asc()]).select("event_id", "user_id", "kind")
+
+
+@query(f"""
+    WITH settled AS ({_SETTLED}), based AS (SELECT *, max(CASE WHEN kind IN ('NEW', 'ALL_DATA') THEN ts END) OVER (PARTITION BY user_id) AS base FROM settled),
+    kept AS (SELECT * FROM based WHERE base IS NULL OR ts >= base)
+    SELECT user_id, (SELECT cents FROM kept k WHERE k.user_id = g.user_id AND k.event_type <> 'click' ORDER BY ts DESC, event_id DESC LIMIT 1) AS cents,
+        (SELECT event_id FROM kept k WHERE k.user_id = g.user_id ORDER BY ts DESC, event_id DESC LIMIT 1) AS last_event,
+        (SELECT kind FROM kept k WHERE k.user_id = g.user_id ORDER BY ts DESC, event_id DESC LIMIT 1) AS amend_kind, CAST(count(*) AS INTEGER) AS amend_postings_applied,
+        CAST(max(base) AS DATE) AS baseline_day
+    FROM kept g GROUP BY user_id
+""")
+def amendment_fold(spark, sf_dir):
+    rows = described(spark, sf_dir).withColumn("cents", F.when(F.col("event_type") != "click", F.col("cents"))).withColumn("last_event", F.col("event_id"))
+    folded = fold(rows, ["user_id"], ["cents", "last_event"], "description", F.col("ts"), [F.col("event_id")])
+    return folded.select("user_id", "cents", "last_event", "amend_kind", "amend_postings_applied", F.col("amend_baseline_ts").cast("date").alias("baseline_day"))
+
+
+@query("""
+    WITH points AS (
+        SELECT CAST(l_orderkey AS VARCHAR) AS k, CAST(l_partkey AS VARCHAR) AS code, CASE l_returnflag WHEN 'R' THEN 'REC' WHEN 'A' THEN 'DEL' ELSE 'OTH' END AS purpose, CAST(l_quantity AS BIGINT) AS qty,
+            l_shipdate AS ts, concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT)) AS h
+        FROM lineitem WHERE l_linestatus = 'F'),
+    once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, code, purpose ORDER BY ts DESC NULLS FIRST, h DESC) AS rn FROM points) WHERE rn = 1)
+    SELECT coalesce(r.k, d.k) AS contract_key, CASE WHEN r.k IS NULL THEN 'UNPAIRED_DELIVERY' WHEN d.k IS NULL THEN 'UNPAIRED_RECEIPT' ELSE 'PAIRED' END AS pair_status,
+        r.code AS receipt_loc_code, d.code AS delivery_loc_code, r.qty AS receipt_qty, d.qty AS delivery_qty, r.h AS receipt_hash_key, d.h AS delivery_hash_key
+    FROM (SELECT * FROM once WHERE purpose = 'REC') r FULL OUTER JOIN (SELECT * FROM once WHERE purpose = 'DEL') d ON r.k = d.k
+""")
+def rec_del_pairing(spark, sf_dir):
+    flag, text = F.col("l_returnflag"), lambda c: F.col(c).cast("string")
+    points = table(spark, sf_dir, "lineitem").select(
+        text("l_orderkey").alias("firmid"), text("l_partkey").alias("loc"), F.when(flag == "R", "rec").when(flag == "A", "DEL").otherwise("oth").alias("locpurp"),
+        F.col("l_quantity").cast("long").cast("string").alias("kqtyloc"), F.when(F.col("l_linestatus") == "F", "LOADED").otherwise("INVALID").alias("ingestion_status"), F.col("l_shipdate").alias("ingestion_timestamp"),
+        F.concat_ws("|", *map(text, ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), F.col("l_quantity").cast("long").cast("string")).alias("hash_key"),
+    )
+    none = dict.fromkeys(("loc_name", "loc_zone", "loc_qti", "term_begin", "term_end", "source_system", "source_api", "pipeline_run_id"))
+    paths = pair(points, Pairing("firm", none))
+    return paths.select("contract_key", "pair_status", "receipt_loc_code", "delivery_loc_code", *[F.col(f"{s}_qty_dth").cast("long").alias(f"{s}_qty") for s in ("receipt", "delivery")], "receipt_hash_key", "delivery_hash_key")
+
+
+def scoped_customers(spark: SparkSession, sf_dir: str, verdicts: list[tuple]) -> DataFrame:
+    mapping = spark.createDataFrame(verdicts, "source string, kholdernumber string, action string")
+    customers = table(spark, sf_dir, "customer").withColumn("number", F.concat(F.lit(" "), F.col("c_nationkey").cast("string")))
+    return scoped(customers, mapping, "firm", "number").select("c_custkey", "c_nationkey")
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (1, 2, 3)")
+def scope_add_remove(spark, sf_dir):
+    return scoped_customers(spark, sf_dir, [("firm", "1", "add"), (" Firms ", " 2 ", "add"), (None, "3", "add"), ("gTRAN_FIRM", "4", "add"), ("firm", "4", "remove"), ("awards", "5", "add"), ("it", "1", "remove")])
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer")
+def scope_unconfigured(spark, sf_dir):
+    return scoped_customers(spark, sf_dir, [("awards", "1", "add"), ("interruptible", "2", "remove")])
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey NOT IN (7, 8)")
+def scope_remove_only(spark, sf_dir):
+    return scoped_customers(spark, sf_dir, [("firm", "7", "remove"), (None, "8", "remove")])
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey = 9")
+def scope_remove_wins(spark, sf_dir):
+    return scoped_customers(spark, sf_dir, [("firm", "9", "add"), ("firm", "10", "add"), (None, "10 ", "remove")])
+
+
+_ID = "l_partkey * 1000000000000 + l_suppkey * 100000000 + CAST(l_quantity AS BIGINT) * 1000000 + CAST(round(l_discount * 100) AS BIGINT) * 10000 + CAST(round(l_tax * 100) AS BIGINT) * 100 + ascii(l_returnflag)"
+
+
+@query(f"""
+    WITH rates AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS FIRST, {_ID} DESC NULLS FIRST) AS rn FROM lineitem) WHERE rn = 1),
+    points AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_shipdate DESC NULLS FIRST, {_ID} DESC NULLS FIRST) AS rn FROM lineitem) WHERE rn = 1)
+    SELECT CAST(r.l_orderkey AS VARCHAR) AS firm_id, CAST(r.l_linenumber AS VARCHAR) AS rate_unique_id, o_custkey AS tsp_duns, CAST(round(o_totalprice) AS BIGINT) AS contract_qty_dth, CAST(o_orderdate AS DATE) AS contract_begin,
+        365 AS contract_term_days, CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS is_negotiated_rate, CAST(r.l_suppkey AS VARCHAR) AS receipt_loc_code, CAST(r.l_partkey % 100 AS VARCHAR) AS delivery_loc_code,
+        CAST(lr.l_quantity AS BIGINT) AS receipt_point_qty, CAST(ld.l_quantity AS BIGINT) AS delivery_point_qty, CAST(nullif(round(r.l_discount * 100), 0) AS BIGINT) AS rate_charged,
+        CAST(round(r.l_discount * 100) AS BIGINT) + CAST(round(r.l_tax * 100) AS BIGINT) AS all_in_rate, CASE r.l_returnflag WHEN 'R' THEN TRUE WHEN 'N' THEN FALSE END AS is_market_based_rate
+    FROM rates r JOIN orders ON o_orderkey = r.l_orderkey LEFT JOIN points lr ON lr.l_orderkey = r.l_orderkey AND lr.l_suppkey = r.l_suppkey
+    LEFT JOIN points ld ON ld.l_orderkey = r.l_orderkey AND ld.l_suppkey = r.l_partkey % 100
+""")
+def transport_rate_star(spark, sf_dir):
+    text = lambda e: F.expr(f"CAST({e} AS STRING)")
+    blank = lambda *names: [F.lit("").alias(n) for n in names]
+    lineage = [F.lit("x").alias(n) for n in ("source_system", "source_api", "pipeline_run_id", "hash_key")]
+    loaded = F.lit("LOADED").alias("ingestion_status")
+    contracts = table(spark, sf_dir, "orders").select(
+        text("o_orderkey").alias("firmid"), text("o_orderkey").alias("id"), F.lit("t").alias("tspname"), text("o_custkey").alias("tspduns"), text("CAST(round(o_totalprice) AS BIGINT)").alias("kqtyk"),
+        text("CAST(o_orderdate AS DATE)").alias("kbegdatetime"), text("date_add(CAST(o_orderdate AS DATE), 365)").alias("kenddatetime"), F.expr("CASE o_orderstatus WHEN 'F' THEN 'y' WHEN 'O' THEN 'N' ELSE '' END").alias("ngtdrateind"),
+        *blank("kholdername", "ratesch", "svcreqk", "kstat", "kstatdesc"), F.col("o_orderdate").alias("ingestion_timestamp"), F.col("o_orderkey").alias("bronze_row_id"), loaded, *lineage,
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    rates = lines.select(
+        text("l_orderkey").alias("firmid"), text("l_linenumber").alias("uniqueid"), text("l_suppkey").alias("recloc"), text("l_partkey % 100").alias("delloc"),
+        F.expr("coalesce(CAST(nullif(CAST(round(l_discount * 100) AS BIGINT), 0) AS STRING), '')").alias("ratechgd"), text("CAST(round(l_tax * 100) AS BIGINT)").alias("totsurchg"),
+        F.expr("CASE l_returnflag WHEN 'R' THEN 'Y' WHEN 'N' THEN 'n' ELSE '' END").alias("mktbasedrateind"),
+        *blank("reclocname", "recloczn", "dellocname", "delloczn", "rateformtype", "rateformtypedesc", "rateid", "maxtrfrate", "surchgind", "seasnlst", "seasnlend", "kentbegdatetime", "kentenddatetime", "posteddatetime"),
+        F.col("l_shipdate").alias("ingestion_timestamp"), F.expr(_ID).alias("bronze_row_id"), loaded, *lineage,
+    )
+    points = lines.select(text("l_orderkey").alias("firmid"), text("l_suppkey").alias("loc"), text("CAST(l_quantity AS BIGINT)").alias("kqtyloc"), F.col("l_shipdate").alias("ingestion_timestamp"), F.expr(_ID).alias("bronze_row_id"), loaded)
+    out = transport_rates(contracts, rates, points)
+    whole = lambda c, n: F.col(c).cast("long").alias(n)
+    return out.select(
+        "firm_id", "rate_unique_id", "tsp_duns", whole("contract_qty_dth", "contract_qty_dth"), F.col("contract_begin_ts").cast("date").alias("contract_begin"), "contract_term_days", "is_negotiated_rate", "receipt_loc_code", "delivery_loc_code",
+        whole("receipt_point_qty_dth", "receipt_point_qty"), whole("delivery_point_qty_dth", "delivery_point_qty"), whole("rate_charged", "rate_charged"), whole("all_in_rate", "all_in_rate"), "is_market_based_rate",
+    )
+
+
+_MODEL = {"key": "string", "day": "date", "quantity": "bigint", "note": "string", "source": "string"}
+
+
+def model_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+    lines = project_model(table(spark, sf_dir, "lineitem"), _MODEL, {"key": F.col("l_orderkey"), "day": F.col("l_shipdate"), "quantity": F.col("l_quantity"), "source": F.lit("L")})
+    orders = project_model(table(spark, sf_dir, "orders"), _MODEL, {"key": F.col("o_orderkey"), "day": F.col("o_orderdate"), "note": F.col("o_orderpriority"), "source": F.lit("O")})
+    events = project_model(table(spark, sf_dir, "events"), _MODEL, {"key": F.col("user_id"), "note": F.col("event_type"), "source": F.lit("E")})
+    return {"lines": lines, "orders": orders, "none": None, "events": events}
+
+
+_MAPPED = {
+    "lines": "SELECT CAST(l_orderkey AS VARCHAR) AS key, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS BIGINT) AS quantity, CAST(NULL AS VARCHAR) AS note, 'L' AS source FROM lineitem",
+    "orders": "SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_orderdate AS DATE) AS day, CAST(NULL AS BIGINT) AS quantity, o_orderpriority AS note, 'O' AS source FROM orders",
+    "events": "SELECT CAST(user_id AS VARCHAR) AS key, CAST(NULL AS DATE) AS day, CAST(NULL AS BIGINT) AS quantity, event_type AS note, 'E' AS source FROM events",
+}
+
+
+@query(_MAPPED["orders"])
+def model_map_typed_null(spark, sf_dir):
+    return model_feeds(spark, sf_dir)["orders"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{f}' AS source_type, * FROM ({sql})" for f, sql in _MAPPED.items()))
+def final_union_tagged(spark, sf_dir):
+    return union_tagged(model_feeds(spark, sf_dir))
+
+
+@query(f"SELECT 'orders' AS source_type, * FROM ({_MAPPED['orders']})")
+def final_union_missing_feeds(spark, sf_dir):
+    return union_tagged(dict.fromkeys(("lines", "none")) | {"orders": model_feeds(spark, sf_dir)["orders"]})
+
+
+@query("""
+    SELECT o_custkey AS customer, CAST(update_date AS DATE) AS updated FROM (SELECT o_custkey, o_orderdate AS update_date, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST) AS rn FROM orders) WHERE rn = 1
+""")
+def latest_in_model_key(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("update_date"), F.col("o_orderdate").alias("posted_date"))
+    return latest_in_model(rows, ["customer"]).select("customer", F.col("update_date").cast("date").alias("updated"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN TRUE WHEN 'A' THEN FALSE END AS flag FROM lineitem")
+def yes_no_decode(spark, sf_dir):
+    letter = F.expr("CASE l_returnflag WHEN 'R' THEN 'y' WHEN 'A' THEN 'N' ELSE l_returnflag || '?' END")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", yes_no(letter).alias("flag"))
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS number, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey AS DOUBLE) + 0.25 END AS amount,
+        CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS day, CASE WHEN o_orderkey % 5 <> 0 THEN 30 END AS days, ' ' AS space
+    FROM orders
+""")
+def nullif_cast(spark, sf_dir):
+    blank = lambda e: F.expr(f"CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE CAST({e} AS STRING) END")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", blank("o_custkey").alias("n"), blank("o_custkey || '.25'").alias("a"), blank("CAST(o_orderdate AS DATE)").alias("t"), blank("date_add(CAST(o_orderdate AS DATE), 30)").alias("u"))
+    return rows.select("o_orderkey", bigint("n").alias("number"), numeric("a").cast("double").alias("amount"), date("t").alias("day"), days_between("t", "u").alias("days"), blank_to_null(F.lit(" ")).alias("space"))
+
+
+@query("SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) AS seconds FROM orders")
+def timestamp_text(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", timestamp(F.col("o_orderdate").cast("string")).cast("long").alias("seconds"))
+
+
+@query("""
+    SELECT doc_id, concat_ws(',', CASE WHEN lang = 'en' THEN 'lang' END, CASE WHEN source IN ('src0', 'src1') THEN 'source' END) AS missing,
+        CASE WHEN lang = 'en' OR source IN ('src0', 'src1') THEN 'INVALID' ELSE 'LOADED' END AS ingestion_status
+    FROM documents
+""")
+def validate_required(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN lang <> 'en' THEN lang END").alias("lang"), F.expr("CASE source WHEN 'src0' THEN ' ' WHEN 'src1' THEN '\\t\\n' ELSE source END").alias("source"))
+    missing = F.array_compact(F.array(*[F.when(is_blank(c), F.lit(c)) for c in ("lang", "source")]))
+    return docs.select("doc_id", F.array_join(missing, ",").alias("missing"), F.when(F.size(missing) > 0, "INVALID").otherwise("LOADED").alias("ingestion_status"))
+
+
+@query("""
+    SELECT event_type AS table_name, count(*) AS objects_read, CAST(sum(CASE WHEN value < 10 THEN 1 ELSE 0 END) AS BIGINT) AS rows_rejected FROM events GROUP BY event_type
+""")
+def ingest_log_summary(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table_name")).agg(F.count(F.lit(1)).alias("objects_read"), F.count(F.when(F.col("value") < 10, 1)).alias("rows_rejected"))
+
+
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES))
+def table_inventory(spark, sf_dir):
+    counts = {t: table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count")) for t in _TABLES}
+    return union_tagged(counts, "table_name")
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders")
+def dense_row_ids(spark, sf_dir):
+    return numbered(table(spark, sf_dir, "orders").select("o_orderkey"), [F.col("o_orderkey").asc()], "n")
