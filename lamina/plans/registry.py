@@ -97,7 +97,8 @@ LOCATION_COLUMNS = """
     index transactiontermbegindatetime transactiontermenddatetime segment {contract} uniqueid pk {quantity} seasnlst seasnlend uniquekey id posteddatetime kentbegdatetime kentenddatetime
     captypename loc locname locpurp locpurpdesc loczn locqti locqtidesc tspduns tspname createddatetime source_system source_api pipeline_run_id hash_key ingestion_status ingestion_timestamp
 """
-_NEWEST = (newest("ingestion_timestamp"), newest("bronze_row_id"))
+def _by_ingestion():
+    return newest("ingestion_timestamp"), newest("bronze_row_id")
 
 
 def with_nulls(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -140,14 +141,14 @@ def amended_core(f: FeedTables, rule: NullRule | None = NullRule(), orphans: boo
 
 def staged(source: str, key: tuple[str, ...], drop: tuple[str, ...] = ()):
     """The row ingested last for each key, with the source's columns."""
-    return lambda t: latest_by(t[source], key, _NEWEST).drop(*drop)
+    return lambda t: latest_by(t[source], key, _by_ingestion()).drop(*drop)
 
 
 def staged_locations(f: FeedTables):
     def build(t):
         names = LOCATION_COLUMNS.format(contract=f.contract, quantity=f.quantity).split()
         own = {"index": bigint("index"), "transactiontermbegindatetime": F.col("kbegdatetime"), "transactiontermenddatetime": F.col("kenddatetime")}
-        return latest_by(t[f"{f.feed}_locations_dedup"], f.locations_key, _NEWEST).select(*[own.get(n, F.col(n)).alias(n) for n in names])
+        return latest_by(t[f"{f.feed}_locations_dedup"], f.locations_key, _by_ingestion()).select(*[own.get(n, F.col(n)).alias(n) for n in names])
 
     return build
 
@@ -157,7 +158,9 @@ def mapped(feed: str, grain: str):
 
 
 def final(grain: str, feeds: tuple[str, ...]):
-    return lambda t: union_tagged({f: t.get(f"{f}_{grain}_master_capacity") for f in feeds})
+    """The model's columns of all feeds that are there; numbers and times of load are their own."""
+    names = {f: f"{f}_{grain}_master_capacity" for f in feeds}
+    return lambda t: union_tagged({f: t[n].select(*model(grain)) for f, n in names.items() if n in t})
 
 
 def default_registry() -> Registry:
