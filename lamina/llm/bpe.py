@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Tokenizer as LibraryTokenizer
 
 from lamina.llm.words import id_type, map_texts
 
@@ -34,6 +35,8 @@ ARCS = 1_000_000
 CACHE = 400_000
 #: Longer ones, in characters, are not kept.
 CACHED_LENGTH = 64
+#: Characters whose class and case no version of Unicode since the tokenizer's has changed. Others are classed by the library.
+SETTLED = re.compile("[\x00-\u052f]*")
 #: Where the normalizer sees white space: Unicode's property White_Space, which str.split() exceeds by \x1c-\x1f.
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -100,6 +103,8 @@ class Tokenizer:
         self.specials = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.bytes = byte_symbols()
+        bare = spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}
+        self.library = LibraryTokenizer.from_str(json.dumps(bare))  # its normalizer and its split only
         self.cache: dict[str, tuple[int, str, str]] = {}
 
     def path(self, word: str) -> list[int]:
@@ -131,10 +136,14 @@ class Tokenizer:
 
     def piece(self, raw: str) -> tuple[list[int], list[str]]:
         """Ids and labels of a text without white space and special tokens."""
-        text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()  # each character by itself
         ids, labels = [], []
-        for word in self.split.findall(text):
-            for t in self.path("".join(map(self.bytes.__getitem__, word.encode("utf-8", "surrogatepass"))) + self.end):
+        if SETTLED.fullmatch(raw):
+            text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()  # each character by itself
+            words = ["".join(map(self.bytes.__getitem__, w.encode())) for w in self.split.findall(text)]
+        else:
+            words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(raw))]
+        for word in words:
+            for t in self.path(word + self.end):
                 ids.append(self.id[t])
                 labels.append(self.labels[t])
         return ids, labels

@@ -49,7 +49,7 @@ GRAM = 2
 #: Diagonals so far apart, in words, are one place with words put in or left out.
 NEIGHBOUR = 2
 #: Share of a template's voting grams from which a place is a match.
-COVERAGE = 0.6
+COVERAGE = 0.85
 
 
 def words_of(text: str) -> list[str]:
@@ -96,7 +96,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, id_col: str = "d
 
     Every gram of words is joined with the templates' grams by hash, and compared. Votes are counted on each diagonal (the
     gram's place less its place in the template). A phrase stands where one diagonal has all its grams. For templates,
-    neighbouring diagonals are merged, and a place counts if it has COVERAGE of the voting grams.
+    neighbouring diagonals are merged, and a place counts if it has COVERAGE of the voting grams, each counted once.
 
     Columns: doc_id, n_words, n_base (places of phrases), first_word, last_word (their least and greatest first word, else
     null), base_labels, labels (with the templates'; both distinct, sorted, comma-joined), score (the best place's share of
@@ -107,18 +107,17 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, id_col: str = "d
     key = ["doc_id", "text_key"]
     hits = grams.join(known, (F.col("hash") == F.col("t_hash")) & (F.col("gram") == F.col("t_gram")), "left").filter("template IS NOT NULL OR n_words IS NOT NULL")
     diagonals = hits.groupBy(*key, "template", "label", "base", "votes_all", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.count("gram").alias("votes"), F.count("n_words").alias("copies"), F.max("n_words").alias("n_words")
+        F.collect_set("at").alias("ats"), F.count("n_words").alias("copies"), F.max("n_words").alias("n_words")
     )
     same_text = W.partitionBy(*key)
     along = W.partitionBy(*key, "template").orderBy("diagonal")
     placed = (
         diagonals.withColumn("copies", F.max("copies").over(same_text))
-        .withColumn("votes", F.col("votes") / F.col("copies"))
         .withColumn("apart", F.when(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(along) > NEIGHBOUR) | F.lag("diagonal").over(along).isNull(), 1).otherwise(0))
         .withColumn("place", F.sum("apart").over(along))
     )
     places = placed.groupBy(*key, "copies", "template", "label", "base", "votes_all", "place").agg(
-        F.least(F.lit(1.0), F.sum("votes") / F.first("votes_all")).alias("share"), F.min("diagonal").alias("start"), F.max("n_words").alias("n_words")
+        (F.size(F.array_distinct(F.flatten(F.collect_list("ats")))) / F.first("votes_all")).alias("share"), F.min("diagonal").alias("start"), F.max("n_words").alias("n_words")
     )
     phrase, good = F.col("base") & (F.col("share") >= 1), F.when(F.col("base"), F.col("share") >= 1).otherwise(F.col("share") >= COVERAGE)
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")

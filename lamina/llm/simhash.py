@@ -49,16 +49,21 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) for every row. A null or empty text has fingerprint 0."""
+    """(doc_id, text_key long, fp long) for every row. A null or empty text has fingerprint 0.
+
+    text_key is what xxhash64() gives for the text; it tells rows with one id apart.
+    """
 
     def make():
         def f(ids: pa.Array, texts: pa.Array) -> list:
-            prints = [fingerprint(shingle_hashes(t, width)) for t in texts.to_pylist()]
-            return [ids, pa.array(np.array(prints, dtype=np.uint64).view(np.int64))]
+            rows = texts.to_pylist()
+            keys = [SEED if t is None else xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) for t in rows]
+            prints = [fingerprint(shingle_hashes(t, width)) for t in rows]
+            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, prints))]
 
         return f
 
-    return map_texts(docs, [("doc_id", id_type(docs, id_col)), ("fp", T.LongType())], make, id_col, text_col)
+    return map_texts(docs, [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("fp", T.LongType())], make, id_col, text_col)
 
 
 @dataclass(frozen=True)
@@ -283,6 +288,18 @@ def link_edges(distinct: DataFrame, radius: int = 4) -> tuple[DataFrame, Plan]:
     return ordered.mapInArrow(_group_edges(plan, radius), "a long, b long"), plan
 
 
+def _grouped(docs: DataFrame, radius: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, fp, component_id) for every row."""
+    prints = cut(fingerprints(docs, width, id_col, text_col))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    edges, _ = link_edges(distinct, radius)
+    roots = cut(components(edges).withColumnRenamed("node", "fp"))
+    least = distinct.join(small_or_not(roots), "fp").groupBy("root").agg(F.min("first_id").alias("least_id"))
+    linked = cut(roots.join(least, "root").select("fp", "least_id"))
+    named = distinct.join(small_or_not(linked), "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
+    return prints.join(small_or_not(cut(named)), "fp")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs.
 
@@ -291,21 +308,16 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, id_col: st
     Null and empty texts have fingerprint zero and are linked like any other; rows with a null id join components but
     give them no id (component_id is null if no row has one); repeated rows stay; an empty table gives no rows.
     """
-    prints = cut(fingerprints(docs, width, id_col, text_col))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    edges, _ = link_edges(distinct, radius)
-    roots = cut(components(edges).withColumnRenamed("node", "fp"))
-    least = distinct.join(small_or_not(roots), "fp").groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = cut(roots.join(least, "root").select("fp", "least_id"))
-    named = distinct.join(small_or_not(linked), "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return prints.join(small_or_not(cut(named)), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = _grouped(docs, radius, width, id_col, text_col)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that are not first in their component. Rows with a null id stay: no id names them.
+    """docs without the rows that are not first in their component, with all their columns.
 
-    Of repeated rows with the first id, all stay, for an id names them all.
+    Rows with a null id stay, for no id names them, and so do repeated rows of the first id and text.
     """
-    found = near_duplicates(docs, radius, width, id_col, text_col)
-    gone = cut(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
-    return docs.join(small_or_not(gone), id_col, "left_anti")
+    found = _grouped(docs, radius, width, id_col, text_col).filter("doc_id <> component_id")
+    gone = cut(found.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct())
+    same = (docs[id_col] == F.col("_gone_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_gone_key"))
+    return docs.join(small_or_not(gone), same, "left_anti")
