@@ -15,6 +15,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer as LibraryTokenizer
 
@@ -246,3 +248,18 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     fields = [("doc_id", id_type(docs, id_col)), ("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
     return map_texts(docs, fields, make, id_col, text_col)
+
+
+def decode(tokens: DataFrame, path: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
+    """tokens with a column of the text that each row's ids decode to; null for null, and empty for no ids.
+
+    An id that the vocabulary lacks, or a null one, has no label and is left out, as the library does.
+    """
+    shared = _shared(tokens, path)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        label = shared.value.label_of_id
+        for ids in columns:
+            yield pa.array([None if row is None else " ".join(label[i] for i in row if i in label) for row in ids.to_pylist()], pa.string())
+
+    return tokens.withColumn(out, F.arrow_udf(run, "string")(F.col(ids_col)))

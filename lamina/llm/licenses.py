@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -56,14 +57,19 @@ def words_of(text: str) -> list[str]:
     return find_words(pa.array([text])).strings().to_pylist()
 
 
-def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
-    """A row for each voting gram of each phrase and template: a table of fixed size, a few hundred rows."""
+def gram_rows(phrases=PHRASES, templates=TEMPLATES) -> list[tuple[int, str, bool, int, str, int]]:
+    """(template, label, base, at, gram, all voting grams) of each voting gram of each phrase and template."""
     rows = []
     for n, (label, text, base) in enumerate([*((label, text, True) for label, text in phrases), *((label, text, False) for label, text in templates)]):
         words = words_of(text)
         places = [i for i in range(len(words) - GRAM + 1) if base or not set(words[i : i + GRAM]) <= COMMON]
-        rows += [(n, label, base, i, " ".join(words[i : i + GRAM]), len(places), len(words)) for i in places]
-    grams = spark.createDataFrame(rows, "template int, label string, base boolean, at int, t_gram string, votes_all int, length int")
+        rows += [(n, label, base, i, " ".join(words[i : i + GRAM]), len(places)) for i in places]
+    return rows
+
+
+def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
+    """gram_rows() as a table of fixed size, a few hundred rows."""
+    grams = spark.createDataFrame(gram_rows(phrases, templates), "template int, label string, base boolean, at int, t_gram string, votes_all int")
     return grams.withColumn("t_hash", F.xxhash64("t_gram"))
 
 
@@ -77,8 +83,6 @@ def word_grams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             keys = np.array([xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "surrogatepass")) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64)
             whole = np.flatnonzero(w.doc[:-1] == w.doc[1:]) if len(w.doc) else np.zeros(0, np.int64)
             n, strings = len(ids), w.strings()
-            import pyarrow.compute as pc
-
             grams = pc.binary_join_element_wise(strings.take(pa.array(whole)), strings.take(pa.array(whole + 1)), pa.scalar(" ", pa.large_string()))
             doc = np.concatenate((np.arange(n), w.doc[whole]))
             pos = np.concatenate((np.full(n, -1), whole - w.first[w.doc[whole]]))
@@ -106,7 +110,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, id_col: str = "d
     known = F.broadcast(template_grams(docs.sparkSession, phrases, templates))
     key = ["doc_id", "text_key"]
     hits = grams.join(known, (F.col("hash") == F.col("t_hash")) & (F.col("gram") == F.col("t_gram")), "left").filter("template IS NOT NULL OR n_words IS NOT NULL")
-    diagonals = hits.groupBy(*key, "template", "label", "base", "votes_all", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
+    diagonals = hits.groupBy(*key, "template", "label", "base", "votes_all", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.collect_set("at").alias("ats"), F.count("n_words").alias("copies"), F.max("n_words").alias("n_words")
     )
     same_text = W.partitionBy(*key)

@@ -67,5 +67,50 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_html_extract, op4_license_scan, op5_decontaminate, op6_toxicity, op7_simhash_dedup, op8_nearest, op9_token_counts, op10_quality)}
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def license_sql() -> str:
+    """The license scan in SQL, with the phrases' and templates' grams as literal rows."""
+    rows = ", ".join(f"({n}, '{label}', {base}, {at}, '{gram}', {votes})" for n, label, base, at, gram, votes in licenses.gram_rows())
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
+        grams AS (SELECT rid, i - 1 AS pos, ws[i] || ' ' || ws[i + 1] AS gram FROM (SELECT rid, ws, unnest(range(1, len(ws))) AS i FROM docs)),
+        known(template, label, base, place_in, gram, votes_all) AS (VALUES {rows}),
+        diagonals AS (SELECT rid, template, label, base, votes_all, pos - place_in AS diagonal, list(DISTINCT place_in) AS ats FROM grams JOIN known USING (gram) GROUP BY rid, template, label, base, votes_all, pos - place_in),
+        parted AS (
+            SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER w > {licenses.NEIGHBOUR} OR lag(diagonal) OVER w IS NULL THEN 1 ELSE 0 END AS apart
+            FROM diagonals WINDOW w AS (PARTITION BY rid, template ORDER BY diagonal)),
+        placed AS (SELECT *, sum(apart) OVER (PARTITION BY rid, template ORDER BY diagonal) AS place FROM parted),
+        places AS (
+            SELECT rid, label, base, len(list_distinct(flatten(list(ats)))) / any_value(votes_all) AS share, min(diagonal) AS start
+            FROM placed GROUP BY rid, template, label, base, place),
+        good AS (SELECT *, CASE WHEN base THEN share >= 1 ELSE share >= {licenses.COVERAGE} END AS ok, base AND share >= 1 AS phrase FROM places)
+        SELECT doc_id, len(ws) AS n_words, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+            coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase), '') AS base_labels, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok), '') AS labels,
+            coalesce(max(share) FILTER (ok), CAST(0 AS DOUBLE)) AS score
+        FROM docs LEFT JOIN good USING (rid) GROUP BY rid, doc_id, ws
+    """
+
+
+def decontamination_sql() -> str:
+    """Exact similarities of all windows that share a shingle with an item, in SQL."""
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
+        b AS (SELECT *, len(ws) AS n, least({decontaminate.WIDTH}, len(ws)) AS k FROM (SELECT row_number() OVER () AS bid, item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+        item AS (SELECT bid, k, g, count(*) AS m FROM (SELECT bid, k, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, n - k + 2)) AS p FROM b)) GROUP BY bid, k, g),
+        shingle AS (SELECT rid, k, p, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (SELECT rid, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM b))),
+        met AS (SELECT DISTINCT rid, bid, p FROM shingle JOIN item USING (k, g)),
+        sized AS (SELECT rid, bid, p, k, n, least(n, len(d.ws)) AS w, len(d.ws) AS total FROM met JOIN b USING (bid) JOIN d USING (rid)),
+        starts AS (SELECT DISTINCT rid, bid, k, n, w, unnest(range(greatest(1, p - (w - k)), least(p, total - w + 1) + 1)) AS s FROM sized),
+        held AS (SELECT rid, bid, n, k, w, s, g, count(*) AS c FROM starts JOIN shingle USING (rid, k) WHERE p BETWEEN s AND s + w - k GROUP BY rid, bid, n, k, w, s, g),
+        shared AS (SELECT rid, bid, n, k, w, s, sum(least(c, m)) AS common FROM held JOIN item USING (bid, k, g) GROUP BY rid, bid, n, k, w, s),
+        scored AS (SELECT *, common / (w - k + 1 + n - k + 1 - common) AS similarity FROM shared),
+        best AS (SELECT *, row_number() OVER (PARTITION BY rid, bid ORDER BY similarity DESC, s) AS place FROM scored WHERE similarity >= {decontaminate.SIMILARITY})
+        SELECT doc_id, item_id, similarity, s - 1 AS first_word, w AS n_words FROM best JOIN d USING (rid) JOIN b USING (bid) WHERE place = 1
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that it can express; the others are tested against brute force, round trips or held-out rows."""
+    return {"op4_license_scan": license_sql(), "op5_decontaminate": decontamination_sql()}

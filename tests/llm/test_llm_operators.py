@@ -160,6 +160,12 @@ def test_digests(spark, library):
     assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_decoding_of_rows(spark, library):
+    rows = [(1, library.encode("Hello, wörld!", add_special_tokens=False).ids), (2, []), (3, None), (4, [49407, None, 10**6])]
+    got = table(bpe.decode(spark.createDataFrame(rows, "doc_id long, token_ids array<int>"), vocabulary_path(BPE)), "doc_id")
+    assert [got[i].decoded for i in (1, 2, 3, 4)] == [library.decode(rows[0][1], skip_special_tokens=False), "", None, "<|endoftext|>"]
+
+
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=12), st.lists(st.integers(0, 2), min_size=1, max_size=14))
 @settings(max_examples=400, deadline=None)
 def test_automaton_accepts_what_merging_gives(raw, text):
