@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.llm.words import spread
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*[^>\"']*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.IGNORECASE)
 
@@ -285,4 +287,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], dtype=np.int64))], names=["page_id", "url", "text", "n_chars"])
 
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    return own.mapInArrow(run, schema)
+    return spread(own).mapInArrow(run, schema)

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that are turned into arrays at a time; a longer text is taken whole, alone.
 CHUNK_BYTES = 1 << 20
+#: Estimated bytes of a table up to which it is dealt out anew before a pass over its texts.
+SPREAD_BYTES = 48 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -149,6 +151,13 @@ def sliced(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iter
         at = to
 
 
+def spread(df: DataFrame, small: int = SPREAD_BYTES) -> DataFrame:
+    """A small table dealt out to all cores, as its one or two files would keep one or two of them busy; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= small and cores > 1 else df
+
+
 def two_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text go on, under names of their own, whatever else the table has."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -174,7 +183,7 @@ def map_texts(docs: DataFrame, fields: list[tuple[str, T.DataType]], make: Calla
                 if columns is not None and len(columns[0]):
                     yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(field.type) for c, field in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return own.mapInArrow(run, schema)
+    return spread(own).mapInArrow(run, schema)
 
 
 def text_udf(make: Callable[[], Callable], kind: str | T.DataType):
