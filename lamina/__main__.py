@@ -13,7 +13,7 @@ from lamina.plans.registry import CURATED, RAW, STAGING, default_registry
 from lamina.plans.runner import run_many, selected, summary
 from lamina.session import session
 from lamina.sources.export import Export
-from lamina.sources.ingest import ingest
+from lamina.sources.ingest import ingest, provision
 from lamina.sources.labels import feed_name
 from lamina.sources.payloads import PayloadError
 from lamina.sources.tables import Tables
@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     i = commands.add_parser("ingest")
     i.add_argument("file", nargs="+")
     i.add_argument("--dry-run", action="store_true")
+    i.add_argument("--create-tables", action="store_true", help="begin with empty raw tables where there are none")
     return p
 
 
@@ -58,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = session()
     tables = Tables(spark, args.root)
     if args.command == "ingest":
+        if args.create_tables and not args.dry_run:
+            provision(tables)
         for file in args.file:
             try:
                 done = ingest(spark, file, tables, export_dir=folder, dry_run=args.dry_run)

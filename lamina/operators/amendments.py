@@ -37,16 +37,39 @@ class NullRule:
     running: int = 1
 
 
+def place(values: Sequence[Column]) -> Column:
+    """A value that orders rows by the values, ascending with nulls last."""
+    return F.struct(*[c for i, v in enumerate(values) for c in (v.isNull().alias(f"n{i}"), v.alias(f"v{i}"))])
+
+
+def _with_group(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df with the columns of its group, if there is one; groups has the keys as _k0, _k1 and so on. Null parts are equal."""
+    own = [f"_k{i}" for i in range(len(keys))]
+    return df.join(groups, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own)], "left").drop(*own)
+
+
 def settle_undescribed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rule: NullRule | None = NullRule(), kind_col: str = "kind") -> DataFrame:
-    """df with kinds in which nothing is undescribed. Both sums run over one partitioning; without a rule all become new."""
-    kind, hit = F.col(kind_col), F.when(F.col(kind_col) == UNDESCRIBED, 1).otherwise(0)
+    """df with kinds in which nothing is undescribed; without a rule all undescribed become new.
+
+    order: what dates the postings, ascending with nulls last; it should tell them apart. How many undescribed postings a
+    group has, and the last of its first `running` ones, are aggregates that each task begins, and are joined to the rows;
+    so a group of very many postings is never gathered in one task.
+    """
+    kind = F.col(kind_col)
     settled = F.when(kind != UNDESCRIBED, kind)
-    if rule:
-        group = W.partitionBy(*keys)
-        total = F.sum(hit).over(group)
-        so_far = F.sum(hit).over(group.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
-        settled = settled.when((total > rule.group) & (so_far > rule.running), "ALL_DATA")
-    return df.withColumn(kind_col, settled.otherwise("NEW"))
+    if not rule:
+        return df.withColumn(kind_col, settled.otherwise("NEW"))
+    own = [f"_k{i}" for i in range(len(keys))]
+    undescribed = df.filter(kind == UNDESCRIBED).select(*[F.col(k).alias(o) for k, o in zip(keys, own)], place(order).alias("_place"))
+    edge = F.min("_place") if rule.running == 1 else F.min(F.when(F.lit(False), F.col("_place")))
+    groups = undescribed.groupBy(*own).agg(F.count(F.lit(1)).alias("_all"), edge.alias("_edge"))
+    if rule.running > 1:
+        first = undescribed.withColumn("_n", F.row_number().over(W.partitionBy(*own).orderBy("_place"))).filter(F.col("_n") <= rule.running)
+        edges = first.select(*own, F.lit(None).cast("long").alias("_all"), F.col("_place").alias("_edge"))
+        groups = groups.unionByName(edges).groupBy(*own).agg(F.max("_all").alias("_all"), F.max("_edge").alias("_edge"))
+    crowded = groups.filter(F.col("_all") > rule.group)
+    later = F.col("_all").isNotNull() & (F.col("_edge").isNull() | (place(order) > F.col("_edge")))
+    return _with_group(df, crowded, keys).withColumn(kind_col, settled.when(later, "ALL_DATA").otherwise("NEW")).drop("_all", "_edge")
 
 
 def fold(
@@ -65,13 +88,14 @@ def fold(
     a baseline. Groups without a baseline stay with all their postings, or not at all with orphans=False. An empty text is a
     value. Postings of one time are in the order of tie_break, the last of them newest, and undated ones are the oldest.
 
-    Added columns: amend_kind (of the newest posting), amend_postings_applied (int), amend_baseline_ts. The group's window
-    and the aggregate share one shuffle by the keys.
+    Added columns: amend_kind (of the newest posting), amend_postings_applied (int), amend_baseline_ts. Rows are shuffled
+    once, by the keys; what is known of a group joins them there, and each task begins the aggregates before that.
     """
-    posted_order = [F.col("_posted").asc_nulls_last(), *[t.asc_nulls_last() for t in tie_break]]
     classed = df.withColumn("_posted", posted).withColumn("_kind", kind_of(description))
-    settled = settle_undescribed(classed, keys, posted_order, rule, "_kind")
-    based = settled.withColumn("_base", F.max(F.when(F.col("_kind").isin("NEW", "ALL_DATA"), F.col("_posted"))).over(W.partitionBy(*keys)))
+    settled = settle_undescribed(classed, keys, [F.col("_posted"), *tie_break], rule, "_kind")
+    full = classed.filter(F.col("_kind").isin("NEW", "ALL_DATA", UNDESCRIBED))  # undescribed ones become one of the two
+    bases = full.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_posted").alias("_base"))
+    based = _with_group(settled, bases, keys)
     later = F.col("_posted") >= F.col("_base")
     kept = based.filter(F.col("_base").isNull() | later if orphans else later)
     newest = F.struct(F.col("_posted").alias("t"), *[t.alias(f"k{i}") for i, t in enumerate(tie_break)])

@@ -134,7 +134,7 @@ def amend_classify(spark, sf_dir):
 @query(f"SELECT event_id, user_id, kind FROM ({_SETTLED})")
 def null_descriptor_rule(spark, sf_dir):
     rows = described(spark, sf_dir).withColumn("kind", kind_of("description"))
-    return settle_undescribed(rows, ["user_id"], [F.col("ts").asc_nulls_last(), F.col("event_id").asc()]).select("event_id", "user_id", "kind")
+    return settle_undescribed(rows, ["user_id"], [F.col("ts"), F.col("event_id")]).select("event_id", "user_id", "kind")
 
 
 @query(f"""

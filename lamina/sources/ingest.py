@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lamina.operators.ids import numbered
 from lamina.operators.latest import new_content
+from lamina.operators.scope import MAPPING_SCHEMA
 from lamina.sources.export import export_raw
 from lamina.sources.feeds import BUSINESS, FEEDS, LOG_SCHEMA, META, Feed, columns_of, schema_of
 from lamina.sources.payloads import read_payloads, require_valid
@@ -126,5 +127,10 @@ def write_log(tables: Tables, settings: Settings, run: Ingested, parsed: DataFra
     tables.append(settings.layer, "ingestion_log", entry)
 
 
-def empty_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], schema_of(table))
+def provision(tables: Tables, layer: str | None = None) -> list[str]:
+    """Writes the raw tables, the log and the scope mapping as empty tables where they are missing; their names."""
+    layer, schemas = layer or Settings().layer, {t: schema_of(t) for t in BUSINESS} | {"ingestion_log": LOG_SCHEMA, "shipper_mapping": MAPPING_SCHEMA}
+    made = [t for t in schemas if not tables.exists(layer, t)]
+    for t in made:
+        tables.append(layer, t, tables.spark.createDataFrame([], schemas[t]))
+    return made

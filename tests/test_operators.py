@@ -214,3 +214,22 @@ def test_model(spark):
 def test_latest_in_model(spark):
     df = spark.createDataFrame([("k", 1, None), ("k", 2, 1), ("k", None, 9), (None, None, None)], "k string, update_date int, posted_date int")
     assert {r.k: r.update_date for r in latest_in_model(df, ["k"]).collect()} == {"k": 2, None: None}
+
+
+@pytest.mark.parametrize("rule", [NullRule(), NullRule(2, 0), NullRule(1, 2), NullRule(4, 3), None])
+def test_undescribed_rule_equals_its_definition(spark, rule):
+    import random
+
+    from lamina.operators.amendments import UNDESCRIBED, settle_undescribed
+
+    rng = random.Random(6)
+    rows = [(rng.choice(("a", "b", None, "c")), rng.choice((None, 1, 2, 3)), i, rng.choice((UNDESCRIBED, UNDESCRIBED, "NEW", "UNKNOWN"))) for i in range(40)]
+    want = {}
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key and r[3] == UNDESCRIBED), key=lambda r: (r[1] is None, r[1] or 0, r[2]))
+        for n, r in enumerate(own, start=1):
+            want[r[2]] = "ALL_DATA" if rule and len(own) > rule.group and n > rule.running else "NEW"
+    df = spark.createDataFrame(rows, "k string, ts int, id int, kind string")
+    got = settle_undescribed(df, ["k"], [F.col("ts"), F.col("id")], rule)
+    assert got.columns == df.columns
+    assert {r.id: r.kind for r in got.collect()} == {r[2]: want.get(r[2], r[3]) for r in rows}

@@ -15,7 +15,7 @@ from lamina.plans.registry import CURATED, RAW, STAGING, Plan, default_registry,
 from lamina.plans.runner import ordered, run_many, run_one, selected, summary
 from lamina.sources import feeds as f
 from lamina.sources.export import Export, export
-from lamina.sources.ingest import Settings, ingest, sink_for
+from lamina.sources.ingest import Settings, ingest, provision, sink_for
 from lamina.sources.labels import feed_name, spellings
 from lamina.sources.payloads import PayloadError, parse
 from lamina.sources.tables import Tables
@@ -225,6 +225,14 @@ def test_inspection(spark, tables, sample):
     assert "Physical Plan" in explain(default_registry(), tables, "silver_firm_core_amended")
 
 
+def test_provision(spark, tables, sample):
+    assert len(provision(tables)) == 6 and provision(tables) == []
+    assert ingest(spark, sample, tables).rows_written == 2
+    assert tables.read(RAW, "gtran_firm").count() == 2 and tables.read(RAW, "shipper_mapping").isEmpty()
+    run_one("silver_firm_core_dedup", default_registry(), tables)
+    assert tables.read(STAGING, "firm_core_dedup").count() == 2
+
+
 def test_streaming(spark, tables, tmp_path):
     from lamina.streaming.landing import stream_payloads
 
