@@ -5,8 +5,7 @@ its labels spell. It starts with one state that loops over the single symbols; m
 an arc labelled uv wherever u may be followed by v, to a state that goes on as the one after v did, and the arc v is
 taken away from the state after u. One state stands for each last token, so the machine is deterministic, and a state
 holds its arcs as what it inherited at birth less what was taken away: the transition table fills in as it is used.
-Every prefix of an accepted path is accepted, so a place in a word that led nowhere once leads nowhere always, and
-encoding takes time in proportion to the word.
+Every prefix of an accepted path is accepted, so a word is encoded in one pass over the vocabulary's matches in it.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -29,12 +29,13 @@ from tokenizers import Tokenizer as LibraryTokenizer
 
 from lamina.llm.words import id_type, map_texts
 
+CONTROLS = re.compile("[\x1c-\x1f]")
 START = -1
 _ALWAYS = 1 << 60
 #: Entries of the transition table that a task keeps.
 ARCS = 1_000_000
-#: Distinct strings between white space whose tokens a task keeps; it begins anew beyond.
-CACHE = 400_000
+#: Distinct strings between white space, and distinct words of them, whose tokens a task keeps, in each of two generations.
+PIECES, WORDS = 150_000, 150_000
 #: Longer ones, in characters, are not kept.
 CACHED_LENGTH = 64
 #: Characters whose class and case no version of Unicode since the tokenizer's has changed. Others are classed by the library.
@@ -82,6 +83,24 @@ class Automaton:
         return known
 
 
+class Kept:
+    """What was used lately: when a generation is full it becomes the old one, and what is used of that moves on."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def put(self, key: str, value: tuple) -> None:
+        if len(self.new) >= self.size:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+    def get(self, key: str) -> tuple | None:
+        got = self.new.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+
 class Tokenizer:
     """What a tokenizers file of this kind says: NFC, white space, lower case, a split, bytes as symbols, word ends."""
 
@@ -100,91 +119,87 @@ class Tokenizer:
         self.label_of_id = {i: t for t, i in {**vocab, **special}.items()}
         end = "\x00"  # stands for the suffix; byte symbols are printable
         self.token = {(t[: -len(self.suffix)] + end if t.endswith(self.suffix) else t): n for t, n in number.items() if self.automaton.alive[n]}
-        self.end, self.longest = end, max(map(len, self.token))
+        self.end = end
+        self.matches = ahocorasick.Automaton()
+        for t, n in self.token.items():
+            self.matches.add_word(t, (len(t), n))
+        self.matches.make_automaton()
         self.special = special
         self.specials = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.bytes = byte_symbols()
         bare = spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}
         self.library = LibraryTokenizer.from_str(json.dumps(bare))  # its normalizer and its split only
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        self.id_text = {n: str(i) for n, i in self.id.items()}
+        self.pieces, self.words = Kept(PIECES), Kept(WORDS)
 
     def path(self, word: str) -> list[int]:
-        """The accepted path whose labels spell the word (symbols, with the end mark)."""
-        token, arc, size = self.token, self.automaton.arc, len(word)
-        path, at, state, dead = [], 0, START, set()
-        tries = [min(self.longest, size)]
-        while at < size:
-            n = tries[-1]
-            while n:
-                t = token.get(word[at : at + n])
-                if t is not None and at + n not in dead and arc(state, t):
-                    break
-                n -= 1
-            if n:
-                tries[-1] = n - 1
-                path.append(t)
-                at, state = at + n, t
-                tries.append(min(self.longest, size - at))
-            else:
-                if not path:
-                    raise ValueError(f"no path for {word!r}")
-                dead.add(at)
-                tries.pop()
-                at -= tries[-1] + 1
-                path.pop()
-                state = path[-1] if path else START
+        """The accepted path whose labels spell the word (symbols, with the end mark).
+
+        Every prefix has one accepted path at most, as the merges give it one tokenization, so one state stands at each
+        place: the first of the tokens ending there that has a transition from the state where it begins.
+        """
+        known, arc, size = self.automaton.arcs.get, self.automaton.arc, len(word)
+        state: list[int | None] = [START] + [None] * size
+        back = [0] * (size + 1)
+        for end, (n, t) in self.matches.iter(word):
+            end += 1
+            if state[end] is None:
+                before = state[end - n]
+                if before is not None and (known((before, t)) or arc(before, t)):
+                    state[end], back[end] = t, end - n
+        path = []
+        while size:
+            path.append(state[size])
+            size = back[size]
+        path.reverse()
         return path
 
-    def piece(self, raw: str) -> tuple[list[int], list[str]]:
-        """Ids and labels of a text without white space and special tokens."""
-        ids, labels = [], []
-        if SETTLED.fullmatch(raw):
+    def word(self, word: str) -> tuple[int, str, str]:
+        """The number of tokens of a pre-split word of byte symbols, their ids and their labels, each joined by a space."""
+        got = self.words.get(word)
+        if got is None:
+            path = self.path(word + self.end)
+            got = (len(path), " ".join([self.id_text[t] for t in path]), " ".join([self.labels[t] for t in path]))
+            if len(word) <= CACHED_LENGTH:
+                self.words.put(word, got)
+        return got
+
+    def piece(self, raw: str) -> tuple[int, str, str]:
+        """The same of a text without white space and special tokens."""
+        if raw.isascii():
+            words = self.split.findall(raw.lower())
+        elif SETTLED.fullmatch(raw):
             text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()  # each character by itself
-            words = ["".join(map(self.bytes.__getitem__, w.encode())) for w in self.split.findall(text)]
+            words = ["".join([self.bytes[b] for b in w.encode()]) for w in self.split.findall(text)]
         else:
             words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(raw))]
-        for word in words:
-            for t in self.path(word + self.end):
-                ids.append(self.id[t])
-                labels.append(self.labels[t])
-        return ids, labels
-
-    def known(self, raw: str) -> tuple[int, str, str]:
-        """The number of tokens, their ids and their labels, each joined by a space."""
-        got = self.cache.get(raw)
-        if got is None:
-            ids, labels = self.piece(raw)
-            got = (len(ids), " ".join(map(str, ids)), " ".join(labels))
-            if len(raw) <= CACHED_LENGTH:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[raw] = got
+        if raw.isascii() and not raw.isprintable():
+            words = ["".join([self.bytes[b] for b in w.encode()]) for w in words]
+        parts = [self.word(w) for w in words]
+        got = parts[0] if len(parts) == 1 else (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
+        if len(raw) <= CACHED_LENGTH:
+            self.pieces.put(raw, got)
         return got
 
     def encode(self, text: str | None) -> tuple[int, str, str]:
         """Of a whole text: how many tokens, the ids joined by a space, and the decoded text."""
-        total, ids, labels = 0, [], []
+        found, known, piece = [], self.pieces.get, self.piece
 
         def plain(part: str) -> None:
-            nonlocal total
-            words = part.split() if not re.search("[\x1c-\x1f]", part) else [w for w in SPACE.split(part) if w]
-            for n, i, s in map(self.known, words):
-                if n:
-                    total += n
-                    ids.append(i)
-                    labels.append(s)
+            words = part.split() if not CONTROLS.search(part) else [w for w in SPACE.split(part) if w]
+            lately = self.pieces.new.get
+            found.extend([lately(w) or known(w) or piece(w) for w in words])
 
         text, at = text or "", 0
         if self.specials and "<|" in text:
             for m in self.specials.finditer(text):
                 plain(text[at : m.start()])
-                total += 1
-                ids.append(str(self.special[m[0]]))
-                labels.append(m[0])
+                found.append((1, str(self.special[m[0]]), m[0]))
                 at = m.end()
         plain(text[at:])
-        return total, " ".join(ids), " ".join(labels)
+        found = [f for f in found if f[0]]
+        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
 
     def decode(self, ids: list[int]) -> str:
         """The labels of the arcs, joined by a space, as the file names no decoder."""
