@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 #: Bytes of text that are turned into arrays at a time; a longer text is taken whole, alone.
 CHUNK_BYTES = 1 << 20
 #: Estimated bytes of a table up to which it is dealt out anew before a pass over its texts.
-SPREAD_BYTES = 48 << 20
+SPREAD_BYTES = 16 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
