@@ -18,7 +18,9 @@ SIMILARITY = 0.8
 RADIUS = 22
 BLOCKS = 8
 #: Bytes of benchmark text that are looked for in one pass over the documents.
-PASS_BYTES = 16 << 20
+PASS_BYTES = 4 << 20
+#: Windows that are fingerprinted at a time.
+WINDOWS = 4096
 _FILTER_BITS = 22
 
 
@@ -117,7 +119,8 @@ class Index:
         starts = np.unique((anchors[:, None] - np.arange(n - k + 1)[None, :]).ravel())
         starts = starts[(starts >= begin) & (starts + n <= stop)]
         best: dict[int, tuple[float, int]] = {}
-        for part in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):  # each run of places by itself
+        cuts = np.union1d(np.flatnonzero(np.diff(starts) > n) + 1, np.arange(WINDOWS, len(starts), WINDOWS))
+        for part in np.split(starts, cuts.astype(np.int64)):  # each run of places by itself
             if not len(part):
                 continue
             low = int(part[0])

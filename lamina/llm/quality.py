@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.llm.labelled import fold, sample
+from lamina.llm.store import cut
 from lamina.llm.words import find_words, id_type, map_texts, sliced, text_buffer
 
 #: Labelled documents of each class that the model is fitted and calibrated on, at most.
@@ -101,11 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mos
     picked, sizes = sample(docs, labels, target, folds, held, most, id_col, text_col)
     total = sum(sizes.values())
     stats_of = map_statistics(picked)
-    rows = stats_of.repartition(PARTS).sortWithinPartitions("half", "label", "stats").persist()
-    try:
-        return _train(rows, sizes, total, seed)
-    finally:
-        rows.unpersist()
+    return _train(cut(stats_of.repartition(PARTS).sortWithinPartitions("half", "label", "stats")), sizes, total, seed)
 
 
 def map_statistics(picked: DataFrame) -> DataFrame:
