@@ -100,7 +100,7 @@ def _up(node: Node | None):
 
 
 def parse(page: str) -> Node:
-    """The tree of block elements and links. Other elements leave only their text; end tags may be missing."""
+    """The tree of block elements, links and what is hidden in lines. Other elements leave only their text; end tags may be missing."""
     root = Node("root")
     at, here, size = 0, root, len(page)
 
@@ -120,13 +120,12 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if close:
-            if tag in BLOCKS or tag == "a":
-                for node in _up(here):
-                    if node.tag == tag:
-                        here = node.parent or root
-                        break
-                    if tag == "a" and node.tag in BLOCKS:
-                        break
+            for node in _up(here):
+                if node.tag == tag:
+                    here = node.parent or root
+                    break
+                if tag not in BLOCKS and node.tag in BLOCKS:
+                    break
             continue
         if tag in RAW:
             if not attributes.endswith("/") or tag not in ("svg", "math"):
@@ -140,7 +139,7 @@ def parse(page: str) -> Node:
             continue
         if tag == "a" or tag in BLOCKS:
             if tag in BLOCKS:
-                while here.tag == "a" or tag in CLOSED_BY.get(here.tag, ()):
+                while here.parent and (here.tag not in BLOCKS or tag in CLOSED_BY.get(here.tag, ())):
                     here = here.parent
                 if here.tag != "root" and tag in ("li", "dt", "dd", "tr", "td", "th"):  # an open one further up, in the same list or table
                     for node in _up(here):
@@ -153,6 +152,11 @@ def parse(page: str) -> Node:
             here.children.append(node)
             if tag != "hr":
                 here = node
+        elif here.tag == tag or attributes and not attributes.isspace():  # inline: only what is left out needs a node
+            node = _element(tag, attributes, here)
+            if node.skip:
+                here.children.append(node)
+                here = node
     return root
 
 

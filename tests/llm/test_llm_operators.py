@@ -203,6 +203,8 @@ PAGES = [
     ("<html><head><title>T</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=x>menu</a></li></ul></nav><div class='ad'>buy, buy, buy</div><article><h1>Head &amp; line</h1><p><b>One,\n  two&nbsp;three<br><p>Last &lt;p&gt;</p></article><footer>&copy; foot</footer>", "Head & line\nOne, two three\nLast <p>"),
     ("<body><div id=cookie-notice><p>We use cookies, and more, of them, all the time, for everyone who comes here.</p></div><div class=post><p>Main text, long enough, to be, the best container, by its commas.</p><!-- no <p>x</p> --><form><input><p>form</p></form></div><div class='comments'><p>I, a reader, say, this, at, length, and, more.</p></div>", "Main text, long enough, to be, the best container, by its commas."),
     ("plain text", "plain text"), ("", ""), (None, ""), ("<p>a</p><p>b</p>", "a\nb"), ("<article><p>short</article><aside>x</aside>", "short"), ("<main><ul><li>one<li>two</ul></main>", "one\ntwo"), ("<<<>>><p", "<<<>>><p"),
+    ("<article><p>keep <span class='ad'>buy <span>now</span> x</span>this <em>too</em> <b class=promo>gone<p>next, <i style='display:none'>no</i>one</article>", "keep this too\nnext, one"),
+    ("<article><p>a <span hidden>b</p><p>c</span> d</p></article>", "a\nc d"),
     ("<div>" * 3000 + "deep, text" + "</div>" * 3000, "deep, text"),
 ]
 
