@@ -33,9 +33,9 @@ CONTROLS = re.compile("[\x1c-\x1f]")
 START = -1
 _ALWAYS = 1 << 60
 #: Entries of the transition table that a task keeps.
-ARCS = 1_000_000
-#: Distinct strings between white space, and distinct words of them, whose tokens a task keeps, in each of two generations.
-PIECES, WORDS = 150_000, 150_000
+ARCS = 400_000
+#: Distinct words whose tokens a task keeps, in each of two generations.
+WORDS = 300_000
 #: Longer ones, in characters, are not kept.
 CACHED_LENGTH = 64
 #: Characters whose class and case no version of Unicode since the tokenizer's has changed. Others are classed by the library.
@@ -128,10 +128,11 @@ class Tokenizer:
         self.specials = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.bytes = byte_symbols()
+        self.unbyte = {c: b for b, c in enumerate(self.bytes)}
         bare = spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}
         self.library = LibraryTokenizer.from_str(json.dumps(bare))  # its normalizer and its split only
         self.id_text = {n: str(i) for n, i in self.id.items()}
-        self.pieces, self.words = Kept(PIECES), Kept(WORDS)
+        self.words = Kept(WORDS)
 
     def path(self, word: str) -> list[int]:
         """The accepted path whose labels spell the word (symbols, with the end mark).
@@ -156,40 +157,38 @@ class Tokenizer:
         return path
 
     def word(self, word: str) -> tuple[int, str, str]:
-        """The number of tokens of a pre-split word of byte symbols, their ids and their labels, each joined by a space."""
-        got = self.words.get(word)
-        if got is None:
-            path = self.path(word + self.end)
-            got = (len(path), " ".join([self.id_text[t] for t in path]), " ".join([self.labels[t] for t in path]))
-            if len(word) <= CACHED_LENGTH:
-                self.words.put(word, got)
+        """The number of tokens of a word as the split gives it, their ids and their labels, each joined by a space."""
+        path = self.path("".join([self.bytes[b] for b in word.encode()]) + self.end)
+        got = (len(path), " ".join([self.id_text[t] for t in path]), " ".join([self.labels[t] for t in path]))
+        if len(word) <= CACHED_LENGTH:
+            self.words.put(word, got)
         return got
 
-    def piece(self, raw: str) -> tuple[int, str, str]:
-        """The same of a text without white space and special tokens."""
-        if raw.isascii():
-            words = self.split.findall(raw.lower())
-        elif SETTLED.fullmatch(raw):
-            text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()  # each character by itself
-            words = ["".join([self.bytes[b] for b in w.encode()]) for w in self.split.findall(text)]
-        else:
-            words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(raw))]
-        if raw.isascii() and not raw.isprintable():
-            words = ["".join([self.bytes[b] for b in w.encode()]) for w in words]
-        parts = [self.word(w) for w in words]
-        got = parts[0] if len(parts) == 1 else (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
-        if len(raw) <= CACHED_LENGTH:
-            self.pieces.put(raw, got)
-        return got
+    def piece(self, raw: str) -> list[tuple[int, str, str]]:
+        """The same of each word of a text without white space and special tokens."""
+        known, word = self.words.get, self.word
+        if not SETTLED.fullmatch(raw):
+            unbyte = self.unbyte
+            split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(raw))
+            return [word(bytes([unbyte[c] for c in w]).decode("utf-8")) for w, _ in split]
+        text = raw.lower() if raw.isascii() else unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()  # each character by itself
+        if text.isalpha():
+            return [known(text) or word(text)]
+        words = [text[:-1], text[-1]] if text[-1] in ".,;!?" and text[:-1].isalpha() else self.split.findall(text)
+        return [known(w) or word(w) for w in words]
 
     def encode(self, text: str | None) -> tuple[int, str, str]:
         """Of a whole text: how many tokens, the ids joined by a space, and the decoded text."""
-        found, known, piece = [], self.pieces.get, self.piece
+        found: list[tuple[int, str, str]] = []
 
         def plain(part: str) -> None:
-            words = part.split() if not CONTROLS.search(part) else [w for w in SPACE.split(part) if w]
-            lately = self.pieces.new.get
-            found.extend([lately(w) or known(w) or piece(w) for w in words])
+            lately, piece = self.words.new.get, self.piece  # what the split gives for a word is the word
+            for w in part.split() if not CONTROLS.search(part) else [w for w in SPACE.split(part) if w]:
+                got = lately(w)
+                if got is not None:
+                    found.append(got)
+                else:
+                    found.extend(piece(w))
 
         text, at = text or "", 0
         if self.specials and "<|" in text:
@@ -198,7 +197,6 @@ class Tokenizer:
                 found.append((1, str(self.special[m[0]]), m[0]))
                 at = m.end()
         plain(text[at:])
-        found = [f for f in found if f[0]]
         return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
 
     def decode(self, ids: list[int]) -> str:
