@@ -133,11 +133,14 @@ def best(scores: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ranked(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], count: int) -> tuple[np.ndarray, ...]:
-    """Of pairs of a query and a row: the count best for each query, as (query row, row, score), scores summed alike."""
+    """Of pairs of a query and a row: the count best for each query, as (query row, row, score).
+
+    Scores are summed anew from the first component to the last, so equal vectors have equal scores wherever they are met.
+    """
     q, r = (np.concatenate([p[i] for p in pairs]) for i in (0, 1)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     other = query_ids[q] != ids[r]
     q, r = q[other], r[other]
-    score = np.concatenate([(queries[q[i : i + 65_536]] * x[r[i : i + 65_536]]).sum(axis=1) for i in range(0, len(q), 65_536)]) if len(q) else np.zeros(0)
+    score = np.concatenate([np.cumsum(queries[q[i : i + 16_384]] * x[r[i : i + 16_384]], axis=1)[:, -1] for i in range(0, len(q), 16_384)]) if len(q) else np.zeros(0)
     order = np.lexsort((ids[r], -score, q))
     q, r, score = q[order], r[order], score[order]
     start = np.searchsorted(q, q, side="left")
