@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from lamina.sources.feeds import ELEMENT_KEYS, META, PARENTS, columns_of
 from lamina.sources.labels import COMBINED
 
 #: Layers: raw, staged and curated.
-RAW, STAGING, CURATED = "bronze", "silver_staging", "silver"
+RAW, STAGING, CURATED = (os.environ.get(name, default) for name, default in (("BRONZE_SCHEMA", "bronze"), ("DECOMP_SCHEMA", "silver_staging"), ("SILVER_SCHEMA", "silver")))
 GRAINS = ("core", "locations", "rates")
 
 

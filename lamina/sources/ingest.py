@@ -20,7 +20,7 @@ from lamina.sources.payloads import read_payloads, require_valid
 from lamina.sources.tables import Tables
 
 log = logging.getLogger(__name__)
-RAW = "bronze"
+RAW = os.environ.get("BRONZE_SCHEMA", "bronze")
 
 
 @dataclass
@@ -32,7 +32,7 @@ class Settings:
     pipeline_name: str = field(default_factory=lambda: os.environ.get("PIPELINE_NAME", "ingestion"))
     triggered_by: str = field(default_factory=lambda: os.environ.get("TRIGGERED_BY", "manual"))
     sink: str = field(default_factory=lambda: os.environ.get("DB_TYPE", "parquet"))
-    layer: str = field(default_factory=lambda: os.environ.get("BRONZE_SCHEMA", RAW))
+    layer: str = field(default_factory=lambda: RAW)
 
 
 @dataclass
