@@ -318,6 +318,6 @@ def keep_first(docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "
     Rows with a null id stay, for no id names them, and so do repeated rows of the first id and text.
     """
     found = _grouped(docs, radius, width, id_col, text_col).filter("doc_id <> component_id")
-    gone = cut(found.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct())
-    same = (docs[id_col] == F.col("_gone_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_gone_key"))
+    gone = cut(found.select("doc_id", "text_key").distinct())
+    same = (docs[id_col] == gone["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["text_key"])
     return docs.join(small_or_not(gone), same, "left_anti")

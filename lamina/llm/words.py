@@ -6,6 +6,7 @@ byte of a character outside ASCII is at least 0x80, so runs of bytes are runs of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ LOWER[65:91] += 32
 IN_WORD = np.zeros(256, dtype=bool)
 IN_WORD[48:58] = IN_WORD[97:123] = IN_WORD[128:] = True
 
+_MORE_THAN_A_SCAN = re.compile("Join|Aggregate|Repartition|Sort|Window|Distinct|Union|Limit|Generate|Python|Arrow")
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -152,10 +154,12 @@ def sliced(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iter
 
 
 def spread(df: DataFrame, small: int = SPREAD_BYTES) -> DataFrame:
-    """A small table dealt out to all cores, as its one or two files would keep one or two of them busy; others as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size <= small and cores > 1 else df
+    """A small table in a few partitions dealt out to all cores, as one file would keep one of them busy; others as they are."""
+    cores, query = df.sparkSession.sparkContext.defaultParallelism, df._jdf.queryExecution()
+    plan = query.optimizedPlan()
+    if cores < 2 or int(str(plan.stats().sizeInBytes())) > small or _MORE_THAN_A_SCAN.search(plan.toString()):
+        return df
+    return df.repartition(cores) if query.toRdd().getNumPartitions() < 2 * cores else df
 
 
 def two_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -59,3 +59,30 @@ def test_stages_keep_the_columns(spark):
 def test_every_query_runs(spark):
     for name, query in queries().items():
         assert query(spark, SF).columns, name
+
+
+def edge_documents(spark):
+    """Nulls in every column, empty and long texts, repeated rows, and columns named like the stages' own."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _gone_id long, _gone_key long, root long, fp long, score double, label int, half int, key string, stats string, hash long, copy int"
+    texts = [None, "", " ", "a", "idiot moron scum " * 3, "password=abcdefgh1", "w " * 30_000, "same text of two", "same text of two", "日本語"]
+    rows = [(i, t, None if i % 2 else "en", None, None if t is None else len(t)) for i, t in enumerate(texts)]
+    rows += [(None, "no id", None, None, 5), (None, None, None, None, None), (7, "same text of two", "en", "s", 16), (3, "another of id 3", "en", "s", 15)]
+    return spark.createDataFrame([(*r, 1, 2, 3, 4, 0.5, 1, 0, "k", "s", 5, 1) for r in rows], schema)
+
+
+def test_stages_on_edge_cases(spark):
+    docs = edge_documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        if name == "bpe":
+            assert out.count() == docs.count()
+            continue
+        assert out.columns == docs.columns, name
+        texts = [r.text for r in out.collect()]
+        if name == "simhash_near_dedup":
+            assert texts.count("same text of two") == 2 and texts.count("no id") == 1  # two rows have the first id and its text
+        if name == "secret_scan":
+            assert len(texts) == docs.count() and "[SECRET]" in texts
+        if name == "decontamination":
+            assert len(texts) == docs.count()
