@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.functions.values import bigint, blank_to_null, date, days_between, is_blank, numeric, timestamp, yes_no
+from lamina.functions.values import bigint, blank_to_null, date, days_between, first_filled, is_blank, numeric, timestamp, yes_no
 from lamina.operators.amendments import fold, kind_of, settle_undescribed
 from lamina.operators.elements import elements
 from lamina.operators.ids import numbered
@@ -20,6 +20,7 @@ from lamina.operators.pairing import Pairing, pair
 from lamina.operators.scope import scoped
 from lamina.operators.transport import transport_rates
 from lamina.session import reach
+from lamina.sources.labels import feed_name_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -332,3 +333,26 @@ def table_inventory(spark, sf_dir):
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders")
 def dense_row_ids(spark, sf_dir):
     return numbered(table(spark, sf_dir, "orders").select("o_orderkey"), [F.col("o_orderkey").asc()], "n")
+
+
+@query("""
+    SELECT event_id, CASE event_type WHEN 'click' THEN 'firm' WHEN 'view' THEN 'interruptible' WHEN 'purchase' THEN 'awards' WHEN 'signup' THEN 'index' ELSE '_combined' END AS feed FROM events
+""")
+def feed_labels(spark, sf_dir):
+    label = F.expr("CASE event_type WHEN 'click' THEN ' Firms' WHEN 'view' THEN 'gTRAN_IT ' WHEN 'purchase' THEN 'AWARD' WHEN 'signup' THEN 'gindex' WHEN 'error' THEN 'something' END")
+    return table(spark, sf_dir, "events").select("event_id", feed_name_of(label).alias("feed"))
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'a' WHEN o_orderkey % 2 = 0 THEN 'b' ELSE 'source/' || o_orderstatus END AS source_api FROM orders
+""")
+def source_api_resolution(spark, sf_dir):
+    given = [F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 'a' WHEN o_orderkey % 5 = 0 THEN '' END"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 'b' ELSE '' END")]
+    return table(spark, sf_dir, "orders").select("o_orderkey", first_filled(*given, F.concat(F.lit("source/"), F.col("o_orderstatus"))).alias("source_api"))
+
+
+@query("""
+    SELECT n_nationkey, n_name, row_number() OVER (ORDER BY n_regionkey NULLS FIRST, n_name) AS place FROM nation
+""")
+def report_order(spark, sf_dir):
+    return numbered(table(spark, sf_dir, "nation"), [F.col("n_regionkey").asc_nulls_first(), F.col("n_name").asc_nulls_last()], "place").select("n_nationkey", "n_name", "place")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 log = logging.getLogger(__name__)
 
 COMBINED = "_combined"
@@ -31,5 +34,11 @@ def feed_name(label: str | None) -> str:
     return name or COMBINED
 
 
+def feed_name_of(label: Column) -> Column:
+    """feed_name() of a column of labels."""
+    known = F.create_map(*[F.lit(x) for pair in _NAME.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.lower(F.trim(label))), F.lit(COMBINED))
+
+
 def spellings(feed: str) -> tuple[str, ...]:
     return tuple(sorted({*SPELLINGS[feed_name(feed)], feed_name(feed)}))
