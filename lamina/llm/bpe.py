@@ -35,7 +35,7 @@ _ALWAYS = 1 << 60
 #: Entries of the transition table that a task keeps.
 ARCS = 400_000
 #: Distinct words whose tokens a task keeps, in each of two generations.
-WORDS = 300_000
+WORDS = 120_000
 #: Longer ones, in characters, are not kept.
 CACHED_LENGTH = 64
 #: Characters whose class and case no version of Unicode since the tokenizer's has changed. Others are classed by the library.
