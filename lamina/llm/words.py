@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that are turned into arrays at a time; a longer text is taken whole, alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Estimated bytes of a table up to which it is dealt out anew before a pass over its texts.
 SPREAD_BYTES = 16 << 20
 
@@ -45,7 +45,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the hash's base and of its inverse modulo 2**64, at least n of each."""
     have = _powers.get(0)
     if have is None or len(have[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES + 1)
         tables = []
         for base in (_P, _P_INVERSE):
             row = np.full(size, base, dtype=np.uint64)
