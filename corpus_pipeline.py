@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lamina.llm import bpe, decontaminate, secrets, simhash, toxicity
 from lamina.llm.queries import table, vocabulary_path
+from lamina.llm.words import spread
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
