@@ -41,7 +41,7 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form dial
 SIBLING = 0.2
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     parent: "Node | None" = None
