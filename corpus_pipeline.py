@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, decontaminate, secrets, simhash, toxicity
+from lamina.llm import bpe, decontaminate, neardup, secrets, toxicity
 from lamina.llm.queries import table, vocabulary_path
 from lamina.llm.words import spread
 
@@ -15,8 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one of the smallest id."""
-    return simhash.keep_first(docs)
+    """One document of each group of near-duplicates, of five-word shingles' similarity 0.8, stays: the one of the smallest id."""
+    return neardup.keep_first(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
