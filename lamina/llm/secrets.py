@@ -6,8 +6,11 @@ import hashlib
 import random
 import re
 import string
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +38,13 @@ _DIGIT[48:58] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 
-#: Characters that the network sees: before the candidate, of it, and after it.
+#: Characters that the network sees at a time: before the window, of the candidate in it, and after it.
 BEFORE, INSIDE, AFTER = 24, 48, 8
 LENGTH = BEFORE + INSIDE + AFTER
+#: A longer candidate is seen in windows that begin so many characters apart, the last one at its end.
+STEP = 24
+#: Windows that are scored at a time.
+BATCH = 1024
 TAPS, FILTERS, EPOCHS, FINDINGS = 5, 16, 14, 3000
 #: The share of true secrets that the threshold keeps on findings that the network wasn't fitted on.
 RECALL = 0.98
@@ -48,16 +55,26 @@ for _n, _c in enumerate(string.printable.strip() + " \n", start=2):
 _SYMBOLS = 2 + len(string.printable.strip()) + 2
 
 
-def encode(text: str, start: int, end: int) -> np.ndarray:
-    """Numbers of the characters around and in a candidate; each of the three regions has numbers of its own. 0: none."""
-    out = np.zeros(LENGTH, dtype=np.int64)
-    parts = (text[max(0, start - BEFORE) : start], text[start : min(end, start + INSIDE)], text[end : end + AFTER])
-    for region, (part, at) in enumerate(zip(parts, (BEFORE - len(parts[0]), BEFORE, BEFORE + INSIDE))):
-        if part:
-            points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            out[at : at + len(part)] = np.where(points < 128, _CODES[np.minimum(points, 127)], 1) + region * _SYMBOLS
-            out[at : at + len(part)][points >= 128] = 1 + region * _SYMBOLS
-    return out
+def encode(text: str, start: int, end: int) -> Iterator[np.ndarray]:
+    """Rows of numbers of the characters in and around each window of a candidate, at most BATCH rows at a time.
+
+    What comes before a window, what is in it, and what comes after it have numbers of their own. 0: none.
+    """
+    low, size = max(0, start - BEFORE), min(INSIDE, end - start)
+    points = np.frombuffer(text[low : end + AFTER].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    codes = np.zeros(BEFORE + end - start + AFTER, dtype=np.int64)
+    there = np.zeros(len(codes), dtype=np.int64)
+    at = slice(BEFORE - (start - low), BEFORE - (start - low) + len(points))
+    codes[at], there[at] = np.where(points < 128, _CODES[np.minimum(points, 127)], 1), 1
+    regions = [(0, 0, BEFORE), (BEFORE, BEFORE, size), (BEFORE + INSIDE, BEFORE + size, AFTER)]
+    starts = np.unique(np.append(np.arange(0, end - start - size + 1, STEP), end - start - size))
+    for i in range(0, len(starts), BATCH):
+        some = starts[i : i + BATCH]
+        out = np.zeros((len(some), LENGTH), dtype=np.int64)
+        for region, (to, source, n) in enumerate(regions):
+            place = some[:, None] + source + np.arange(n)[None, :]
+            out[:, to : to + n] = codes[place] + region * _SYMBOLS * there[place]
+        yield out
 
 
 @dataclass
@@ -73,6 +90,8 @@ class Network:
     slope: float = 1.0
     offset: float = 0.0
     threshold: float = 0.5
+    #: The share of secrets over the threshold, of the findings that gave it.
+    recall: float = 0.0
 
     def forward(self, x: np.ndarray):
         n = x.shape[1] - TAPS + 1
@@ -82,21 +101,48 @@ class Network:
         h = np.maximum(pooled @ self.hidden + self.hidden_bias, 0)
         return conv, pooled, h, h @ self.out + self.out_bias
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        logits = np.concatenate([self.forward(x[i : i + 256])[3] for i in range(0, len(x), 256)]) if len(x) else np.zeros(0)
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.forward(x[i : i + 256])[3] for i in range(0, len(x), 256)]) if len(x) else np.zeros(0)
+
+    def calibrated(self, logits: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * logits + self.offset, -35, 35)))
 
+    def scores(self, candidates: Iterable[tuple[str, int, int]]) -> np.ndarray:
+        """For each candidate (text, start, end) the greatest score of its windows; only BATCH windows are held at a time."""
+        best: list[float] = []
+        held, owner, size = [], [], 0
+
+        def flush() -> None:
+            nonlocal held, owner, size
+            if size:
+                np.maximum.at(found := np.array(best), np.concatenate(owner), self.logits(np.concatenate(held)))
+                best[:] = found.tolist()
+            held, owner, size = [], [], 0
+
+        for n, (text, start, end) in enumerate(candidates):
+            best.append(-np.inf)
+            for rows in encode(text, start, end):
+                held.append(rows)
+                owner.append(np.full(len(rows), n))
+                size += len(rows)
+                if size >= BATCH:
+                    flush()
+        flush()
+        return self.calibrated(np.array(best))
+
 
 def train(findings: list[tuple[str, int, int, int]], recall: float = RECALL, seed: int = 3) -> Network:
-    """A network fitted on labelled findings (text, start, end, label), label 1 for a secret.
+    """A network fitted on all windows of labelled findings (text, start, end, label), label 1 for a secret.
 
     Every fifth finding is kept for Platt's calibration of the score and for the threshold: the greatest that still keeps
-    the share recall of that part's secrets.
+    the share recall of that part's secrets, a finding being worth its best window.
     """
     rng = np.random.default_rng(seed)
-    x = np.stack([encode(*f[:3]) for f in findings])
-    y = np.array([f[3] for f in findings], dtype=np.float64)
-    aside = np.arange(len(y)) % 5 == 4
+    windows = [np.concatenate(list(encode(*f[:3]))) for f in findings]
+    owner = np.repeat(np.arange(len(findings)), [len(w) for w in windows])
+    x, label = np.concatenate(windows), np.array([f[3] for f in findings], dtype=np.float64)
+    y = label[owner]
+    aside = owner % 5 == 4
     net = Network(rng.normal(0, 0.25, (TAPS, 3 * _SYMBOLS, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.2, (2 * FILTERS, 16)), np.zeros(16), rng.normal(0, 0.2, 16), 0.0)
     names = ("taps", "bias", "hidden", "hidden_bias", "out", "out_bias")
     moments = {k: [np.zeros_like(np.asarray(getattr(net, k), dtype=float)) for _ in range(2)] for k in names}
@@ -124,13 +170,17 @@ def train(findings: list[tuple[str, int, int, int]], recall: float = RECALL, see
                 m += 0.1 * (grads[k2] - m)
                 v += 0.001 * (grads[k2] ** 2 - v)
                 setattr(net, k2, getattr(net, k2) - 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8))
-    logits, labels = net.forward(x[aside])[3], y[aside]
+    logits = np.full(len(findings), -np.inf)
+    np.maximum.at(logits, owner[aside], net.logits(x[aside]))
+    logits, labels = logits[4::5], label[4::5]
     for _ in range(200):  # Platt's scaling
-        p = 1 / (1 + np.exp(-np.clip(net.slope * logits + net.offset, -35, 35)))
+        p = net.calibrated(logits)
         net.slope -= 0.05 * float(np.mean((p - labels) * logits) + 1e-3 * (net.slope - 1))
         net.offset -= 0.05 * float(np.mean(p - labels))
-    kept = np.sort(net.scores(x[aside])[labels == 1])
-    net.threshold = float(max(0.5, kept[int(np.floor((1 - recall) * len(kept)))])) if len(kept) else 0.5
+    kept = np.sort(net.calibrated(logits)[labels == 1])
+    if len(kept):
+        net.threshold = float(kept[int(np.floor((1 - recall) * len(kept)))])
+        net.recall = float((kept >= net.threshold).mean())
     return net
 
 
@@ -208,13 +258,14 @@ def candidate_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def find(texts: pa.Array, network: Network) -> list[list[tuple[int, int, int]]]:
     """All spans (start, kind, end) of each text by start and kind, in code points; the last kind is the network's own.
 
-    The network judges every candidate that no fixed pattern touches.
+    The network judges every candidate but those wholly inside a span of a fixed pattern, from end to end. A candidate that
+    such a span touches or lies in is judged and reported as a whole, beside that span.
     """
     doc, start, end, both = candidate_bytes(texts)
     strings = texts.to_pylist()
     longest = np.zeros(len(strings), dtype=bool)
     longest[doc] = True
-    found, inputs, owners = [], [], []
+    found, owners = [], []
     runs: dict[int, list[tuple[int, int]]] = {}
     for d, s, e in zip(doc[both].tolist(), start[both].tolist(), end[both].tolist()):
         runs.setdefault(d, []).append((s, e))
@@ -223,20 +274,30 @@ def find(texts: pa.Array, network: Network) -> list[list[tuple[int, int, int]]]:
         base = base_spans(text) if longest[d] or "=" in text or ":" in text else []  # other kinds need a long run
         found.append(base)
         if d in runs:
-            raw = None if text.isascii() else text.encode("utf-8", "surrogatepass")
-            for s, e in runs[d]:
-                if raw is not None:
-                    s, e = len(raw[:s].decode("utf-8", "surrogatepass")), len(raw[:e].decode("utf-8", "surrogatepass"))
-                if not any(a < e and s < b for a, _, b in base):
-                    inputs.append(encode(text, s, e))
-                    owners.append((d, s, e))
-    if inputs:
-        for (d, s, e), p in zip(owners, network.scores(np.stack(inputs)).tolist()):
-            if p >= network.threshold:
-                found[d].append((s, len(KINDS), e))
+            own = runs[d]
+            if not text.isascii():  # from bytes to code points: less the later bytes of characters before
+                later = np.cumsum((np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8) & 0xC0) == 0x80)
+                own = [(s - int(later[s]), e - int(later[e - 1])) for s, e in own]
+            covered = Covered(base)
+            owners += [(d, s, e) for s, e in own if not covered.inside(s, e)]
+    for (d, s, e), p in zip(owners, network.scores((strings[d], s, e) for d, s, e in owners).tolist()):
+        if p >= network.threshold:
+            found[d].append((s, len(KINDS), e))
     return [sorted(spans) for spans in found]
 
 
+class Covered:
+    """Tells whether a place lies wholly in one of some spans, by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = [s for s, _, _ in spans]
+        self.ends = list(accumulate((e for _, _, e in spans), max))
+
+    def inside(self, start: int, end: int) -> bool:
+        at = bisect_right(self.starts, start)
+        return at > 0 and self.ends[at - 1] >= end
+
+
 def _named(spans: list[tuple[int, int, int]]) -> str:
     names = [k[0] for k in KINDS] + [LEARNED]
     return ",".join(f"{names[k]}:{s}:{e}" for s, k, e in spans)
