@@ -443,6 +443,43 @@ def test_small_groups_find_the_same(spark, monkeypatch):
     assert sorted(ann.search(df, recall=1.0).collect()) == sorted(whole)
 
 
+@pytest.mark.parametrize("every", [1, 20])
+def test_repeated_ids_rows_and_vectors(spark, every):
+    """Rows of one id are candidates of each other; columns may be named like the operator's own."""
+    rng = np.random.default_rng(6)
+    ids = [20, 20, 1, 2, 3, 3, 40, 40, 40, *range(60, 100)]
+    x = [rng.normal(size=4).round(1).tolist() for _ in ids]
+    x[7] = x[6]
+    x[9:39] = [x[0]] * 30  # more copies of a vector than a query has neighbours
+    rows = [(i, v, 1, 2, 3, 4, 5, 6.0) for i, v in zip(ids, x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row long, key long, hash long, leaf int, v int, score double").repartition(3)
+    want = []
+    for a, i in enumerate(ids):
+        if i % every == 0:
+            score = [sum(np.float64(p) * q for p, q in zip(x[a], v)) for v in x]
+            order = sorted((b for b in range(len(ids)) if b != a), key=lambda b: (-score[b], ids[b]))[:3]
+            want += [(i, n + 1, ids[b], round(score[b], 9)) for n, b in enumerate(order)]
+    got = [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.search(df, every=every, count=3, recall=1.0).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_copies_of_the_index_stay_linear():
+    rng = np.random.default_rng(1)
+    room, query_rows, visits = 100, 5, 4
+    for scale in (1, 10):
+        held = rng.integers(0, 300, 200 * scale).tolist()
+        deal = ann.Deal.of(held, room)
+        size = np.zeros(deal.shards)
+        wanted = {}
+        for leaf, n in enumerate(held):
+            for s in range(deal.first[leaf], deal.first[leaf] + deal.parts[leaf]):
+                size[s] += n / deal.parts[leaf]
+                wanted[s] = wanted.get(s, 0) + visits * n // 20
+        assert size.max() <= room
+        blocks = ann.blocks_of({s: n for s, n in wanted.items() if n}, query_rows)
+        assert sum(size[s] * b for s, b in blocks.items()) <= sum(held) + room / query_rows * sum(wanted.values())
+
+
 # token counts
 
 
