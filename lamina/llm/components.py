@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lamina.llm.store import cut
+from lamina.llm.store import cut, small_or_not
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,3 +46,28 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def keep_one(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with one row of each group, with all their columns: the row of the smallest id, null last, then of the smallest text_key.
+
+    rows: (doc_id, text_key, grp) for every row of docs; text_key is what xxhash64() gives for the text. Of repeated rows of
+    one id and text one stays. Only keys of rows that go, or are repeated, meet the documents.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    marked = rows.join(small_or_not(cut(rows.groupBy("grp").agg(first))), "grp")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    keys = cut(marked.groupBy("doc_id", "text_key", stays.alias("stays")).agg(F.count(F.lit(1)).alias("n")).filter("NOT stays OR n > 1"))
+
+    def same(keys: DataFrame):
+        return docs[id_col].eqNullSafe(keys["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == keys["text_key"])
+
+    apart = small_or_not(keys.select("doc_id", "text_key"))
+    alone = docs.join(apart, same(apart), "left_anti")
+    repeated = keys.filter("stays").select("doc_id", "text_key")
+    if repeated.isEmpty():
+        return alone
+    repeated = small_or_not(repeated)
+    again, place = docs.join(repeated, same(repeated), "left_semi"), "_" + max(docs.columns, key=len)
+    several = W.partitionBy(again[id_col], F.xxhash64(again[text_col].cast("string"))).orderBy(F.lit(1))
+    return alone.unionByName(again.withColumn(place, F.row_number().over(several)).filter(F.col(place) == 1).drop(place))

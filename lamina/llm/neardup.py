@@ -1,9 +1,15 @@
-"""Near-duplicates by exact similarity of word shingles: prefixes of rare shingles, verification, components.
+"""Near-duplicates by exact similarity of word shingles: SimHash links first, then prefixes of rare shingles for the rest.
 
 The weighted similarity of two texts is that of decontaminate.weighted_similarity: shingles that both have, over those
-that either has, each counted as often as it occurs. No pair of at least the asked similarity is lost: in one order of all
-shingles, the first n - ceil(similarity * n) + k of n shingles of one text and those of the other have k in common. k grows
-with n, for long texts have single shingles in common by chance; of two texts the lesser k counts.
+that either has, each counted as often as it occurs. No pair of at least the asked similarity is left unlinked:
+
+1. Fingerprints of the shingles meet by the general pigeonhole plan of simhash.link_edges; each link is verified by the exact
+   similarity. That joins most of any large group, by as many links as it has texts.
+2. In one order of all shingles, the first n - ceil(similarity * n) + k of n shingles of one text and those of the other have
+   k in common. So texts not yet in one component meet under each shingle of their prefixes, and those that have k in common
+   are verified, too. k grows with n, for long texts have single shingles in common by chance; of two texts the lesser k counts.
+
+Texts of one component are not compared again, so copies of copies are not expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -18,22 +24,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.components import components
+from lamina.llm.components import components, keep_one
 from lamina.llm.decontaminate import SIMILARITY, WIDTH
-from lamina.llm.simhash import SEED, shingle_hashes
+from lamina.llm.simhash import SEED, fingerprint, link_edges, shingle_hashes
 from lamina.llm.store import cut, small_or_not
 from lamina.llm.words import id_type, map_texts, mix
 
 #: Texts whose shingles are counted for the order of shingles, and the most shingles that are told apart by their counts.
 #: Any order gives the same pairs; rare shingles first makes few candidates of them.
 SAMPLE, COMMON = 20_000, 200_000
+#: Differing bits up to which fingerprints are linked before the prefixes, and rows under one shingle that are compared at once.
+RADIUS, FEW = 4, 64
+#: Pairs that are made at a time.
+PAIRS = 1 << 20
 #: Against rounding of products of similarity and sizes; it only adds candidates.
 _SLACK = 1e-9
 
 
 def bag(text: str | None, width: int = WIDTH) -> np.ndarray:
+    return bag_of(shingle_hashes(text, width))
+
+
+def bag_of(hashes: np.ndarray) -> np.ndarray:
     """The shingles' hashes in order, the second and further ones of equal shingles changed by their number: a set."""
-    h = np.sort(shingle_hashes(text, width))
+    h = np.sort(hashes)
     if len(h) > 1:
         at = np.arange(len(h))
         again = at - np.maximum.accumulate(np.where(np.diff(h, prepend=~h[:1]) != 0, at, 0))
@@ -74,7 +88,7 @@ def common_shingles(docs: DataFrame, width: int, id_col: str, text_col: str) ->
 
 
 def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_key, bag long, n, prefix) for every row; bag is equal for equal bags, n the shingles."""
+    """(doc_id, text_key, bag long, fp long, n, prefix) for every row; bag is equal for equal bags, n the shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width, id_col, text_col))  # of COMMON rows at most
 
     def make():
@@ -82,48 +96,65 @@ def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_
 
         def f(ids: pa.Array, texts: pa.Array) -> list:
             rows = texts.to_pylist()
-            bags = [bag(t, width) for t in rows]
+            shingles = [shingle_hashes(t, width) for t in rows]
+            bags, prints = [bag_of(h) for h in shingles], [fingerprint(h) for h in shingles]
             keys = [SEED if t is None else xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) for t in rows]
             names = [xxhash.xxh64_intdigest(b.tobytes(), SEED) for b in bags]
             sizes = np.array([len(b) for b in bags], dtype=np.int64)
             firsts = pa.array([prefix(b, common, counts, similarity).tobytes() for b in bags], pa.binary())
-            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, names)), sizes, firsts]
+            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, names, prints)), sizes, firsts]
 
         return f
 
-    fields = [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("bag", T.LongType()), ("n", T.LongType()), ("prefix", T.BinaryType())]
+    fields = [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("bag", T.LongType()), ("fp", T.LongType()), ("n", T.LongType()), ("prefix", T.BinaryType())]
     return map_texts(docs, fields, make, id_col, text_col)
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each bag under every hash of its prefix."""
+    """Each bag, with its component and size, under every hash of its prefix."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            names, sizes = (part.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            firsts = [np.frombuffer(p, dtype=np.int64) for p in part.column(2).to_pylist()]
+            firsts = [np.frombuffer(p, dtype=np.int64) for p in part.column(3).to_pylist()]
             each = [len(p) for p in firsts]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), pa.array(np.repeat(names, each)), pa.array(np.repeat(sizes, each))], names=["token", "bag", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), *(pa.array(np.repeat(part.column(i).to_numpy(zero_copy_only=False), each)) for i in range(3))], names=["token", "comp", "bag", "n"])
 
 
 def _meet(similarity: float):
-    """Pairs of bags under one hash whose sizes allow the similarity; rows come ordered by hash and size."""
-
-    def pairs(token: np.ndarray, names: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        left, apart = np.arange(len(token)), 1
-        while True:
+    """Pairs of bags of different components under one hash whose sizes allow the similarity; rows come ordered by hash and component."""
+
+    def made(names: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        fit = low >= similarity * high - _SLACK
+        if fit.any():
+            x, y = names[i[fit]], names[j[fit]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y)), pa.array(shared_least(low[fit]))], names=["a", "b", "least"])
+
+    def pairs(token: np.ndarray, comp: np.ndarray, names: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
+        size = np.diff(np.append(start, len(token)))
+        live = comp[start] != comp[start + size - 1]
+        few = np.flatnonzero(np.repeat(live & (size <= FEW), size))
+        left, apart = few, 1
+        while len(left):  # each row with the one so many places on
             left = left[left + apart < len(token)]
-            left = left[(token[left] == token[left + apart]) & (n[left] >= similarity * n[left + apart] - _SLACK)]
-            if not len(left):
-                return
-            x, y = names[left], names[left + apart]
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y)), pa.array(shared_least(n[left]))], names=["a", "b", "least"])
+            left = left[token[left] == token[left + apart]]
+            yield from made(names, n, left[differ := comp[left] != comp[left + apart]], left[differ] + apart)
             apart += 1
+        for s, c in zip(start[live & (size > FEW)].tolist(), size[live & (size > FEW)].tolist()):
+            at = np.arange(s, s + c)
+            runs = sorted(np.split(at, np.flatnonzero(np.diff(comp[at])) + 1), key=len)
+            order, done = np.concatenate(runs), 0
+            for run in runs[:-1]:  # each row of the smaller components with all of the larger
+                done += len(run)
+                step = max(1, PAIRS // len(order[done:]))
+                for i in range(0, len(run), step):
+                    yield from made(names, n, np.repeat(run[i : i + step], len(order) - done), np.tile(order[done:], len(run[i : i + step])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             if not len(rows[0]):
                 continue
             tail = int(np.searchsorted(rows[0], rows[0][-1]))
@@ -153,39 +184,49 @@ def _bags(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     return map_texts(docs, [("bag", T.LongType()), ("hashes", T.ArrayType(T.LongType()))], make, id_col, text_col)
 
 
-def links(docs: DataFrame, distinct: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b) for every two different bags of at least the similarity. distinct: (bag, n, prefix), one row for each bag."""
-    posted = distinct.select("bag", "n", "prefix").mapInArrow(_postings, "token long, bag long, n long")
-    ordered = posted.repartition("token").sortWithinPartitions("token", "n")
-    often = ordered.mapInArrow(_meet(similarity), "a long, b long, least long").groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("shared"))
-    met = cut(often.filter("shared >= least").select("a", "b"))
-    wanted = cut(met.select(F.col("a").alias("bag")).union(met.select("b")).distinct())
-    bags = cut(_bags(docs, width, id_col, text_col).join(small_or_not(wanted), "bag", "left_semi").groupBy("bag").agg(F.first("hashes").alias("hashes")))
-    pairs = met.join(bags.toDF("a", "x"), "a").join(bags.toDF("b", "y"), "b")
-    both = pairs.select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
-    return both.filter(F.col("both") / (F.col("sizes") - F.col("both")) >= similarity).select("a", "b")
+def verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
+    """Those of some pairs (a, b) of bags that have at least the similarity. Only texts of bags in a pair are read anew."""
+    wanted = pairs.select(F.col("a").alias("bag")).union(pairs.select("b")).distinct()
+    keys = small_or_not(cut(distinct.join(wanted, "bag").select("first.doc_id", "first.text_key")))
+    same = docs[id_col].eqNullSafe(keys["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == keys["text_key"])
+    bags = cut(_bags(docs.join(keys, same, "left_semi"), width, id_col, text_col).groupBy("bag").agg(F.first("hashes").alias("hashes")))
+    both = pairs.join(bags.toDF("a", "x"), "a").join(bags.toDF("b", "y"), "b")
+    sizes = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
+    return cut(sizes.filter(F.col("both") / (F.col("sizes") - F.col("both")) >= similarity).select("a", "b"))
 
 
-def groups(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, component_id) for every row: the smallest doc_id reachable over links, the row's own included.
+def fingerprint_pairs(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): bags that links of their fingerprints connect. Of bags with one fingerprint, all pair with the first."""
+    heads = cut(distinct.groupBy("fp").agg(F.min("bag").alias("head")))
+    alike = distinct.join(heads, "fp").filter("bag <> head").select(F.col("bag").alias("a"), F.col("head").alias("b"))
+    edges = link_edges(heads, radius)[0].distinct().join(heads.toDF("a", "x"), "a").join(heads.toDF("b", "y"), "b")
+    return cut(alike.unionByName(edges.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
-    Equal bags, those without any word too, are one node. Rows with a null id join components but give them no id.
-    """
+
+def prefix_pairs(distinct: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): bags of different components with as many common hashes in their prefixes as the similarity asks."""
+    placed = distinct.join(small_or_not(roots.withColumnRenamed("node", "bag")), "bag", "left")
+    posted = placed.select(F.coalesce("root", "bag").alias("comp"), "bag", "n", "prefix").mapInArrow(_postings, "token long, comp long, bag long, n long")
+    ordered = posted.repartition("token").sortWithinPartitions("token", "comp")
+    often = ordered.mapInArrow(_meet(similarity), "a long, b long, least long").groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("shared"))
+    return cut(often.filter("shared >= least").select("a", "b"))
+
+
+def _grouped(docs: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, grp) for every row; grp is the same for all rows of a component."""
     prints = cut(_prefixes(docs, similarity, width, id_col, text_col))
-    distinct = cut(prints.groupBy("bag").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    roots = cut(components(links(docs, distinct, similarity, width, id_col, text_col)).withColumnRenamed("node", "bag"))
-    firsts = distinct.select("bag", "first_id")
-    least = firsts.join(small_or_not(roots), "bag").groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = cut(roots.join(least, "root").select("bag", "least_id"))
-    named = cut(firsts.join(small_or_not(linked), "bag", "left").select("bag", F.coalesce("least_id", "first_id").alias("component_id")))
-    return prints.select("doc_id", "text_key", "bag").join(small_or_not(named), "bag").drop("bag")
+    first = F.min(F.struct("doc_id", "text_key")).alias("first")
+    distinct = cut(prints.groupBy("bag").agg(first, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
+    near = verified(docs, distinct, fingerprint_pairs(distinct), similarity, width, id_col, text_col)
+    rest = prefix_pairs(distinct, cut(components(near)), similarity)
+    roots = cut(components(near.unionByName(verified(docs, distinct, rest, similarity, width, id_col, text_col))).select(F.col("node").alias("bag"), "root"))
+    return cut(prints.select("doc_id", "text_key", "bag").join(small_or_not(roots), "bag", "left").select("doc_id", "text_key", F.coalesce("root", "bag").alias("grp")))
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that are not first in their component, with all their columns.
+    """docs with one row of each component of texts linked at the similarity, with all their columns: that of the smallest id.
 
-    Rows with a null id stay, for no id names them, and so do repeated rows of the first id and text.
+    Equal bags, those without any word too, are one node. Rows with a null id come after all others; of repeated rows of one
+    id and text one stays (see keep_one). An empty table gives an empty one.
     """
-    gone = cut(groups(docs, similarity, width, id_col, text_col).filter("doc_id <> component_id").select("doc_id", "text_key").distinct())
-    same = (docs[id_col] == gone["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["text_key"])
-    return docs.join(small_or_not(gone), same, "left_anti")
+    return keep_one(docs, _grouped(docs, similarity, width, id_col, text_col), id_col, text_col)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.components import components
+from lamina.llm.components import components, keep_one
 from lamina.llm.store import cut, small_or_not
 from lamina.llm.words import id_type, map_texts
 
@@ -201,17 +201,18 @@ CROWD = 2048
 
 
 def _walk(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each fingerprint is compared only with those not yet reached, so a dense group costs little."""
+    """Each fingerprint is compared only with those not yet reached, so a dense group costs little; each edge is a link."""
     left, a, b = fp, [], []
     while len(left) > 1:
         root, left = left[0], left[1:]
         queue = [root]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= radius
+            here = queue.pop()
+            near = np.bitwise_count(left ^ here) <= radius
             if near.any():
                 found = left[near]
                 left = left[~near]
-                a.append(np.full(len(found), root))
+                a.append(np.full(len(found), here))
                 b.append(found)
                 queue.extend(found)
     return (np.concatenate(a), np.concatenate(b)) if a else (fp[:0], fp[:0])
@@ -289,14 +290,14 @@ def link_edges(distinct: DataFrame, radius: int = 4) -> tuple[DataFrame, Plan]:
 
 
 def _grouped(docs: DataFrame, radius: int, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) for every row."""
+    """(doc_id, text_key, fp, component_id, root) for every row; root is the same for all rows of a component."""
     prints = cut(fingerprints(docs, width, id_col, text_col))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     edges, _ = link_edges(distinct, radius)
     roots = cut(components(edges).withColumnRenamed("node", "fp"))
     least = distinct.join(small_or_not(roots), "fp").groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = cut(roots.join(least, "root").select("fp", "least_id"))
-    named = distinct.join(small_or_not(linked), "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
+    linked = cut(roots.join(least, "root").select("fp", "root", "least_id"))
+    named = distinct.join(small_or_not(linked), "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root"))
     return prints.join(small_or_not(cut(named)), "fp")
 
 
@@ -313,11 +314,9 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, id_col: st
 
 
 def keep_first(docs: DataFrame, radius: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that are not first in their component, with all their columns.
+    """docs with one row of each component, with all their columns: that of the smallest id, see keep_one.
 
-    Rows with a null id stay, for no id names them, and so do repeated rows of the first id and text.
+    Rows with a null id come after all others; of repeated rows of one id and text one stays.
     """
-    found = _grouped(docs, radius, width, id_col, text_col).filter("doc_id <> component_id")
-    gone = cut(found.select("doc_id", "text_key").distinct())
-    same = (docs[id_col] == gone["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["text_key"])
-    return docs.join(small_or_not(gone), same, "left_anti")
+    found = _grouped(docs, radius, width, id_col, text_col)
+    return keep_one(docs, cut(found.select("doc_id", "text_key", F.col("root").alias("grp"))), id_col, text_col)

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lamina.llm import ann, bpe, components, decontaminate, html, licenses, quality, secrets, simhash, toxicity, unigram, words
+from lamina.llm import ann, bpe, components, decontaminate, html, licenses, neardup, quality, secrets, simhash, toxicity, unigram, words
 from lamina.llm.queries import vocabulary_path
 
 BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -337,7 +337,18 @@ def test_fingerprints_and_components(spark, odd, empty):
     assert len(own) == odd.count() and {r.component_id for r in own if r.fingerprint == "0" * 16} == {0}
     assert simhash.near_duplicates(empty).count() == 0
     kept = simhash.keep_first(odd)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect() if r.doc_id is not None} == {r.component_id for r in own if r.component_id is not None}
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({r.component_id for r in own} - {None})
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Equal texts under one id and under none, repeated rows, and rows without an id only."""
+    same, alone = "one text that several rows have " * 3, "another text which has no id at all " * 3
+    rows = [(4, same), (4, same), (4, same), (None, same), (None, alone), (None, alone), (9, "a third text " * 9), (9, "quite a different one " * 9), (None, None), (12, "")]
+    docs = spark.createDataFrame([(i, t, {"a": n}, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, m map<string,int>, place int")
+    for keep in (simhash.keep_first, neardup.keep_first):
+        got = keep(docs).collect()
+        assert sorted((str(r.doc_id), r.text) for r in got) == sorted([("4", same), ("None", alone), ("9", rows[6][1]), ("9", rows[7][1]), ("12", "")]), keep
+        assert keep(docs).columns == docs.columns and keep(docs.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("radius", [0, 1, 2, 4])
