@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,8 +15,10 @@ from pyspark.sql import types as T
 
 from lamina.llm.words import spread
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*[^>\"']*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.IGNORECASE)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+#: What ends a tag, or begins a quoted value in it.
+_EDGE = re.compile(r">|=\s*([\"'])")
+_ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?|=""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math select option object audio video canvas".split())
@@ -29,10 +32,18 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element of the key is closed by a start tag of these.
 CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, **{h: HEADINGS for h in HEADINGS}}
 
+ROWS = frozenset("tr tbody thead tfoot".split())
+#: Items of lists and tables, and which open ones a new one ends; and elements that such an end does not reach beyond.
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
+SCOPES = frozenset("ul ol dl table article section nav div body".split())
+
+#: Words in classes and ids of what is never main text.
 _UNLIKELY = re.compile(
-    r"\b(?:ads?|advert\w*|banner|breadcrumbs?|comments?|disqus|cookies?|consent|gdpr|notice|alert|footer|foot|header|masthead|menu|nav\w*|newsletter|subscribe|popup|modal|overlay|promo\w*|related|recommend\w*|share|sharing|sidebar|side|social|sponsor\w*|toolbar|widget|pagination|pager|skip|outbrain|taboola|respond|replies|reply|signup|login|tags?|legal|copyright|disclaimer)\b",
+    r"\b(?:ads?|advert\w*|banner|breadcrumbs?|comments?|disqus|cookies?|consent|gdpr|notice|footer|masthead|menu|nav\w*|newsletter|subscribe|popup|modal|promo\w*|share|sharing|sidebar|sponsor\w*|toolbar|pagination|pager|outbrain|taboola|respond|replies|signup|login)\b",
     re.IGNORECASE,
 )
+#: Words of what is main text only within its container, and there unless it is mostly links.
+_DOUBTFUL = re.compile(r"\b(?:alert|foot|header|overlay|related|recommend\w*|side|social|widget|skip|reply|tags?|legal|copyright|disclaimer)\b", re.IGNORECASE)
 _LIKELY = re.compile(r"\b(?:article|body|content|entry|main|post|story|text|page|hentry|blog)\b", re.IGNORECASE)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar alertdialog".split())
@@ -47,30 +58,46 @@ class Node:
     parent: "Node | None" = None
     weight: float = 0.0
     skip: bool = False
-    children: list = field(default_factory=list)  # nodes, texts, and None where a block breaks
+    doubt: bool = False
+    #: In an article or main element, or one itself.
+    inside: bool = False
+    #: Open items of the list or table that the node is in, by tag.
+    items: dict = field(default_factory=dict)
+    children: list = field(default_factory=list)  # nodes and texts
     score: float = 0.0
+    #: Characters below the node, and those of them in links.
     chars: int = 0
     linked: int = 0
+    #: Of the text that is in no block below the node: characters, those in links, and commas.
+    own: int = 0
+    own_linked: int = 0
+    commas: int = 0
 
 
 def _marks(attributes: str) -> tuple[str, str, str, bool]:
     """class and id, style, role, hidden."""
     names, style, role, hidden = [], "", "", False
     for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or "").strip("\"'")
+        name, value = (m[1] or "").lower(), (m[2] or "").strip("\"'")
         if name in ("class", "id"):
             names.append(value)
         elif name == "style":
             style = value
         elif name == "role":
             role = value.lower()
-        else:
+        elif name in ("hidden", "aria-hidden"):
             hidden |= value.lower() != "false"
     return re.sub(r"[-_]+", " ", " ".join(names)), style, role, hidden
 
 
 def _element(tag: str, attributes: str, parent: Node) -> Node:
-    node = Node(tag, parent, skip=parent.skip or tag in BOILERPLATE)
+    node = Node(tag, parent, skip=parent.skip or tag in BOILERPLATE, doubt=parent.doubt, inside=parent.inside or tag in ("article", "main"))
+    if tag in SCOPES:
+        node.items = {}
+    elif tag in ENDS:
+        node.items = {**parent.items, tag: node}
+    else:
+        node.items = parent.items
     if tag in ("article", "main"):
         node.weight = 25
     elif tag in ("section", "div"):
@@ -85,10 +112,13 @@ def _element(tag: str, attributes: str, parent: Node) -> Node:
             node.weight += 25
         if names:
             likely = _LIKELY.search(names)
-            if tag not in ("body", "html", "article", "main") and _UNLIKELY.search(names) and not (likely and tag in ("div", "section") and not re.search(r"\b(?:comments?|sidebar|ads?|footer|nav)\b", names, re.IGNORECASE)):
-                node.skip = True
+            if tag not in ("body", "html", "article", "main"):
+                firm = not (likely and tag in ("div", "section"))
+                if _UNLIKELY.search(names) and (firm or re.search(r"\b(?:comments?|sidebar|ads?|footer|nav)\b", names, re.IGNORECASE)):
+                    node.skip = True
+                node.doubt = node.doubt or firm and bool(_DOUBTFUL.search(names))
             node.weight += 25 if likely else 0
-    if tag == "header" and not any(p.tag in ("article", "main") for p in _up(parent)):
+    if tag == "header" and not node.inside:
         node.skip = True
     return node
 
@@ -99,80 +129,146 @@ def _up(node: Node | None):
         node = node.parent
 
 
+class Tokens:
+    """Tags of a page with the texts between them, in time linear in the page.
+
+    A quoted value may hold what ends a tag elsewhere. Once a quote has no partner, quotes are plain characters.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quotes, self.endless = page, True, set()
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose name ends at a place; -1 if nothing ends it."""
+        place = at
+        while self.quotes:
+            m = _EDGE.search(self.page, place)
+            if m and not m[1]:
+                return m.start()
+            place = self.page.find(m[1], m.end()) + 1 if m else 0
+            self.quotes = place > 0
+        return self.page.find(">", at)
+
+    def __iter__(self):
+        """(text before, name or "", attributes); a name of an end tag begins with a slash."""
+        page, at, text = self.page, 0, 0
+        while True:
+            at = page.find("<", at)
+            if at < 0:
+                break
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                yield page[text:at], "", ""
+                at = text = end + 3 if end >= 0 else len(page)
+                continue
+            m = _NAME.match(page, at + 1)
+            if not m and page[at + 1 : at + 2] not in ("!", "?"):
+                at += 1
+                continue
+            end = self._end(m.end()) if m else page.find(">", at)
+            if end < 0:
+                break
+            name = m[0].lower() if m else ""
+            yield page[text:at], name, page[m.end() : end] if m else ""
+            at = text = end + 1
+            if name in RAW and not (name in ("svg", "math") and page[end - 1] == "/"):
+                close = None if name in self.endless else re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+                if close:
+                    at = text = close.end()
+                else:
+                    self.endless.add(name)
+                    if name in ("script", "style", "textarea", "title"):
+                        at = text = len(page)
+        yield page[text:], "", ""
+
+
 def parse(page: str) -> Node:
     """The tree of block elements, links and what is hidden in lines. Other elements leave only their text; end tags may be missing."""
-    root = Node("root")
-    at, here, size = 0, root, len(page)
-
-    def text(raw: str) -> None:
-        if raw:
-            here.children.append(raw)
+    root = here = Node("root")
+    opened: Counter[str] = Counter()  # open blocks by tag
+    lines: list[Counter[str]] = [Counter()]  # for each open block: what is open in its lines
+
+    def leave(until: Node | None) -> None:
+        """Closes what is open up to a node, which stays."""
+        nonlocal here
+        while here is not until and here is not root:
+            if here.tag in BLOCKS:
+                opened[here.tag] -= 1
+                lines.pop()
+            else:
+                lines[-1][here.tag] -= 1
+            here = here.parent
+
+    def enter(node: Node) -> None:
+        nonlocal here
+        here.children.append(node)
+        here = node
+        if node.tag in BLOCKS:
+            opened[node.tag] += 1
+            lines.append(Counter())
+        else:
+            lines[-1][node.tag] += 1
 
-    while at < size:
-        m = _TOKEN.search(page, at)
-        if not m:
-            text(page[at:])
-            break
-        text(page[at : m.start()])
-        at = m.end()
-        close, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag:
+    for text, tag, attributes in Tokens(page):
+        if text:
+            here.children.append(text)
+        if not tag or tag in RAW:
             continue
-        tag = tag.lower()
-        if close:
-            for node in _up(here):
-                if node.tag == tag:
-                    here = node.parent or root
-                    break
-                if tag not in BLOCKS and node.tag in BLOCKS:
-                    break
-            continue
-        if tag in RAW:
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else size if tag in ("script", "style", "textarea", "title") else at
-            continue
-        if tag == "br":
+        if tag[0] == "/":
+            tag = tag[1:]
+            if (opened if tag in BLOCKS else lines[-1])[tag] > 0:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                leave(node.parent)
+        elif tag == "br":
             here.children.append(" ")
+        elif tag in VOID and tag != "hr":
             continue
-        if tag in VOID and tag != "hr":
-            continue
-        if tag == "a" or tag in BLOCKS:
-            if tag in BLOCKS:
-                while here.parent and (here.tag not in BLOCKS or tag in CLOSED_BY.get(here.tag, ())):
-                    here = here.parent
-                if here.tag != "root" and tag in ("li", "dt", "dd", "tr", "td", "th"):  # an open one further up, in the same list or table
-                    for node in _up(here):
-                        if node.tag in ("ul", "ol", "dl", "table", "article", "section", "nav", "div", "body"):
-                            break
-                        if tag in CLOSED_BY.get(node.tag, ()):
-                            here = node.parent
-                            break
-            node = _element(tag, attributes, here)
-            here.children.append(node)
-            if tag != "hr":
-                here = node
+        elif tag in BLOCKS:
+            while here is not root and (here.tag not in BLOCKS or tag in CLOSED_BY.get(here.tag, ())):
+                leave(here.parent)
+            for item in ENDS.get(tag, ()):
+                if item in here.items:
+                    leave(here.items[item].parent)
+            enter(_element(tag, attributes, here))
+            if tag == "hr":
+                leave(here.parent)
+        elif tag == "a":
+            enter(_element(tag, attributes, here))
         elif here.tag == tag or attributes and not attributes.isspace():  # inline: only what is left out needs a node
             node = _element(tag, attributes, here)
             if node.skip:
-                here.children.append(node)
-                here = node
+                enter(node)
     return root
 
 
-def _measure(node: Node, linked: bool) -> None:
-    """Characters of text, and of links' text, below each node; without recursion, for pages may be deep."""
-    order, stack = [], [(node, linked)]
+def measure(root: Node) -> None:
+    """Characters, links and commas of each node, from the leaves up and each text once; doubtful parts of mostly links go."""
+    order, stack = [], [(root, False)]
     while stack:
-        n, inside = stack.pop()
-        inside = inside or n.tag == "a"
-        order.append((n, inside))
-        stack += [(c, inside) for c in n.children if isinstance(c, Node) and not c.skip]
-    for n, inside in reversed(order):
-        own = sum(len(c.strip()) for c in n.children if isinstance(c, str))
-        kids = [c for c in n.children if isinstance(c, Node) and not c.skip]
-        n.chars = own + sum(k.chars for k in kids)
-        n.linked = (own if inside else 0) + sum(k.linked for k in kids)
+        n, linked = stack.pop()
+        linked = linked or n.tag == "a"
+        order.append((n, linked))
+        stack += [(c, linked) for c in n.children if isinstance(c, Node) and not c.skip]
+    for n, linked in reversed(order):
+        texts = [c for c in n.children if isinstance(c, str)]
+        own = sum(len(c.strip()) for c in texts)
+        n.own += own
+        n.own_linked += own if linked else 0
+        n.commas += sum(c.count(",") for c in texts)
+        n.chars += own
+        n.linked += own if linked else 0
+        up = n.parent
+        if n.doubt and not (up and up.doubt) and 2 * n.linked >= n.chars:
+            n.skip = True
+        elif up is not None:
+            up.chars += n.chars
+            up.linked += n.linked
+            if n.tag not in BLOCKS:
+                up.own += n.own
+                up.own_linked += n.own_linked
+                up.commas += n.commas
 
 
 def _density(node: Node) -> float:
@@ -188,54 +284,47 @@ def _nodes(root: Node):
             stack += [c for c in reversed(n.children) if isinstance(c, Node)]
 
 
-def _text(node: Node) -> str:
-    parts, stack = [], [node]
-    while stack:
-        n = stack.pop()
-        if isinstance(n, str):
-            parts.append(n)
-        elif not n.skip:
-            stack += reversed(n.children)
-    return "".join(parts)
-
-
 def choose(root: Node) -> list[Node]:
     """The best container and those of its siblings that count, in page order.
 
-    A paragraph gives 1 point, 1 for each comma and up to 3 for its length to its parent, half of them to the parent's
-    parent, and a third to the next. A container's points, with those for what it is, are discounted by the share of its
-    text that is in links.
+    A block with text of its own gives 1 point, 1 for each comma and up to 3 for the text's length, less the share of it
+    that is in links: to its parent if it is a paragraph, else to itself; half as many to the next ancestor, and a third to
+    the one after. A container's points, with those for what it is, are discounted by the share of its text that is in
+    links. Doubtful parts give no points and are no siblings, but stay where they are within a container.
     """
-    _measure(root, False)
-    scored: list[Node] = []
+    measure(root)
+    scored: dict[int, Node] = {}
     for n in _nodes(root):
-        loose = n.tag not in PARAGRAPHS and n.tag != "a" and any(isinstance(c, str) and not c.isspace() for c in n.children)
-        if not (n.tag in PARAGRAPHS or loose) or not n.chars:
+        if not n.own or n.doubt or n.tag not in BLOCKS and n is not root:
             continue
-        own = _text(n) if n.tag in PARAGRAPHS else "".join(c for c in n.children if isinstance(c, str))
-        points = (1 + own.count(",") + min(len(own.strip()) / 100, 3)) * (1 - _density(n))
-        for level, up in enumerate(_up(n if loose else n.parent)):
+        points = (1 + n.commas + min(n.own / 100, 3)) * (1 - n.own_linked / n.own)
+        for level, up in enumerate(_up(n.parent if n.tag in PARAGRAPHS else n)):
             if level == 3 or up.tag in ("html", "root") and level:
                 break
-            if not up.score:
-                up.score = max(up.weight, -0.5) + 1e-9
-                scored.append(up)
+            if id(up) not in scored:
+                scored[id(up)] = up
+                up.score = max(up.weight, -0.5)
             up.score += points / (level + 1)
     if not scored:
         return []
-    final = {id(n): n.score * (1 - _density(n)) for n in scored}
-    best = max(scored, key=lambda n: final[id(n)])
+    final = {i: n.score * (1 - _density(n)) for i, n in scored.items()}
+    best = max(scored.values(), key=lambda n: final[id(n)])  # the first in the page's order of points, if several are
+    most = final[id(best)]
+    while best.tag in ROWS and best.parent:  # a table is kept whole
+        best = best.parent
     for up in _up(best):  # an article or main element around the best container is the container
-        if up.tag in ("article", "main") and up in scored:
+        if up.tag in ("article", "main") and id(up) in scored:
             best = up
             break
     if best.parent is None or best.tag in ("body", "article", "main"):
         return [best]
-    least, kept = max(3.0, SIBLING * final[id(best)]), []
-    siblings = [c for c in best.parent.children if isinstance(c, Node) and not c.skip]
-    for i, n in enumerate(siblings):
-        near = n is best or final.get(id(n), 0) >= least or n.tag in HEADINGS and n.chars and siblings.index(best) > i
-        if near or n.tag == "p" and n.chars > 80 and _density(n) < 0.25:
+    least, kept, before = max(3.0, SIBLING * most), [], True
+    for n in best.parent.children:
+        if not isinstance(n, Node) or n.skip or n.doubt and n is not best:
+            continue
+        before = before and n is not best
+        near = n is best or final.get(id(n), 0) >= least or n.tag in HEADINGS and n.chars and before
+        if near or n.tag == "p" and n.chars and _density(n) < 0.25:
             kept.append(n)
     return kept
 
@@ -278,7 +367,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(page_id, url, text, n_chars long) for every row of pages, in one pass without a shuffle.
 
     A null or empty page has an empty text. Ids and addresses come back as they are, null and repeated ones too; other
-    columns are not read. Broken markup is read as far as it goes: nothing is dropped for its length.
+    columns are not read. Broken markup is read as far as it goes, in time linear in the page: nothing is dropped for its
+    length. Of containers with equal points the first to get points is the best.
     """
     kinds = [(name, pages.schema[column].dataType) for name, column in (("page_id", id_col), ("url", url_col))]
     schema = T.StructType([*(T.StructField(n, k) for n, k in kinds), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
