@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -15,8 +16,9 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held: in
     """(text, label, half) of at most so many labelled documents of each class outside the held fold; and the classes' sizes.
 
     Rows are taken in the order of a hash of their id, so the sample is the same each time. An id with several labels has
-    the greatest; labels that are neither 0 nor 1, and null ids, are left out. half: 0 or 1, by the hash. The ids are at
-    most 2 * most rows, so they go to the documents as a broadcast.
+    the greatest, and one with several documents gives the text of the smallest hash, so there is a row for an id at most;
+    labels that are neither 0 nor 1, and null ids, are left out. half: 0 or 1, by the hash. The ids are at most 2 * most
+    rows, so they go to the documents as a broadcast.
     """
     marked = labels.select(F.col(id_col).alias("key"), F.col(target).cast("int").alias("label")).filter("key IS NOT NULL AND label IN (0, 1)")
     marked = marked.groupBy("key").agg(F.max("label").alias("label")).filter(F.crc32(F.col("key").cast("string")) % folds != held)
@@ -28,4 +30,6 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held: in
         picked = some if picked is None else picked.unionByName(some)
     picked = picked.withColumn("half", F.pmod(F.xxhash64("key", F.lit("half")), F.lit(2)).cast("int"))
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(picked), "key").select("text", "label", "half"), sizes
+    met = texts.join(F.broadcast(picked), "key")
+    first = W.partitionBy("key").orderBy(F.xxhash64("text"), "text")  # a row for each task and key goes on
+    return met.withColumn("place", F.row_number().over(first)).filter("place = 1").select("text", "label", "half"), sizes

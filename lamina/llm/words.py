@@ -6,6 +6,7 @@ byte of a character outside ASCII is at least 0x80, so runs of bytes are runs of
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -186,6 +187,8 @@ def map_texts(docs: DataFrame, fields: list[tuple[str, T.DataType]], make: Calla
                 columns = f(piece.column(0), piece.column(1))
                 if columns is not None and len(columns[0]):
                     yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(field.type) for c, field in zip(columns, arrow, strict=True)], schema=arrow)
+        del f
+        release()
 
     return spread(own).mapInArrow(run, schema)
 
@@ -199,9 +202,19 @@ def text_udf(make: Callable[[], Callable], kind: str | T.DataType):
         for texts in columns:
             parts = [f(piece.column(0)) for piece in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), 0)]
             yield pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in parts]) if parts else texts.slice(0, 0)
+        del f
+        release()
 
     return F.arrow_udf(run, kind)
 
 
+def release() -> None:
+    """Gives what a worker has freed back to the machine: it goes on to other tasks, and would hold its peak all along."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def id_type(docs: DataFrame, id_col: str) -> T.DataType:
     return docs.schema[id_col].dataType
