@@ -71,20 +71,20 @@ _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
 
 
 def license_sql() -> str:
-    """The license scan in SQL, with the phrases' and templates' grams as literal rows."""
-    rows = ", ".join(f"({n}, '{label}', {base}, {at}, '{gram}', {votes})" for n, label, base, at, gram, votes in licenses.gram_rows())
+    """The license scan in SQL: grams as strings, each place with the grams that vote for it, in the template's order."""
+    rows = ", ".join(f"({n}, '{label}', {base}, {at}, '{gram}', {votes})" for n, label, base, at, gram, votes, _ in licenses.gram_rows())
+    sizes = ", ".join(f"({k})" for k in sorted({r[-1] for r in licenses.gram_rows()}))
     return f"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
-        grams AS (SELECT rid, i - 1 AS pos, ws[i] || ' ' || ws[i + 1] AS gram FROM (SELECT rid, ws, unnest(range(1, len(ws))) AS i FROM docs)),
+        grams AS (SELECT rid, i - 1 AS pos, array_to_string(ws[i:i + k - 1], ' ') AS gram FROM (SELECT rid, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM docs, (VALUES {sizes}) sizes(k))),
         known(template, label, base, place_in, gram, votes_all) AS (VALUES {rows}),
-        diagonals AS (SELECT rid, template, label, base, votes_all, pos - place_in AS diagonal, list(DISTINCT place_in) AS ats FROM grams JOIN known USING (gram) GROUP BY rid, template, label, base, votes_all, pos - place_in),
-        parted AS (
-            SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER w > {licenses.NEIGHBOUR} OR lag(diagonal) OVER w IS NULL THEN 1 ELSE 0 END AS apart
-            FROM diagonals WINDOW w AS (PARTITION BY rid, template ORDER BY diagonal)),
-        placed AS (SELECT *, sum(apart) OVER (PARTITION BY rid, template ORDER BY diagonal) AS place FROM parted),
-        places AS (
-            SELECT rid, label, base, len(list_distinct(flatten(list(ats)))) / any_value(votes_all) AS share, min(diagonal) AS start
-            FROM placed GROUP BY rid, template, label, base, place),
+        hits AS (SELECT rid, template, label, base, votes_all, pos, place_in, pos - place_in AS diagonal FROM grams JOIN known USING (gram)),
+        starts AS (SELECT DISTINCT rid, template, label, base, votes_all, diagonal FROM hits),
+        firsts AS (
+            SELECT s.rid, s.template, s.diagonal, h.place_in, min(h.pos) AS pos FROM starts s JOIN hits h ON s.rid = h.rid AND s.template = h.template
+            AND h.diagonal BETWEEN s.diagonal AND s.diagonal + CASE WHEN s.base THEN 0 ELSE {licenses.NEIGHBOUR} END GROUP BY s.rid, s.template, s.diagonal, h.place_in),
+        ordered AS (SELECT *, pos > coalesce(max(pos) OVER (PARTITION BY rid, template, diagonal ORDER BY place_in ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS counts FROM firsts),
+        places AS (SELECT rid, label, base, diagonal AS start, count(*) FILTER (counts) / any_value(votes_all) AS share FROM ordered JOIN starts USING (rid, template, diagonal) GROUP BY rid, template, label, base, diagonal),
         good AS (SELECT *, CASE WHEN base THEN share >= 1 ELSE share >= {licenses.COVERAGE} END AS ok, base AND share >= 1 AS phrase FROM places)
         SELECT doc_id, len(ws) AS n_words, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
             coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase), '') AS base_labels, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok), '') AS labels,
