@@ -29,9 +29,10 @@ def latest_by(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colum
 
 
 def distinct_content(df: DataFrame, hash_col: str = "hash_key", order: Sequence[Column] = ()) -> DataFrame:
-    """The first row of each hash, by the order. Rows without a hash are all kept: null equals nothing."""
+    """The first row of each hash, by the order. Rows without a hash are all kept: null equals nothing. One pass over df."""
     order = list(order) or [F.col("bronze_row_id").asc_nulls_last()]
-    return latest_by(df.filter(F.col(hash_col).isNotNull()), [hash_col], order).unionByName(df.filter(F.col(hash_col).isNull()))
+    alone = F.when(F.col(hash_col).isNull(), F.monotonically_increasing_id())  # a key of its own for each row without a hash
+    return latest_by(df.withColumn("_alone", alone), [hash_col, "_alone"], order).drop("_alone")
 
 
 def new_content(df: DataFrame, target: DataFrame | None, hash_col: str = "hash_key", order: Sequence[Column] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -1,4 +1,9 @@
-"""Layers of tables as Parquet folders, <root>/<layer>/<table>, on any file system that Hadoop reaches."""
+"""Layers of tables as Parquet folders, <root>/<layer>/<table>, on any file system or object store that Hadoop reaches.
+
+A table that is replaced has its rows in a version folder, <table>/v<number>-<id>, and a mark beside it, <table>/_at-<number>-<id>,
+that is made once the version is complete and checked. The greatest mark says which version is read, so there is no time in
+which the table is missing, and nothing is renamed. Tables that are only appended to have their files in the folder itself.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +12,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MARK = "_at-"
+
 
 @dataclass
 class Tables:
     spark: SparkSession
     root: str
 
-    def path(self, layer: str, table: str) -> str:
+    def folder(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
     def _files(self, path: str):
@@ -21,10 +28,23 @@ class Tables:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._files(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def versions(self, layer: str, table: str) -> list[str]:
+        """The published versions, the current one last."""
+        return [n.removeprefix(_MARK) for n in self._names(self.folder(layer, table)) if n.startswith(_MARK)]
+
+    def path(self, layer: str, table: str) -> str:
+        """Where the table's current rows are."""
+        folder, versions = self.folder(layer, table), self.versions(layer, table)
+        return f"{folder}/v{versions[-1]}" if versions else folder
+
     def exists(self, layer: str, table: str) -> bool:
         """Whether the table was written to its end."""
-        fs, p = self._files(self.path(layer, table) + "/_SUCCESS")
-        return fs.exists(p)
+        names = self._names(self.folder(layer, table))
+        return "_SUCCESS" in names or any(n.startswith(_MARK) for n in names)
 
     def layer_exists(self, layer: str) -> bool:
         fs, p = self._files(f"{self.root}/{layer}")
@@ -32,47 +52,42 @@ class Tables:
 
     def list(self, layer: str) -> list[str]:
         """Names of the layer's tables, sorted."""
-        if not self.layer_exists(layer):
-            return []
-        fs, p = self._files(f"{self.root}/{layer}")
-        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-        return sorted(n for n in names if not n.startswith((".", "_")) and self.exists(layer, n))
+        return [n for n in self._names(f"{self.root}/{layer}") if not n.startswith((".", "_")) and self.exists(layer, n)]
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
     def replace(self, layer: str, table: str, df: DataFrame, check=None) -> DataFrame:
-        """Writes df beside the table, checks what was written, and swaps the folders; on an error the old table stays."""
-        aside, old = (f"{self.root}/{layer}/_{table}-{uuid.uuid4().hex}" for _ in range(2))
-        fs, p = self._files(aside)
+        """Writes df as a new version, checks what was written, and publishes it; on an error the old version stays.
+
+        The version before stays for those who are reading it; older ones go.
+        """
+        folder, old = self.folder(layer, table), self.versions(layer, table)
+        name = f"{int(old[-1].split('-')[0]) + 1 if old else 1:012d}-{uuid.uuid4().hex}"
+        fs, p = self._files(f"{folder}/v{name}")
         try:
-            df.write.parquet(aside)
+            df.write.parquet(f"{folder}/v{name}")
             if check:
-                check(self.spark.read.parquet(aside))
-            target = self._files(self.path(layer, table))[1]
-            if fs.exists(target):
-                fs.rename(target, self._files(old)[1])
-            if not fs.rename(p, target):
-                fs.rename(self._files(old)[1], target)
-                raise OSError(f"can't move {aside} to {target}")
-        finally:
+                check(self.spark.read.parquet(f"{folder}/v{name}"))
+        except BaseException:
             fs.delete(p, True)
-            fs.delete(self._files(old)[1], True)
-        self.spark.catalog.refreshByPath(self.path(layer, table))
+            if not self._names(folder):
+                fs.delete(self._files(folder)[1], True)
+            raise
+        fs.create(self._files(f"{folder}/{_MARK}{name}")[1], False).close()
+        kept = {f"{mark}{v}" for v in (*old[-1:], name) for mark in (_MARK, "v")}
+        for n in self._names(folder) if old else []:
+            number = n.removeprefix(_MARK).removeprefix("v").split("-")[0]
+            if n not in kept and not (number.isdigit() and int(number) >= int(name.split("-")[0])):  # another writer's stay
+                fs.delete(self._files(f"{folder}/{n}")[1], True)
+        self.spark.catalog.refreshByPath(folder)
         return self.read(layer, table)
 
     def append(self, layer: str, table: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path(layer, table))
-        self.spark.catalog.refreshByPath(self.path(layer, table))
+        path = self.path(layer, table)
+        df.write.mode("append").parquet(path)
+        self.spark.catalog.refreshByPath(path)
 
     def drop(self, layer: str, table: str) -> None:
-        fs, p = self._files(self.path(layer, table))
+        fs, p = self._files(self.folder(layer, table))
         fs.delete(p, True)
-
-
-def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None, partition: tuple[str, int, int, int] | None = None) -> DataFrame:
-    """A table of a relational database; partition: a number column, its bounds, and how many queries to read it by."""
-    if partition:
-        column, low, high, count = partition
-        return spark.read.jdbc(url, table, column=column, lowerBound=low, upperBound=high, numPartitions=count, properties=properties or {})
-    return spark.read.jdbc(url, table, properties=properties or {})
