@@ -12,6 +12,7 @@ from lamina.plans.inspect import explain, inventory, readiness
 from lamina.plans.registry import CURATED, RAW, STAGING, default_registry
 from lamina.plans.runner import run_many, selected, summary
 from lamina.session import session
+from lamina.sources.database import Database, Layers
 from lamina.sources.export import Export
 from lamina.sources.ingest import ingest, provision
 from lamina.sources.labels import feed_name
@@ -29,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     what.add_argument("--table", metavar="NAME")
     what.add_argument("--group", metavar="FOLDERS")
     p.add_argument("--source", help="only this feed")
+    p.add_argument("--database", action="store_true", help="raw tables are in the database of DATABASE_URL or the PG* settings")
     p.add_argument("--reload", action="store_true", help="build tables that are there, too")
     p.add_argument("--parquet-dir", default=os.environ.get("PARQUET_OUTPUT_DIR", ""), help="folder for exports")
     p.add_argument("--no-parquet", action="store_true")
@@ -58,6 +60,8 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     spark = session()
     tables = Tables(spark, args.root)
+    if args.database or os.environ.get("DB_TYPE") in ("postgres", "jdbc"):
+        tables = Layers(tables, {RAW: Database.from_environment(spark)})
     if args.command == "ingest":
         if args.create_tables and not args.dry_run:
             provision(tables)

@@ -10,17 +10,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.functions.values import bigint, blank_to_null, date, days_between, first_filled, is_blank, numeric, timestamp, yes_no
-from lamina.operators.amendments import fold, kind_of, settle_undescribed
-from lamina.operators.elements import elements
+from lamina.functions.values import bigint, blank_to_null, date, days_between, numeric, timestamp, yes_no
+from lamina.operators.amendments import NullRule, fold, kind_of, settle_undescribed
+from lamina.operators.checks import ConstraintError, require_not_null, require_unique, require_values
+from lamina.operators.elements import canonical, elements
 from lamina.operators.ids import numbered
 from lamina.operators.latest import distinct_content, latest_by, new_content, newest, newest_dated, upsert
 from lamina.operators.model import latest_in_model, project_model, union_tagged
 from lamina.operators.pairing import Pairing, pair
-from lamina.operators.scope import scoped
+from lamina.operators.scope import describe, scoped
 from lamina.operators.transport import transport_rates
+from lamina.plans.inspect import inventory
 from lamina.session import reach
+from lamina.sources.feeds import Feed
+from lamina.sources.ingest import tallies
 from lamina.sources.labels import feed_name_of
+from lamina.sources.payloads import parse_files
+from lamina.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -98,11 +104,6 @@ def json_element_explode(spark, sf_dir):
     return elements(packed, "turns", ["turn", "role", "text"], carry=["conv_id"]).select("conv_id", "turn", "role", "text")
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def json_scalar(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
-
-
 _DESCRIBED = """
     SELECT event_id, user_id, ts, CAST(round(value * 100) AS BIGINT) AS cents, event_type,
         CASE event_type WHEN 'purchase' THEN 'All Data' WHEN 'view' THEN ' changes only ' WHEN 'signup' THEN 'New' WHEN 'click' THEN 'Not an amendment' END AS description
@@ -274,11 +275,14 @@ def final_union_missing_feeds(spark, sf_dir):
 
 
 @query("""
-    SELECT o_custkey AS customer, CAST(update_date AS DATE) AS updated FROM (SELECT o_custkey, o_orderdate AS update_date, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST) AS rn FROM orders) WHERE rn = 1
+    SELECT customer, CAST(update_date AS DATE) AS updated, CAST(posted_date AS DATE) AS posted
+    FROM (SELECT *, row_number() OVER (PARTITION BY customer ORDER BY update_date DESC NULLS LAST, posted_date DESC NULLS LAST) AS rn
+        FROM (SELECT o_custkey AS customer, CASE WHEN o_orderkey % 4 > 0 THEN date_trunc('year', o_orderdate) END AS update_date, o_orderdate AS posted_date FROM orders)) WHERE rn = 1
 """)
 def latest_in_model_key(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("update_date"), F.col("o_orderdate").alias("posted_date"))
-    return latest_in_model(rows, ["customer"]).select("customer", F.col("update_date").cast("date").alias("updated"))
+    updated = F.when(F.col("o_orderkey") % 4 > 0, F.date_trunc("year", "o_orderdate"))  # ties and nulls that the second date decides
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), updated.alias("update_date"), F.col("o_orderdate").alias("posted_date"))
+    return latest_in_model(rows, ["customer"]).select("customer", F.col("update_date").cast("date").alias("updated"), F.col("posted_date").cast("date").alias("posted"))
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN TRUE WHEN 'A' THEN FALSE END AS flag FROM lineitem")
@@ -303,31 +307,105 @@ def timestamp_text(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", timestamp(F.col("o_orderdate").cast("string")).cast("long").alias("seconds"))
 
 
+_DOC = Feed("doc", "records", "docs", "doc_id", ("lang", "Source"), ("Batch",))
+_ORDER = Feed("order", "records", "kept", "k", ())
+
+
+def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload file of one record for each document, parsed by the library."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id"), F.expr("CASE WHEN lang <> 'en' THEN lang END").alias("lang"), F.expr("CASE source WHEN 'src0' THEN ' ' WHEN 'src1' THEN '\\t\\n' ELSE source END").alias("source"), F.expr("doc_id % 3 = 0").alias("even"),
+        F.struct(F.col("n_chars").alias("b"), F.array("doc_id").alias("a")).alias("inner"),
+    )
+    record = F.struct("doc_id", "lang", "source", "even", "inner")
+    payload = F.struct(F.lit("doc").alias("feedType"), F.concat(F.lit("b"), F.col("doc_id") % 2).alias("Batch"), F.array(record).alias("records"))
+    return parse_files(docs.select(F.col("doc_id").cast("string").alias("file"), F.to_json(payload).alias("value")), {"doc": _DOC})
+
+
 @query("""
-    SELECT doc_id, concat_ws(',', CASE WHEN lang = 'en' THEN 'lang' END, CASE WHEN source IN ('src0', 'src1') THEN 'source' END) AS missing,
+    SELECT doc_id, concat_ws(',', CASE WHEN lang = 'en' THEN 'lang' END, CASE WHEN source IN ('src0', 'src1') THEN 'Source' END) AS missing,
         CASE WHEN lang = 'en' OR source IN ('src0', 'src1') THEN 'INVALID' ELSE 'LOADED' END AS ingestion_status
     FROM documents
 """)
 def validate_required(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN lang <> 'en' THEN lang END").alias("lang"), F.expr("CASE source WHEN 'src0' THEN ' ' WHEN 'src1' THEN '\\t\\n' ELSE source END").alias("source"))
-    missing = F.array_compact(F.array(*[F.when(is_blank(c), F.lit(c)) for c in ("lang", "source")]))
-    return docs.select("doc_id", F.array_join(missing, ",").alias("missing"), F.when(F.size(missing) > 0, "INVALID").otherwise("LOADED").alias("ingestion_status"))
+    status = F.when(F.size("missing") > 0, "INVALID").otherwise("LOADED").alias("ingestion_status")
+    return payload_rows(spark, sf_dir).select(F.col("raw_record_id").cast("long").alias("doc_id"), F.array_join("missing", ",").alias("missing"), status)
 
 
 @query("""
-    SELECT event_type AS table_name, count(*) AS objects_read, CAST(sum(CASE WHEN value < 10 THEN 1 ELSE 0 END) AS BIGINT) AS rows_rejected FROM events GROUP BY event_type
+    SELECT doc_id, sha256('{"batch": "b' || doc_id % 2 || '", "doc_id": "' || doc_id || '", "even": "' || CASE WHEN doc_id % 3 = 0 THEN 'true' ELSE 'false' END || '", "inner": "{\\"a\\":[' || doc_id || '],\\"b\\":' || n_chars || '}"'
+            || CASE WHEN lang <> 'en' THEN ', "lang": "' || lang || '"' ELSE '' END || ', "source": "' || CASE source WHEN 'src0' THEN ' ' WHEN 'src1' THEN '\\t\\n' ELSE source END || '"}') AS hash_key,
+        'b' || doc_id % 2 AS batch, CASE WHEN doc_id % 3 = 0 THEN 'true' ELSE 'false' END AS even, '{"a":[' || doc_id || '],"b":' || n_chars || '}' AS inner_text
+    FROM documents
 """)
+def payload_content(spark, sf_dir):
+    value = lambda c: F.col("business").getItem(c)
+    return payload_rows(spark, sf_dir).select(F.col("raw_record_id").cast("long").alias("doc_id"), "hash_key", value("batch").alias("batch"), value("even").alias("even"), value("inner").alias("inner_text"))
+
+
+@query("SELECT 'docs' AS table_name, 'doc' AS feed, count(*) AS objects_read, CAST(sum(CASE WHEN lang = 'en' OR source IN ('src0', 'src1') THEN 1 ELSE 0 END) AS BIGINT) AS rows_rejected FROM documents")
 def ingest_log_summary(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table_name")).agg(F.count(F.lit(1)).alias("objects_read"), F.count(F.when(F.col("value") < 10, 1)).alias("rows_rejected"))
+    return tallies(payload_rows(spark, sf_dir)).withColumnRenamed("table", "table_name")
+
+
+@query("""
+    SELECT o_orderkey AS file, CASE WHEN o_orderkey % 7 = 0 THEN 'not JSON' WHEN o_orderkey % 7 = 1 THEN 'not an object' WHEN o_orderkey % 7 = 2 THEN 'unknown feed ' || chr(39) || 'x' || chr(39) WHEN o_orderkey % 7 = 3 THEN 'no feed type' END AS error,
+        CASE WHEN o_orderkey % 7 = 4 THEN 'a' WHEN o_orderkey % 7 = 5 THEN 'b' WHEN o_orderkey % 7 = 6 THEN 'source/order' END AS source_api
+    FROM orders
+""")
+def payload_errors(spark, sf_dir):
+    """Bad payloads by their errors, and the interface of the others: as given, in either spelling, or made up of the feed."""
+    n, given = F.col("o_orderkey") % 7, F.concat(F.lit('{"feedType":"order","records":{"k":1},'), F.expr("CASE o_orderkey % 7 WHEN 4 THEN '\"sourceApi\":\"a\",\"source_api\":\"b\"' WHEN 5 THEN '\"sourceApi\":\"\",\"source_api\":\"b\"' ELSE '\"sourceApi\":null' END"), F.lit("}"))
+    text = F.when(n == 0, "{").when(n == 1, "[1]").when(n == 2, '{"feedType":"x"}').when(n == 3, "{}").otherwise(given)
+    files = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("file"), text.alias("value"))
+    return parse_files(files, {"order": _ORDER}).select(F.col("file").cast("long").alias("file"), F.regexp_replace("error", "not JSON: .*", "not JSON").alias("error"), "source_api")
+
+
+class DriverTables(Tables):
+    """The driver's tables as a layer of the library's."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+
+    def path(self, layer: str, table: str) -> str:
+        return f"{self.root}/{table}.parquet"
 
+    def list(self, layer: str) -> list[str]:
+        return sorted(n.removesuffix(".parquet") for n in self._names(self.root) if n.endswith(".parquet"))
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES))
+
+@query(" UNION ALL ".join(f"SELECT 'raw' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES))
 def table_inventory(spark, sf_dir):
-    counts = {t: table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count")) for t in _TABLES}
-    return union_tagged(counts, "table_name")
+    return inventory(DriverTables(spark, sf_dir), ("raw",))
+
+
+@query("""
+    SELECT name, held FROM (VALUES ('orders by key', (SELECT count(*) = count(DISTINCT o_orderkey) FROM orders)), ('lineitem by order', (SELECT count(*) = count(DISTINCT l_orderkey) FROM lineitem)),
+        ('events with null keys apart', (SELECT count(k) = count(DISTINCT k) FROM (SELECT CASE WHEN event_id % 2 = 0 THEN event_id END AS k FROM events))),
+        ('events with null keys equal', (SELECT count(*) FILTER (k IS NULL) < 2 FROM (SELECT CASE WHEN event_id % 2 = 0 THEN event_id END AS k FROM events))),
+        ('orders without nulls', (SELECT count(*) = count(o_custkey) FROM orders)), ('events with nulls', (SELECT count(*) = count(CASE WHEN event_id % 2 = 0 THEN 1 END) FROM events)),
+        ('states', (SELECT count(*) = 0 FROM orders WHERE o_orderstatus NOT IN ('F', 'O', 'P'))), ('fewer states', (SELECT count(*) = 0 FROM orders WHERE o_orderstatus NOT IN ('F', 'O')))) checks(name, held)
+""")
+def constraint_checks(spark, sf_dir):
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    events = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("k"))
+    checks = {
+        "orders by key": lambda: require_unique(orders, ["o_orderkey"]), "lineitem by order": lambda: require_unique(lines, ["l_orderkey"]), "events with null keys apart": lambda: require_unique(events, ["k"], nulls_distinct=True),
+        "events with null keys equal": lambda: require_unique(events, ["k"]), "orders without nulls": lambda: require_not_null(orders, ["o_custkey", "o_orderkey"]), "events with nulls": lambda: require_not_null(events, ["k"]),
+        "states": lambda: require_values(orders, "o_orderstatus", ["F", "O", "P"]), "fewer states": lambda: require_values(orders, "o_orderstatus", ["F", "O"]),
+    }
+
+    def held(check) -> bool:
+        try:
+            check()
+        except ConstraintError:
+            return False
+        return True
+
+    return spark.createDataFrame([(name, held(check)) for name, check in checks.items()], "name string, held boolean")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders")
@@ -344,15 +422,62 @@ def feed_labels(spark, sf_dir):
 
 
 @query("""
-    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'a' WHEN o_orderkey % 2 = 0 THEN 'b' ELSE 'source/' || o_orderstatus END AS source_api FROM orders
+    SELECT 'it: ' || action || ' ' || number || ' n' || number AS line, row_number() OVER (ORDER BY action, 'n' || number, number) AS place FROM (SELECT n_nationkey AS number, CASE WHEN n_regionkey = 0 THEN 'remove' ELSE 'add' END AS action FROM nation WHERE n_regionkey < 2)
+    UNION ALL SELECT (SELECT count(*) FROM nation WHERE n_regionkey = 1) || ' on the allow list', (SELECT count(*) + 1 FROM nation WHERE n_regionkey < 2)
 """)
-def source_api_resolution(spark, sf_dir):
-    given = [F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 'a' WHEN o_orderkey % 5 = 0 THEN '' END"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 'b' ELSE '' END")]
-    return table(spark, sf_dir, "orders").select("o_orderkey", first_filled(*given, F.concat(F.lit("source/"), F.col("o_orderstatus"))).alias("source_api"))
+def report_order(spark, sf_dir):
+    """The report on partners, line by line as it comes."""
+    nations = table(spark, sf_dir, "nation").filter("n_regionkey < 3")
+    action, source = F.when(F.col("n_regionkey") == 0, "remove").otherwise("add"), F.when(F.col("n_regionkey") < 2, "it").otherwise("firm")
+    number = F.col("n_nationkey").cast("string")
+    mapping = nations.select(source.alias("source"), number.alias("kholdernumber"), F.concat(F.lit("n"), number).alias("kholdername"), action.alias("action"))
+    return spark.createDataFrame([(line, n) for n, line in enumerate(describe(mapping, "gtran_it"), start=1)], "line string, place long")
 
 
 @query("""
-    SELECT n_nationkey, n_name, row_number() OVER (ORDER BY n_regionkey NULLS FIRST, n_name) AS place FROM nation
+    SELECT o_orderkey, '{"a":"' || o_orderstatus || '","b":{"x":' || o_custkey || ',"y":null}}' AS element_text, md5('{"a":"' || o_orderstatus || '","b":{"x":' || o_custkey || ',"y":null}}') AS hash_key FROM orders WHERE o_orderkey % 5 = 0
 """)
-def report_order(spark, sf_dir):
-    return numbered(table(spark, sf_dir, "nation"), [F.col("n_regionkey").asc_nulls_first(), F.col("n_name").asc_nulls_last()], "place").select("n_nationkey", "n_name", "place")
+def element_hash(spark, sf_dir):
+    """Only arrays give elements: not texts that look like one, objects, nulls or nothing. Keys are sorted for the hash."""
+    element = F.format_string('{"b": {"y": null, "x": %d}, "a": "%s"}', "o_custkey", "o_orderstatus")
+    n = F.col("o_orderkey") % 5
+    section = F.when(n == 0, F.concat(F.lit('"items": ['), element, F.lit("]"))).when(n == 1, '"items": "[1, 2]"').when(n == 2, '"items": {"a": 1}').when(n == 3, '"items": null').otherwise('"other": [1]')
+    packed = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("{"), section, F.lit("}")).alias("raw_payload"))
+    return elements(packed, "items", ["a"], carry=["o_orderkey"]).select("o_orderkey", canonical(F.col("element")).alias("element_text"), "hash_key")
+
+
+@query("SELECT min(conv_id) AS conv_id, role, md5('{\"role\":\"' || role || '\",\"turn\":' || turn || '}') AS hash_key FROM conversations GROUP BY role, turn")
+def element_dedup(spark, sf_dir):
+    """Equal elements of several parents are one row, which the first parent keeps."""
+    turns = table(spark, sf_dir, "conversations")
+    packed = turns.groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(F.struct("turn", "role")).alias("turns"))).alias("raw_payload"))
+    return distinct_content(elements(packed, "turns", ["role"], carry=["conv_id"]), order=[F.col("conv_id").asc()]).select("conv_id", "role", "hash_key")
+
+
+_RUNNING = _SETTLED.replace("> 2\n", "> 3\n").replace("CURRENT ROW) > 1 THEN", "CURRENT ROW) > 2 THEN")
+
+
+@query(f"""
+    WITH settled AS ({_RUNNING}), based AS (SELECT *, max(CASE WHEN kind IN ('NEW', 'ALL_DATA') THEN ts END) OVER (PARTITION BY key) AS base FROM (SELECT *, CASE WHEN user_id % 3 > 0 THEN user_id END AS key FROM settled WHERE event_type <> 'signup')),
+    kept AS (SELECT * FROM based WHERE ts >= base)
+    SELECT key, (SELECT event_id FROM kept k WHERE k.key IS NOT DISTINCT FROM g.key ORDER BY ts DESC, event_id DESC LIMIT 1) AS last_event, CAST(count(*) AS INTEGER) AS amend_postings_applied FROM kept g GROUP BY key
+""".replace("PARTITION BY user_id", "PARTITION BY CASE WHEN user_id % 3 > 0 THEN user_id END").replace("FROM events\n", "FROM events WHERE event_type <> 'signup'\n"))
+def amendment_fold_strict(spark, sf_dir):
+    """Null keys are one group, a second undescribed posting counts as new, too, and groups without a baseline are dropped."""
+    rows = described(spark, sf_dir).filter("event_type <> 'signup'").withColumn("key", F.expr("CASE WHEN user_id % 3 > 0 THEN user_id END")).withColumn("last_event", F.col("event_id"))
+    folded = fold(rows, ["key"], ["last_event"], "description", F.col("ts"), [F.col("event_id")], NullRule(group=3, running=2), orphans=False)
+    return folded.select("key", "last_event", "amend_postings_applied")
+
+
+@query("""
+    WITH points AS (SELECT l_orderkey AS k, l_linenumber AS code, CAST(l_quantity AS BIGINT) AS qty, l_returnflag AS flag FROM lineitem WHERE l_returnflag IN ('R', 'A'))
+    SELECT coalesce(r.k, d.k) AS contract_key, CASE WHEN r.k IS NULL THEN 'UNPAIRED_DELIVERY' WHEN d.k IS NULL THEN 'UNPAIRED_RECEIPT' ELSE 'PAIRED' END AS pair_status, r.code AS receipt_code, d.code AS delivery_code
+    FROM (SELECT * FROM points WHERE flag = 'R') r FULL OUTER JOIN (SELECT * FROM points WHERE flag = 'A') d ON r.k = d.k AND r.qty >= d.qty
+""")
+def pairing_rule(spark, sf_dir):
+    """A rule beside the contract decides on pairs; what it leaves alone is unpaired."""
+    text = lambda c: F.col(c).cast("string")
+    lines = table(spark, sf_dir, "lineitem").select(text("l_orderkey").alias("firmid"), text("l_linenumber").alias("loc"), F.expr("CASE l_returnflag WHEN 'R' THEN 'REC' WHEN 'A' THEN 'DEL' END").alias("locpurp"), F.col("l_quantity").cast("long").cast("string").alias("kqtyloc"), F.lit("LOADED").alias("ingestion_status"), F.lit(1).alias("ingestion_timestamp"))
+    none = dict.fromkeys(("loc_name", "loc_zone", "loc_qti", "term_begin", "term_end", "source_system", "source_api", "pipeline_run_id", "hash_key"))
+    paths = pair(lines, Pairing("firm", none, newest_only=False, rule=lambda r, d: bigint(r("loc_qty")) >= bigint(d("loc_qty"))))
+    return paths.select(F.col("contract_key").cast("long").alias("contract_key"), "pair_status", F.col("receipt_loc_code").cast("int").alias("receipt_code"), F.col("delivery_loc_code").cast("int").alias("delivery_code"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lamina.operators.ids import numbered
 from lamina.operators.latest import new_content
 from lamina.operators.scope import MAPPING_SCHEMA
+from lamina.sources.database import Database, Layers
 from lamina.sources.export import export_raw
 from lamina.sources.feeds import BUSINESS, FEEDS, LOG_SCHEMA, META, Feed, columns_of, schema_of
 from lamina.sources.payloads import read_payloads, require_valid
@@ -59,10 +60,15 @@ def raw_rows(parsed: DataFrame, table: str, run_id: str) -> DataFrame:
     return parsed.filter(F.col("table") == table).select("file", "position", *business, *[meta[n].cast(t).alias(n) for n, t in META])
 
 
-def sink_for(kind: str):
-    """The writer of a kind of sink; unknown kinds, and those that only have a name so far, are errors."""
-    if kind == "parquet":
-        return Tables.append
+def sink_for(kind: str, tables: Tables | Database | Layers | None = None):
+    """Where raw tables are, by the kind of sink: the given tables, or a database, the environment's if none is given.
+
+    Unknown kinds, and those that only have a name so far, are errors.
+    """
+    if kind == "parquet" or kind in ("postgres", "jdbc") and isinstance(tables, (Database, Layers)):
+        return tables
+    if kind in ("postgres", "jdbc"):
+        return Database.from_environment(tables.spark)
     if kind in ("azure_sql", "azuresql"):
         raise NotImplementedError("this sink has no writer yet")
     raise ValueError(f"unknown sink {kind!r}")
@@ -76,12 +82,15 @@ def ingest(spark: SparkSession, path: str, tables: Tables, settings: Settings |
     written or logged. A bad payload raises PayloadError before anything is written.
     """
     settings, run, began = settings or Settings(), Ingested(str(uuid.uuid4())), datetime.now(UTC)
-    write = sink_for(settings.sink)
-    parsed = require_valid(read_payloads(spark, path, feeds or FEEDS, settings.source_system, settings.api_prefix).persist()).persist()
+    tables = sink_for(settings.sink, tables)
+    read = read_payloads(spark, path, feeds or FEEDS, settings.source_system, settings.api_prefix).persist()
+    try:
+        parsed = require_valid(read)
+    except Exception:
+        read.unpersist()
+        raise
     try:
-        tally = parsed.groupBy("table").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("missing") > 0, 1)).alias("bad"), F.first("feed").alias("feed")).collect()
-        run.objects_read, run.rows_rejected = sum(r.n for r in tally), sum(r.bad for r in tally)
-        feed_of = {r.table: r.feed for r in tally}
+        feed_of = count_rows(run, parsed)
         for table in [t for t in BUSINESS if t in feed_of]:
             rows = raw_rows(parsed, table, run.run_id)
             if dry_run:
@@ -89,18 +98,31 @@ def ingest(spark: SparkSession, path: str, tables: Tables, settings: Settings |
                 continue
             if exported := export_raw(rows.drop("position", "file"), table, feed_of[table], export_dir, run.run_id):
                 run.exports.append(exported)
-            run.rows_written += append_new(tables, settings.layer, table, rows, write)
+            run.rows_written += append_new(tables, settings.layer, table, rows)
     except Exception as e:
         run.status, run.error = "Failed", f"{type(e).__name__}: {e}"
         raise
     finally:
         if not dry_run:
             write_log(tables, settings, run, parsed, began)
-        parsed.unpersist()
+        read.unpersist()
     return run
 
 
-def append_new(tables: Tables, layer: str, table: str, rows: DataFrame, write=Tables.append) -> int:
+def tallies(parsed: DataFrame) -> DataFrame:
+    """(table, feed, objects_read, rows_rejected) of parsed records."""
+    rejected = F.count(F.when(F.size("missing") > 0, 1))
+    return parsed.groupBy("table").agg(F.first("feed").alias("feed"), F.count(F.lit(1)).alias("objects_read"), rejected.alias("rows_rejected"))
+
+
+def count_rows(run: Ingested, parsed: DataFrame) -> dict[str, str]:
+    """Counts a run's records; the feed of each table that has some."""
+    tally = tallies(parsed).collect()
+    run.objects_read, run.rows_rejected = sum(r.objects_read for r in tally), sum(r.rows_rejected for r in tally)
+    return {r.table: r.feed for r in tally}
+
+
+def append_new(tables: Tables | Database | Layers, layer: str, table: str, rows: DataFrame) -> int:
     """Appends rows (with file and position) of new content to a raw table; how many."""
     there = tables.exists(layer, table)
     target = tables.read(layer, table) if there else None
@@ -109,10 +131,9 @@ def append_new(tables: Tables, layer: str, table: str, rows: DataFrame, write=Ta
     delta = numbered(new_content(rows, target, order=order), order, "bronze_row_id", last + 1).drop("file", "position")
     delta = delta.select("bronze_row_id", *[c for c in delta.columns if c != "bronze_row_id"]).persist()
     n = delta.count()
-    if n or not there:
-        write(tables, layer, table, delta)
+    written = tables.append(layer, table, delta) if n or not there else 0
     delta.unpersist()
-    return n
+    return n if written is None else written
 
 
 def write_log(tables: Tables, settings: Settings, run: Ingested, parsed: DataFrame, began: datetime) -> None:

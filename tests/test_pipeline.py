@@ -247,6 +247,53 @@ def test_streaming(spark, tables, tmp_path):
     assert [tuple(r) for r in got] == [("F1", 1), ("F2", 2)]
 
 
+def test_streaming_sets_bad_files_aside(spark, tables, tmp_path):
+    from lamina.streaming.landing import REJECTED, stream_payloads
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for name, payload in (("1.json", firm_payload(contract(1, []))), ("2.json", "not JSON"), ("3.json", {"feedType": "none"}), ("4.json", firm_payload(contract(2, [])))):
+        write(folder, name, payload)
+    for _ in range(2):  # a second start finds nothing new
+        stream_payloads(spark, str(folder), tables, str(tmp_path / "state"), settings=Settings(source_system="S")).awaitTermination()
+    assert sorted(r.firmid for r in tables.read(RAW, "gtran_firm").collect()) == ["F1", "F2"]
+    assert sorted(r.file for r in tables.read(RAW, REJECTED).collect()) == ["2.json", "3.json"]
+    log = tables.read(RAW, "ingestion_log").collect()
+    assert [(r.objects_read, r.rows_written, r.error_details) for r in log] == [(2, 2, "files set aside")]
+
+
+def test_versions(spark, tables):
+    one, two = spark.range(3).selectExpr("id AS a"), spark.range(5).selectExpr("id AS a")
+    tables.append("x", "t", one)
+    before = tables.read("x", "t")
+    assert tables.exists("x", "t") and tables.versions("x", "t") == []
+    assert tables.replace("x", "t", two).count() == 5 and before.count() == 3  # who reads the old one goes on
+    with pytest.raises(ZeroDivisionError):
+        tables.replace("x", "t", one, check=lambda df: 1 / 0)
+    assert tables.read("x", "t").count() == 5 and len(tables.versions("x", "t")) == 1
+    for _ in range(3):
+        tables.replace("x", "t", tables.read("x", "t"))
+    tables.append("x", "t", one)
+    assert tables.read("x", "t").count() == 8 and len(tables.versions("x", "t")) == 2 and tables.list("x") == ["t"]
+    with pytest.raises(ZeroDivisionError):
+        tables.replace("x", "new", one, check=lambda df: 1 / 0)
+    assert not tables.exists("x", "new") and tables.list("x") == ["t"]
+    tables.drop("x", "t")
+    assert tables.list("x") == [] and not tables.exists("x", "t")
+
+
+def test_plans_are_shown_without_sources(spark, tables):
+    registry = default_registry()
+    for name in registry:
+        text = explain(registry, tables, name)
+        if name == "silver_firm_transport_rate":
+            assert text.endswith("not known: bronze.gtran_rates, bronze.gtran_loc")
+        else:
+            assert "sources are missing" in text and "Physical Plan" in text and "columns: " in text
+    text = explain(registry, tables, "silver_firm_rec_del_pair")
+    assert "rec_del_pair_id bigint" in text and "pair_status string not null" in text and "silver_loaded_ts timestamp" in text
+
+
 def test_command_line(spark, tables, sample, capsys, tmp_path):
     root = ["--root", tables.root]
     assert main([*root, "--list", "--source", "awards"]) == 0 and "silver_awards_core gawd" not in capsys.readouterr().out
