@@ -20,6 +20,8 @@ BUCKET_BITS = 20
 #: Terms: whole words, and the first bytes of longer ones.
 PREFIXES = (4, 5, 6)
 TERMS, FACTORS, EPOCHS = 1024, 4, 60
+#: Terms whose pairs are looked at, most seen first, and pairs that bring their terms in.
+PAIRED, PAIRS = 1024, 64
 THRESHOLD = 0.3
 
 
@@ -67,8 +69,35 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
 
 
+def difference(share: list[np.ndarray]) -> np.ndarray:
+    """How far apart the shares of two classes are, in about their standard deviations."""
+    return np.abs(share[1] - share[0]) / np.sqrt((share[0] * (1 - share[0]) + share[1] * (1 - share[1])) + 0.002)
+
+
+def paired_terms(row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, seen: np.ndarray, pull: np.ndarray, classes: dict[int, int]) -> np.ndarray:
+    """Terms of the pairs that tell the classes apart further than either of their terms does, whatever the terms do alone.
+
+    Of the PAIRED terms seen most; as many pairs as a quarter of the smaller class, PAIRS at most.
+    """
+    often = np.sort(np.argsort(-seen, kind="stable")[:PAIRED])
+    often = often[seen[often] >= 3]
+    place = np.full(len(seen), -1)
+    place[often] = np.arange(len(often))
+    known = place[bucket] >= 0
+    x = np.zeros((len(labels), len(often)), dtype=np.float32)
+    x[row[known], place[bucket[known]]] = 1
+    both = [x[labels == c].T @ x[labels == c] for c in (0, 1)]
+    further = difference([both[c] / classes[c] for c in (0, 1)]) - np.maximum(pull[often][:, None], pull[often][None, :])
+    further[(both[0] + both[1] < 3) | np.tri(len(often), dtype=bool)] = 0
+    top = np.argsort(-further, axis=None, kind="stable")[: min(PAIRS, min(classes.values()) // 4)]
+    top = top[further.ravel()[top] > 0]
+    return often[np.unique(np.concatenate(np.unravel_index(top, further.shape)))] if len(top) else often[:0]
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int], seed: int = 7) -> Machine:
-    """A machine over the terms that tell the classes apart best, by Adam on the weighted log loss.
+    """A machine over the terms that tell the classes apart best, alone or in pairs, by Adam on the weighted log loss.
+
+    At most TERMS of the first kind, and no more than four times the rows of the smaller class, against chance.
 
     Each class weighs as in the whole of the labels (sizes), whatever its share of the sample. With no label or only one
     class the machine has a bias alone.
@@ -86,10 +115,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int], seed:
     bucket = np.concatenate(rows)
     share = [np.bincount(bucket[labels[row] == c], minlength=len(number)) / classes[c] for c in (0, 1)]
     seen = np.bincount(bucket, minlength=len(number))
-    pull = np.abs(share[1] - share[0]) / np.sqrt((share[0] * (1 - share[0]) + share[1] * (1 - share[1])) + 0.002)
+    pull = difference(share)
     pull[seen < 3] = 0
     best = np.argsort(-pull, kind="stable")[: min(TERMS, 4 * min(classes.values()))]
-    best = np.sort(best[pull[best] > 0])
+    best = np.union1d(best[pull[best] > 0], paired_terms(row, bucket, labels, seen, pull, classes))
     number[best] = np.arange(1, len(best) + 1)
     keep = number[bucket] > 0
     row, term = row[keep], number[bucket[keep]]

@@ -87,3 +87,23 @@ def test_ridge_equals_exact_equations(spark):
     mean = lambda a, b: (y[a : b + 1] * m[a : b + 1]).sum() / m[a : b + 1].sum()
     values = [max(min(mean(a, b) for b in range(i, len(y))) for a in range(i + 1)) for i in range(len(y))]
     assert np.allclose(model.scores(pa.array([rows[i].text for i in np.flatnonzero(~fit)[order]])), values)
+
+
+def test_terms_that_matter_in_pairs_only_are_kept():
+    """Two words of equal share in both classes, told apart by standing together, among far more words than there are terms."""
+    rng = random.Random(12)
+    noise = ["".join(rng.choices("abcdefgh", k=3)) for _ in range(1500)]
+    texts, labels = [], []
+    for n in range(1200):
+        label = n % 2
+        both = rng.random() < 0.5
+        pair = (["zyx", "qpo"] if both else []) if label else [("zyx", "qpo")[rng.random() < 0.5]]
+        texts.append(" ".join(rng.sample(noise, 20) + pair))
+        labels.append(float(label))
+    labels = np.array(labels)
+    rows = toxicity.terms(pa.array(texts))
+    machine = toxicity.fit(rows[:1000], labels[:1000], {0: 500, 1: 500})
+    wanted = [int(toxicity.terms(pa.array([w]))[0][0]) for w in ("zyx", "qpo")]
+    assert all(machine.number[wanted])
+    together, one = machine.scores(pa.array(["zyx qpo", "zyx"]))
+    assert together > 0.5 and together > one + 0.1
