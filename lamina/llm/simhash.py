@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,8 @@ BITS = 64
 SEED = 42
 #: Shingles of one text whose bits are counted at a time.
 BLOCK = 1 << 15
+#: Fingerprints by which the pairs under a key are estimated.
+SAMPLE = 2048
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -108,12 +111,23 @@ def correlated_groups(together: np.ndarray, rows: int, count: int) -> tuple[tupl
     return tuple(groups)
 
 
-def near_chance(p: np.ndarray, radius: int) -> list[float]:
+def near_chance(p: np.ndarray, radius: int) -> np.ndarray:
     """For two random rows, the chance that so many bits or fewer differ, of independent bits that are 1 with chance p."""
     differ, row = 2 * p * (1 - p), np.array([1.0])
     for d in differ:
         row = np.convolve(row, [1 - d, d])[: radius + 1]
-    return np.cumsum(row).tolist()
+    return np.cumsum(row)
+
+
+def seen_chance(sample: np.ndarray, mask: int, radius: int) -> np.ndarray:
+    """The share of pairs of sampled fingerprints of which so many bits or fewer differ under a mask: bits as they go together."""
+    near, pairs = np.zeros(radius + 1), 0
+    for at in range(0, len(sample), 512):
+        part = np.bitwise_count((sample[at : at + 512, None] ^ sample[None, :]) & np.uint64(mask))
+        part = part[np.arange(at, at + len(part))[:, None] < np.arange(len(sample))[None, :]]
+        near += np.bincount(np.minimum(part, radius + 1), minlength=radius + 2)[: radius + 1]
+        pairs += len(part)
+    return np.cumsum(near) / max(pairs, 1)
 
 
 def allocate(costs: list[dict[int, float]], total: int) -> tuple[float, tuple[int, ...]]:
@@ -129,9 +143,12 @@ def allocate(costs: list[dict[int, float]], total: int) -> tuple[float, tuple[in
     return best[total]
 
 
-def plan_for(together: np.ndarray, rows: int, radius: int, probe_cost: float = 1.0, pair_cost: float = 0.01) -> Plan:
+def plan_for(together: np.ndarray, rows: int, radius: int, probe_cost: float = 1.0, pair_cost: float = 0.01, sample: np.ndarray | None = None) -> Plan:
     """The groups and thresholds of least estimated work: keys written plus pairs met under a key.
 
+    Pairs are estimated from those of a sample of fingerprints, for correlated bits agree more often than independent ones,
+    and are at least what independent bits would give. Estimates decide on work only, never on what is found.
+
     By the general pigeonhole principle, thresholds of m groups that sum to radius - m + 1 lose no pair within radius:
     were every group's distance above its threshold, the distances would sum to at least radius + 1.
     """
@@ -141,6 +158,8 @@ def plan_for(together: np.ndarray, rows: int, radius: int, probe_cost: float = 1
         costs = []
         for g in groups:
             chance = near_chance(p[list(g)], radius)
+            if sample is not None and len(sample) > 1:
+                chance = np.maximum(chance, seen_chance(sample, sum(1 << b for b in g), radius))
             costs.append({-1: 0.0} | {t: probe_cost * rows * probes(len(g), t) + pair_cost * rows * rows * chance[t] for t in range(radius + 1)})
         cost, radii = allocate(costs, radius - count + 1)
         if best is None or cost < best[0]:
@@ -178,24 +197,60 @@ def flips(mask: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in chosen) for n in range(radius + 1) for chosen in combinations(bits, n)], dtype=np.uint64)
 
 
-def _keys(plan: Plan):
-    """Each fingerprint under every key of its groups: its own and those within the group's threshold."""
+def _divided(plan: Plan, part: int, radius: int) -> list[int]:
+    """Masks of radius + 1 blocks of the bits outside a group: one of them is equal for any pair within radius."""
+    free = [b for b in range(BITS) if not plan.masks[part] >> b & 1]
+    return [sum(1 << b for b in free[k :: radius + 1]) for k in range(radius + 1)]
+
+
+def _keys(plan: Plan, radius: int, crowded: Broadcast | None):
+    """Each fingerprint under every key of its groups: its own and those within the group's threshold.
+
+    The part tells the group; of a crowded key, given as {group: keys in order}, it tells the block, too, and the key has that
+    block's bits as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = crowded.value if crowded else {}
+
+        def rows(part: int, keys: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part, dtype=np.int16)), pa.array(keys.view(np.int64)), pa.array(fp.view(np.int64))], names=["part", "key", "fp"])
+
         for batch in batches:
             all_fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for at in range(0, len(all_fp), 4096):
-                fp = all_fp[at : at + 4096]
-                for i, (mask, radius) in enumerate(zip(plan.masks, plan.radii)):
-                    if radius < 0:
+                some = all_fp[at : at + 4096]
+                for i, (mask, near) in enumerate(zip(plan.masks, plan.radii)):
+                    if near < 0:
                         continue
-                    change = flips(mask, radius)
-                    keys = ((fp & np.uint64(mask))[:, None] ^ change[None, :]).ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), i, dtype=np.int8)), pa.array(keys.view(np.int64)), pa.array(np.repeat(fp, len(change)).view(np.int64))], names=["part", "key", "fp"])
+                    change = flips(mask, near)
+                    keys, fp = ((some & np.uint64(mask))[:, None] ^ change[None, :]).ravel(), np.repeat(some, len(change))
+                    if len(own := full.get(i, ())):
+                        most = np.isin(keys, own)
+                        for k, block in enumerate(_divided(plan, i, radius)):
+                            yield rows(i + len(plan.masks) * (k + 1), keys[most] | fp[most] & np.uint64(block), fp[most])
+                        keys, fp = keys[~most], fp[~most]
+                    yield rows(i, keys, fp)
 
     return run
 
 
+#: Fingerprints with one key of their own above which the key is divided among tasks.
+CROWD_ROWS = 65_536
+
+
+def crowded_keys(distinct: DataFrame, plan: Plan, rows: int, most: int) -> dict[int, np.ndarray]:
+    """The keys, by group, that more than `most` fingerprints have as their own; at most a row for each `most` of them."""
+    if rows <= most:
+        return {}
+    own = [F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(int(np.uint64(m).view(np.int64)))).alias("key")) for i, (m, r) in enumerate(zip(plan.masks, plan.radii)) if r >= 0]
+    counted = distinct.select(F.explode(F.array(*own)).alias("own")).groupBy("own.part", "own.key").count().filter(F.col("count") > most)
+    out: dict[int, list[int]] = {}
+    for part, key, _ in counted.collect():
+        out.setdefault(part, []).append(key)
+    return {part: np.sort(np.array(keys, dtype=np.int64).view(np.uint64)) for part, keys in out.items()}
+
+
 #: Fingerprints under one key above which the key's group is divided by its other bits, too.
 CROWD = 2048
 
@@ -238,21 +293,40 @@ def local_edges(fp: np.ndarray, radius: int, mask: int = 0) -> tuple[np.ndarray,
     return (np.concatenate([e[0] for e in found]), np.concatenate([e[1] for e in found])) if found else (fp[:0], fp[:0])
 
 
+def _met_edges(fp: np.ndarray, own: np.ndarray, radius: int, mask: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges among fingerprints under one key: those whose key it is with each other, and with those that probe it."""
+    if len(fp) > CROWD or own.all():
+        return local_edges(fp, radius, mask)
+    index, probes_ = np.unique(fp[own]), np.unique(fp[~own])
+    a, b = local_edges(index, radius, mask)
+    i, j = np.nonzero(np.bitwise_count(index[:, None] ^ probes_[None, :]) <= radius)
+    if len(i) > 4 * len(fp):
+        return _walk(np.unique(fp), radius)
+    return np.concatenate([a, index[i]]), np.concatenate([b, probes_[j]])
+
+
 def _group_edges(plan: Plan, radius: int):
     """Edges of each run of rows with one key; rows come ordered by group and key."""
-    masks = np.array(plan.masks, dtype=np.uint64)
+    groups = len(plan.masks)
+    bits = np.array([*plan.masks, *(0 for _ in range(groups * (radius + 1)))], dtype=np.uint64)  # of the group's own key
+    known = [m if r == 0 else 0 for m, r in zip(plan.masks, plan.radii)] + [0] * (groups * (radius + 1))  # bits equal in a run
+    for i in range(groups):
+        for k, block in enumerate(_divided(plan, i, radius)):
+            bits[i + groups * (k + 1)] = plan.masks[i]
+            known[i + groups * (k + 1)] = block | known[i]
 
     def edges(part: np.ndarray, key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(key):
             return
         start = np.concatenate(([0], np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1))
         size = np.diff(np.append(start, len(key)))
-        own = np.logical_or.reduceat((fp & masks[part]) == key.view(np.uint64), start)  # else only probes meet here
+        mine = (fp & bits[part]) == key.view(np.uint64) & bits[part]
+        own = np.logical_or.reduceat(mine, start)  # else only probes meet here
         pairs = start[(size == 2) & own]
         near = np.bitwise_count(fp[pairs] ^ fp[pairs + 1]) <= radius
         a, b = [fp[pairs][near]], [fp[pairs + 1][near]]
         for s, n in zip(start[(size > 2) & own].tolist(), size[(size > 2) & own].tolist()):
-            x, y = local_edges(fp[s : s + n], radius, plan.masks[part[s]] if plan.radii[part[s]] == 0 else 0)
+            x, y = _met_edges(fp[s : s + n], mine[s : s + n], radius, known[part[s]])
             a.append(x)
             b.append(y)
         x, y = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
@@ -281,10 +355,17 @@ def _group_edges(plan: Plan, radius: int):
 
 
 def link_edges(distinct: DataFrame, radius: int = 4) -> tuple[DataFrame, Plan]:
-    """Edges (a, b) among distinct fingerprints that connect whatever pairs within radius connect, and the plan used."""
+    """Edges (a, b) among distinct fingerprints that connect whatever pairs within radius connect, and the plan used.
+
+    A fingerprint is written once under its own key of each group and once under each key that it probes; only the own ones
+    are compared with the rest. Keys that very many fingerprints have are divided by blocks of their other bits.
+    """
     together, rows = bit_counts(distinct)
-    plan = plan_for(together, rows, radius)
-    keyed = distinct.select("fp").mapInArrow(_keys(plan), "part byte, key long, fp long")
+    some = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column(0).to_numpy().view(np.uint64)
+    plan = plan_for(together, rows, radius, sample=some)
+    full = crowded_keys(distinct, plan, rows, CROWD_ROWS)
+    shared = distinct.sparkSession.sparkContext.broadcast(full) if full else None  # at most rows / CROWD_ROWS keys a group
+    keyed = distinct.select("fp").mapInArrow(_keys(plan, radius, shared), "part short, key long, fp long")
     ordered = keyed.repartition("part", "key").sortWithinPartitions("part", "key")
     return ordered.mapInArrow(_group_edges(plan, radius), "a long, b long"), plan
 

@@ -399,6 +399,48 @@ def test_local_edges_connect_what_links_connect(size, spread):
     assert len(a) <= 5 * max(len(fp), 1) + 5 * len(fp)
 
 
+@pytest.mark.parametrize("most", [3, 20, 10_000])
+def test_crowded_keys_are_divided_without_loss(spark, monkeypatch, most):
+    """Fingerprints around a few centres, so that many share their bits; keys of more than `most` are divided."""
+    monkeypatch.setattr(simhash, "CROWD_ROWS", most)
+    rng = np.random.default_rng(4)
+    fp = np.repeat(rng.integers(0, 1 << 62, 4, dtype=np.uint64), 150)
+    for _ in range(5):
+        fp ^= np.uint64(1) << rng.integers(0, 64, len(fp)).astype(np.uint64)
+    fp = np.unique(np.concatenate([fp, rng.integers(0, 1 << 62, 200, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long").repartition(3)
+    edges, plan = simhash.link_edges(df, 4)
+    found = [tuple(np.array(r, dtype=np.int64).view(np.uint64).tolist()) for r in edges.collect()]
+    assert all((a ^ b).bit_count() <= 4 for a, b in found)
+    assert (most == 10_000) == (not simhash.crowded_keys(df, plan, len(fp), most))
+    i, j = np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4, 1))
+    want = {tuple(p) for p in zip(fp[i].tolist(), fp[j].tolist())}
+
+    def roots(pairs):
+        parent = {x: x for x in fp.tolist()}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs:
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(x) for x in fp.tolist()]
+
+    assert roots(found) == roots(want) and len(want) > 300
+
+
+def test_chances_of_correlated_bits():
+    rng = np.random.default_rng(2)
+    half = rng.integers(0, 1 << 16, 500, dtype=np.uint64)
+    sample = half | half << np.uint64(16)  # each bit twice
+    seen = simhash.seen_chance(sample, 0xFFFFFFFF, 4)
+    pairs = [((a ^ b) & 0xFFFFFFFF).bit_count() for n, a in enumerate(sample.tolist()) for b in sample.tolist()[:n]]
+    assert np.allclose(seen, [np.mean([p <= t for p in pairs]) for t in range(5)])
+    assert seen[4] > 3 * simhash.near_chance(np.full(32, 0.5), 4)[4]
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (5, 5), (None, 3), (300, 301), (301, 300)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
