@@ -233,3 +233,29 @@ def test_undescribed_rule_equals_its_definition(spark, rule):
     got = settle_undescribed(df, ["k"], [F.col("ts"), F.col("id")], rule)
     assert got.columns == df.columns
     assert {r.id: r.kind for r in got.collect()} == {r[2]: want.get(r[2], r[3]) for r in rows}
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from lamina.checkpoints import shared_dir
+
+    made = []
+    fake = lambda master, given: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: given), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
+    )
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(fake(master, None))
+    assert shared_dir(fake("yarn", "hdfs:///c")) == "hdfs:///c" == made.pop()
+    assert shared_dir(fake("local[4]", None)) == made.pop()
+
+
+def test_pairing_of_very_many_points_without_a_contract(spark):
+    """They stay where they are: no shuffle gathers them."""
+    points = spark.range(2000).selectExpr("CAST(NULL AS STRING) AS firmid", "CAST(id AS STRING) AS loc", "'REC' AS locpurp", "'LOADED' AS ingestion_status", "1 AS ingestion_timestamp")
+    none = dict.fromkeys(("loc_name", "loc_zone", "loc_qti", "loc_qty", "term_begin", "term_end", "source_system", "source_api", "pipeline_run_id", "hash_key"))
+    paths = pair(points.repartition(4), Pairing("firm", none, newest_only=False))
+    assert paths.count() == 2000
+    sizes = [r[0] for r in paths.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) >= 4 and max(sizes) < 1000
