@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lamina.llm import bpe, decontaminate, neardup, secrets, toxicity
 from lamina.llm.queries import table, vocabulary_path
+from lamina.llm.store import shared_dir
 from lamina.llm.words import spread
 
 
@@ -15,7 +18,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, of five-word shingles' similarity 0.8, stays: the one of the smallest id."""
+    """One document of each group of near-duplicates, of five-word shingles' similarity 0.8, stays: the one of the smallest id.
+
+    SimHash fingerprints say which texts are compared; the similarity decides.
+    """
     return neardup.keep_first(docs)
 
 
@@ -47,7 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each one's rows written to the shared folder and reread by the next; what went before is deleted."""
+    folder, old = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     docs = spread(table(spark, sf_dir, "documents"))
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        if old:
+            path = spark._jvm.org.apache.hadoop.fs.Path(old)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        old = f"{folder}/{name}"
+    return STAGES[-1][1](spark, spread(docs), sf_dir)

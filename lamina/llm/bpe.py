@@ -236,7 +236,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         def f(ids: pa.Array, texts: pa.Array) -> list:
             rows = [t.encode(x) for x in texts.to_pylist()]
             counts = np.array([r[0] for r in rows], dtype=np.int64)
-            flat = np.array(" ".join(r[1] for r in rows if r[0]).split(), dtype=np.int32) if counts.any() else np.zeros(0, np.int32)
+            flat = np.fromstring(" ".join(r[1] for r in rows if r[0]), dtype=np.int32, sep=" ")
             tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat))
             return [ids, counts, tokens, pa.array([r[2] for r in rows], pa.string())]
 

@@ -1,15 +1,15 @@
-"""Near-duplicates by exact similarity of word shingles: SimHash links first, then prefixes of rare shingles for the rest.
+"""Near-duplicates by similarity of word shingles: SimHash links first, then nearest fingerprints under rare shingles.
 
 The weighted similarity of two texts is that of decontaminate.weighted_similarity: shingles that both have, over those
-that either has, each counted as often as it occurs. No pair of at least the asked similarity is left unlinked:
-
-1. Fingerprints of the shingles meet by the general pigeonhole plan of simhash.link_edges; each link is verified by the exact
-   similarity. That joins most of any large group, by as many links as it has texts.
-2. In one order of all shingles, the first n - ceil(similarity * n) + k of n shingles of one text and those of the other have
-   k in common. So texts not yet in one component meet under each shingle of their prefixes, and those that have k in common
-   are verified, too. k grows with n, for long texts have single shingles in common by chance; of two texts the lesser k counts.
-
-Texts of one component are not compared again, so copies of copies are not expanded into all pairs.
+that either has, each counted as often as it occurs. Texts are linked only if that is at least what is asked.
+
+1. Fingerprints of the shingles meet by the general pigeonhole plan of simhash.link_edges, and each link is verified.
+2. In one order of all shingles, the first n - ceil(similarity * n) + 1 of n shingles of one text and those of the other have one
+   in common. So every similar pair meets under some shingle of its prefixes. Of up to FEW texts under a shingle all pairs of
+   different components within NEAR_RADIUS are verified. Where more meet, each is verified with the texts of other components whose
+   fingerprints are nearest, NEAREST under each of its shingles, and components grow in rounds until a round joins hardly
+   any. So work is in proportion to the texts, though a group of near copies has pairs in the square of its size; what that
+   loses is in README.
 """
 
 from __future__ import annotations
@@ -28,15 +28,22 @@ from lamina.llm.components import components, keep_one
 from lamina.llm.decontaminate import SIMILARITY, WIDTH
 from lamina.llm.simhash import SEED, fingerprint, link_edges, shingle_hashes
 from lamina.llm.store import cut, small_or_not
-from lamina.llm.words import id_type, map_texts, mix
+from lamina.llm.words import id_type, map_texts, mix, release
 
 #: Texts whose shingles are counted for the order of shingles, and the most shingles that are told apart by their counts.
 #: Any order gives the same pairs; rare shingles first makes few candidates of them.
-SAMPLE, COMMON = 20_000, 200_000
-#: Differing bits up to which fingerprints are linked before the prefixes, and rows under one shingle that are compared at once.
-RADIUS, FEW = 4, 64
-#: Pairs that are made at a time.
-PAIRS = 1 << 20
+SAMPLE, COMMON = 5_000, 200_000
+#: Differing bits up to which fingerprints are linked before the prefixes; and up to which they are near under a shingle. Texts of
+#: similarity 0.8 differ in about 10 of 64 bits on average; 22 is over four standard deviations more.
+RADIUS, NEAR_RADIUS = 4, 22
+#: Texts under one shingle up to which all pairs are verified, nearest fingerprints that are beyond, and texts that are compared at once.
+FEW, NEAREST, CHUNK = 8, 3, 4096
+#: A round that joins a smaller share of all that were joined is the last.
+GAIN = 0.02
+#: Bytes of bags up to which they are broadcast to the pairs that are verified.
+BAG_BYTES = 16 << 20
+#: Share of a sample's texts from which a shingle is dealt to many tasks.
+HEAVY = 0.01
 #: Against rounding of products of similarity and sizes; it only adds candidates.
 _SLACK = 1e-9
 
@@ -55,19 +62,15 @@ def bag_of(hashes: np.ndarray) -> np.ndarray:
     return h
 
 
-def shared_least(n):
-    """Hashes that the prefix of a bag of n has in common with that of any similar bag that isn't smaller."""
-    return 1 + n // 16
-
-
-def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of a bag's hashes in the order of counts and then hashes, as many as the similarity asks."""
-    take = len(own) - ceil(similarity * len(own) - _SLACK) + shared_least(len(own)) if len(own) else 0
+def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first of a bag's hashes in the order of counts and then hashes, as many as the similarity asks; and their counts."""
+    take = len(own) - ceil(similarity * len(own) - _SLACK) + 1 if len(own) else 0
     often = np.zeros(len(own), dtype=np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, own), len(common) - 1)
         often = np.where(common[at] == own, counts[at], 0)
-    return own[np.argsort(often, kind="stable")[:take]]
+    first = np.argsort(often, kind="stable")[:take]
+    return own[first], often[first]
 
 
 def common_shingles(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +91,10 @@ def common_shingles(docs: DataFrame, width: int, id_col: str, text_col: str) ->
 
 
 def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_key, bag long, fp long, n, prefix) for every row; bag is equal for equal bags, n the shingles."""
+    """(doc_id, text_key, bag long, fp long, n, prefix, heavy int) for every row; bag is equal for equal bags, n the shingles.
+
+    The last `heavy` hashes of the prefix are in very many texts.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width, id_col, text_col))  # of COMMON rows at most
 
     def make():
@@ -101,71 +107,93 @@ def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_
             keys = [SEED if t is None else xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) for t in rows]
             names = [xxhash.xxh64_intdigest(b.tobytes(), SEED) for b in bags]
             sizes = np.array([len(b) for b in bags], dtype=np.int64)
-            firsts = pa.array([prefix(b, common, counts, similarity).tobytes() for b in bags], pa.binary())
-            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, names, prints)), sizes, firsts]
+            found = [prefix(b, common, counts, similarity) for b in bags]
+            firsts = pa.array([p.tobytes() for p, _ in found], pa.binary())
+            heavy = np.array([(c >= max(2, HEAVY * SAMPLE)).sum() for _, c in found], dtype=np.int32)
+            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, names, prints)), sizes, firsts, heavy]
 
         return f
 
-    fields = [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("bag", T.LongType()), ("fp", T.LongType()), ("n", T.LongType()), ("prefix", T.BinaryType())]
+    fields = [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("bag", T.LongType()), ("fp", T.LongType()), ("n", T.LongType()), ("prefix", T.BinaryType()), ("heavy", T.IntegerType())]
     return map_texts(docs, fields, make, id_col, text_col)
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each bag, with its component and size, under every hash of its prefix."""
+    """Each bag under every hash of its prefix, and whether very many texts have the hash."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            firsts = [np.frombuffer(p, dtype=np.int64) for p in part.column(3).to_pylist()]
-            each = [len(p) for p in firsts]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), *(pa.array(np.repeat(part.column(i).to_numpy(zero_copy_only=False), each)) for i in range(3))], names=["token", "comp", "bag", "n"])
-
-
-def _meet(similarity: float):
-    """Pairs of bags of different components under one hash whose sizes allow the similarity; rows come ordered by hash and component."""
-
-    def made(names: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
-        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        fit = low >= similarity * high - _SLACK
-        if fit.any():
-            x, y = names[i[fit]], names[j[fit]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y)), pa.array(shared_least(low[fit]))], names=["a", "b", "least"])
-
-    def pairs(token: np.ndarray, comp: np.ndarray, names: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
-        size = np.diff(np.append(start, len(token)))
-        live = comp[start] != comp[start + size - 1]
-        few = np.flatnonzero(np.repeat(live & (size <= FEW), size))
-        left, apart = few, 1
-        while len(left):  # each row with the one so many places on
-            left = left[left + apart < len(token)]
-            left = left[token[left] == token[left + apart]]
-            yield from made(names, n, left[differ := comp[left] != comp[left + apart]], left[differ] + apart)
-            apart += 1
-        for s, c in zip(start[live & (size > FEW)].tolist(), size[live & (size > FEW)].tolist()):
-            at = np.arange(s, s + c)
-            runs = sorted(np.split(at, np.flatnonzero(np.diff(comp[at])) + 1), key=len)
-            order, done = np.concatenate(runs), 0
-            for run in runs[:-1]:  # each row of the smaller components with all of the larger
-                done += len(run)
-                step = max(1, PAIRS // len(order[done:]))
-                for i in range(0, len(run), step):
-                    yield from made(names, n, np.repeat(run[i : i + step], len(order) - done), np.tile(order[done:], len(run[i : i + step])))
+            firsts = [np.frombuffer(p, dtype=np.int64) for p in part.column(1).to_pylist()]
+            each = np.array([len(p) for p in firsts])
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            heavy = place >= np.repeat(each - part.column(2).to_numpy(zero_copy_only=False), each)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), each)), pa.array(heavy)], names=["token", "bag", "heavy"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of ordered rows in pieces that begin and end with a run of one first column, or divide a run of over most rows."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        rows = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(rows[0]):
+            continue
+        held.append(rows)
+        tail = int(np.searchsorted(rows[0], rows[0][-1])) if (rows[0][0] != rows[0][-1]) else 0
+        if tail:
+            yield tuple(np.concatenate(x) for x in zip(*held[:-1], tuple(r[:tail] for r in rows)))
+            held = [tuple(r[tail:] for r in rows)]
+        elif len(held) > 1 and held[-2][0][-1] != rows[0][0]:
+            yield tuple(np.concatenate(x) for x in zip(*held[:-1]))
+            held = [rows]
+        elif sum(len(h[0]) for h in held) >= most:
+            yield tuple(np.concatenate(x) for x in zip(*held))
+            held = []
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of hashes that two bags or more have; rows come ordered by hash."""
+    for token, bags in _runs(batches, 1 << 20):
+        again = np.concatenate(([False], token[1:] == token[:-1], [False]))
+        keep = again[1:] | again[:-1] | (len(token) >= 1 << 20)  # the last of a divided run may stand alone
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(bags[keep])], names=["token", "bag"])
+
+
+def _nearest(similarity: float):
+    """Pairs of bags of different components under one hash whose sizes allow the similarity: all of a few, else the nearest
+    fingerprints. Rows come ordered by hash and a turned fingerprint, so that long runs are divided among alike ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            if not len(rows[0]):
-                continue
-            tail = int(np.searchsorted(rows[0], rows[0][-1]))
-            if held and (tail or held[-1][0][-1] != rows[0][0]):
-                yield from pairs(*(np.concatenate(x) for x in zip(*held, tuple(r[:tail] for r in rows))))
-                held = []
-            elif tail:
-                yield from pairs(*(r[:tail] for r in rows))
-            held.append(tuple(r[tail:] for r in rows))
-        if held:
-            yield from pairs(*(np.concatenate(x) for x in zip(*held)))
+        for token, comp, names, n, fp in _runs(batches, 16 * CHUNK):
+            fp, pairs = fp.view(np.uint64), []
+            start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
+            size = np.diff(np.append(start, len(token)))
+            left, apart = np.flatnonzero(np.repeat(size <= FEW, size)), 1
+            while len(left):  # each row with the one so many places on
+                left = left[left + apart < len(token)]
+                left = left[token[left] == token[left + apart]]
+                pairs.append((left, left + apart))
+                apart += 1
+            for s, c in zip(start[size > FEW].tolist(), size[size > FEW].tolist()):
+                for at in np.array_split(np.arange(s, s + c), -(-c // CHUNK)):
+                    for some in np.array_split(at, -(-len(at) // 256)):
+                        away = np.bitwise_count(fp[some][:, None] ^ fp[at][None, :]).astype(np.int16)
+                        low, high = np.minimum(n[some][:, None], n[at][None, :]), np.maximum(n[some][:, None], n[at][None, :])
+                        away[(comp[some][:, None] == comp[at][None, :]) | (low < similarity * high - _SLACK)] = 99
+                        near = np.argpartition(away, NEAREST, axis=1)[:, :NEAREST] if len(at) > NEAREST else np.tile(np.arange(len(at)), (len(some), 1))
+                        i, j = np.repeat(np.arange(len(some)), near.shape[1]), near.ravel()
+                        fit = away[i, j] <= NEAR_RADIUS
+                        pairs.append((some[i[fit]], at[j[fit]]))
+            i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, np.int64),) * 2
+            fit = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - _SLACK) & (np.bitwise_count(fp[i] ^ fp[j]) <= NEAR_RADIUS)
+            i, j = i[fit], j[fit]
+            if len(i):
+                turn = names[i] < names[j]
+                i, j = np.where(turn, j, i), np.where(turn, i, j)
+                found = np.unique(np.stack([names[i], names[j], comp[i], comp[j]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in range(4)], names=["a", "b", "comp_a", "comp_b"])
 
     return run
 
@@ -190,6 +218,7 @@ def verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity:
     keys = small_or_not(cut(distinct.join(wanted, "bag").select("first.doc_id", "first.text_key")))
     same = docs[id_col].eqNullSafe(keys["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == keys["text_key"])
     bags = cut(_bags(docs.join(keys, same, "left_semi"), width, id_col, text_col).groupBy("bag").agg(F.first("hashes").alias("hashes")))
+    bags = small_or_not(bags, size=BAG_BYTES)  # else each pair's bags move to it
     both = pairs.join(bags.toDF("a", "x"), "a").join(bags.toDF("b", "y"), "b")
     sizes = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
     return cut(sizes.filter(F.col("both") / (F.col("sizes") - F.col("both")) >= similarity).select("a", "b"))
@@ -203,24 +232,54 @@ def fingerprint_pairs(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return cut(alike.unionByName(edges.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
 
-def prefix_pairs(distinct: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): bags of different components with as many common hashes in their prefixes as the similarity asks."""
-    placed = distinct.join(small_or_not(roots.withColumnRenamed("node", "bag")), "bag", "left")
-    posted = placed.select(F.coalesce("root", "bag").alias("comp"), "bag", "n", "prefix").mapInArrow(_postings, "token long, comp long, bag long, n long")
-    ordered = posted.repartition("token").sortWithinPartitions("token", "comp")
-    often = ordered.mapInArrow(_meet(similarity), "a long, b long, least long").groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("shared"))
-    return cut(often.filter("shared >= least").select("a", "b"))
+def _components_of(bags: DataFrame, roots: DataFrame) -> DataFrame:
+    """bags with comp: the root of each bag, or itself."""
+    return bags.join(small_or_not(roots.withColumnRenamed("node", "bag")), "bag", "left").withColumn("comp", F.coalesce("root", "bag")).drop("root")
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of the components that links (comp_a, comp_b) make of those there are."""
+    new = small_or_not(cut(components(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))).toDF("old", "new")))
+    moved = roots.join(new, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    alone = new.select(F.col("old").alias("node"), F.col("new").alias("root")).join(roots.select("node"), "node", "left_anti")
+    return cut(moved.unionByName(alone))
+
+
+def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, root) after rounds of verified pairs of different components under the hashes of their prefixes."""
+    posted = distinct.select("bag", "prefix", "heavy").mapInArrow(_postings, "token long, bag long, heavy boolean")
+    light = posted.filter("NOT heavy").select("token", "bag").repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, bag long")
+    live = cut(light.withColumn("heavy", F.lit(False)).unionByName(posted.filter("heavy")))
+    sizes = cut(distinct.join(live.select("bag").distinct(), "bag", "left_semi").select("bag", "n", "fp"))
+    tested, merges, turn = None, 0, 0
+    while True:
+        placed = live.join(small_or_not(cut(_components_of(sizes, roots))), "bag")
+        turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
+        part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
+        ordered = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned").select("token", "comp", "bag", "n", "fp")
+        pairs = ordered.mapInArrow(_nearest(similarity), "a long, b long, comp_a long, comp_b long").distinct()
+        if tested is not None:
+            pairs = pairs.join(small_or_not(tested), ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        links = cut(verified(docs, distinct, pairs.select("a", "b"), similarity, width, id_col, text_col).join(pairs, ["a", "b"]).select("comp_a", "comp_b").distinct())
+        gained = links.count()
+        if not gained:
+            return roots
+        roots, merges, turn = joined(roots, links), merges + gained, turn + 1
+        if gained < GAIN * merges:
+            return roots
+        tested = cut(pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b")))
 
 
 def _grouped(docs: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text_key, grp) for every row; grp is the same for all rows of a component."""
     prints = cut(_prefixes(docs, similarity, width, id_col, text_col))
     first = F.min(F.struct("doc_id", "text_key")).alias("first")
-    distinct = cut(prints.groupBy("bag").agg(first, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    near = verified(docs, distinct, fingerprint_pairs(distinct), similarity, width, id_col, text_col)
-    rest = prefix_pairs(distinct, cut(components(near)), similarity)
-    roots = cut(components(near.unionByName(verified(docs, distinct, rest, similarity, width, id_col, text_col))).select(F.col("node").alias("bag"), "root"))
-    return cut(prints.select("doc_id", "text_key", "bag").join(small_or_not(roots), "bag", "left").select("doc_id", "text_key", F.coalesce("root", "bag").alias("grp")))
+    distinct = cut(prints.groupBy("bag").agg(first, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("heavy").alias("heavy")))
+    roots = cut(components(verified(docs, distinct, fingerprint_pairs(distinct), similarity, width, id_col, text_col)))
+    roots = grown(docs, distinct, roots, similarity, width, id_col, text_col)
+    release()
+    return cut(_components_of(prints.select("doc_id", "text_key", "bag"), roots).select("doc_id", "text_key", F.col("comp").alias("grp")))
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lamina.checkpoints import cut, shared_dir
 
-#: Rows of a few fixed-width columns up to which a side may be broadcast (about 16 MB).
-BROADCAST_ROWS = 1_000_000
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "cut", "shared_dir", "small_or_not"]
 
+#: Rows, and bytes of their columns, up to which a side may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the session's spark.checkpoint.dir, or a temporary one where that is unset."""
-    context = spark.sparkContext
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="lamina-checkpoint-"))
-        current = context.getCheckpointDir()
-    return given or current
 
+def _leaves(schema: T.StructType, above: str = "") -> list[tuple[str, T.DataType]]:
+    """The plain columns of a schema, those in structs too."""
+    out = []
+    for f in schema:
+        name = f"{above}`{f.name}`"
+        out += _leaves(f.dataType, f"{name}.") if isinstance(f.dataType, T.StructType) else [(name, f.dataType)]
+    return out
 
-def cut(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the shared checkpoint folder, without its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A cut table with a broadcast hint if it has at most so many rows and bytes; a plain shuffle join serves it otherwise.
 
-def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A cut table with a broadcast hint if it has at most so many rows; a plain shuffle join serves it otherwise."""
-    return F.broadcast(df) if df.count() <= rows else df
+    A column counts 8 bytes a row, or its length where that varies; arrays of numbers count 8 bytes an element, others and maps
+    by their JSON.
+    """
+    leaves, varying = _leaves(df.schema), []
+    for n, kind in leaves:
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+            varying.append(8 * F.size(n))
+        elif isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)):
+            varying.append(F.octet_length(F.to_json(n) if isinstance(kind, (T.ArrayType, T.MapType)) else F.col(n)))
+    n, more = df.agg(F.count(F.lit(1)), sum((F.coalesce(F.sum(x), F.lit(0)) for x in varying), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and 8 * len(leaves) * n + more <= size else df

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.llm.labelled import fold, sample
-from lamina.llm.words import Words, find_words, id_type, map_texts, mix, sliced, text_udf
+from lamina.llm.words import Words, find_words, id_type, map_texts, mix, release, sliced, text_udf
 
 #: Labelled documents of each class that the model is fitted on, at most.
 SAMPLE = 4000
@@ -159,7 +159,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, mos
     got = picked.select("text", "label").mapInArrow(run, "terms array<int>, label int").toArrow()
     rows = [np.asarray(x, dtype=np.int32) for x in (r.values.to_numpy(zero_copy_only=False) for chunk in got.column("terms").chunks for r in chunk)]
     order = sorted(range(len(rows)), key=lambda i: (got.column("label")[i].as_py(), len(rows[i]), rows[i].tobytes()))  # whatever order tasks end in
-    return fit([rows[i] for i in order], got.column("label").to_numpy()[order].astype(np.float64), sizes)
+    machine = fit([rows[i] for i in order], got.column("label").to_numpy()[order].astype(np.float64), sizes)
+    del got, rows
+    release()
+    return machine
 
 
 def score(docs: DataFrame, machine: Machine, folds: int = 4, held: int = 2, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

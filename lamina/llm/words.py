@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that are turned into arrays at a time; a longer text is taken whole, alone.
 CHUNK_BYTES = 1 << 19
+#: Bytes of text after which a worker gives freed memory back.
+RELEASE_BYTES = 2 << 20
 #: Estimated bytes of a table up to which it is dealt out anew before a pass over its texts.
 SPREAD_BYTES = 16 << 20
 
@@ -181,9 +183,13 @@ def map_texts(docs: DataFrame, fields: list[tuple[str, T.DataType]], make: Calla
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        f = make()
+        f, done = make(), 0
         for batch in batches:
             for piece in sliced(batch, 1):
+                done += piece.nbytes
+                if done >= RELEASE_BYTES:
+                    release()
+                    done = 0
                 columns = f(piece.column(0), piece.column(1))
                 if columns is not None and len(columns[0]):
                     yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(field.type) for c, field in zip(columns, arrow, strict=True)], schema=arrow)
@@ -198,9 +204,15 @@ def text_udf(make: Callable[[], Callable], kind: str | T.DataType):
     of texts and returns a value for each."""
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        f = make()
+        f, done = make(), 0
         for texts in columns:
-            parts = [f(piece.column(0)) for piece in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), 0)]
+            parts = []
+            for piece in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+                parts.append(f(piece.column(0)))
+                done += piece.nbytes
+                if done >= RELEASE_BYTES:
+                    release()
+                    done = 0
             yield pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in parts]) if parts else texts.slice(0, 0)
         del f
         release()
