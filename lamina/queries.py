@@ -21,9 +21,11 @@ from lamina.operators.pairing import Pairing, pair
 from lamina.operators.scope import describe, scoped
 from lamina.operators.transport import transport_rates
 from lamina.plans.inspect import inventory
+from lamina.plans.registry import default_registry
 from lamina.session import reach
-from lamina.sources.feeds import Feed
-from lamina.sources.ingest import tallies
+from lamina.sources.export import as_text
+from lamina.sources.feeds import FEEDS, Feed
+from lamina.sources.ingest import raw_rows, tallies
 from lamina.sources.labels import feed_name_of
 from lamina.sources.payloads import parse_files
 from lamina.sources.tables import Tables
@@ -481,3 +483,78 @@ def pairing_rule(spark, sf_dir):
     none = dict.fromkeys(("loc_name", "loc_zone", "loc_qti", "term_begin", "term_end", "source_system", "source_api", "pipeline_run_id", "hash_key"))
     paths = pair(lines, Pairing("firm", none, newest_only=False, rule=lambda r, d: bigint(r("loc_qty")) >= bigint(d("loc_qty"))))
     return paths.select(F.col("contract_key").cast("long").alias("contract_key"), "pair_status", F.col("receipt_loc_code").cast("int").alias("receipt_code"), F.col("delivery_loc_code").cast("int").alias("delivery_code"))
+
+
+def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table of firm contracts that ingestion makes of a payload for each order, its lines as nested locations."""
+    text = lambda c: F.col(c).cast("string")
+    line = F.struct(text("l_linenumber").alias("Index"), F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long")).alias("UniqueId"), text("l_partkey").alias("Loc"), F.expr("CASE l_returnflag WHEN 'R' THEN 'REC' ELSE 'DEL' END").alias("LocPurp"), F.col("l_quantity").cast("long").alias("KQtyLoc"), text("l_orderkey").alias("Pk"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("locations"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'")
+    record = F.struct(
+        text("o_orderkey").alias("id"), text("o_orderkey").alias("FIRMID"), F.col("o_custkey").alias("KHolder"), F.round("o_totalprice").cast("long").alias("KQtyK"), day.alias("KBegDateTime"), F.lit("").alias("KEndDateTime"),
+        F.expr("CASE WHEN o_orderkey % 4 = 0 THEN 'All Data' ELSE 'New' END").alias("AmendRptgDesc"), day.alias("PostedDateTime"), F.col("locations"), F.lit("x").alias("unknown"),
+    )
+    payload = F.struct(F.lit("gTRAN_FIRM").alias("feedType"), F.lit("S").alias("sourceSystem"), F.lit(61).alias("TspDuns"), F.lit("T").alias("TspName"), F.array(record).alias("contracts"))
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    files = orders.select(text("o_orderkey").alias("file"), F.to_json(payload).alias("value"))
+    return raw_rows(parse_files(files, FEEDS), "gtran_firm", "run").withColumn("bronze_row_id", F.col("file").cast("long"))
+
+
+def built(tables: dict[str, DataFrame], *names: str) -> DataFrame:
+    """The last of some plans of the registry, each built from the raw table and the plans before it."""
+    registry = default_registry()
+    for name in names:
+        plan = registry[name]
+        tables[plan.table] = plan.build(tables)
+    return tables[plan.table]
+
+
+@query("""
+    SELECT o_orderkey AS file, CAST(o_orderkey AS VARCHAR) AS raw_record_id, '61' AS tspduns, CAST(o_custkey AS VARCHAR) AS kholder, 'S' AS source_system, 'source/gTRAN_FIRM' AS source_api, 'run' AS pipeline_run_id, 'LOADED' AS ingestion_status,
+        CAST(NULL AS VARCHAR) AS cycle, count(*) AS n_locations
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey
+""")
+def raw_ingestion_rows(spark, sf_dir):
+    rows = raw_contracts(spark, sf_dir)
+    return rows.select(
+        F.col("file").cast("long").alias("file"), "raw_record_id", "tspduns", "kholder", "source_system", "source_api", "pipeline_run_id", "ingestion_status", "cycle",
+        F.size(F.from_json("locations", "array<string>")).cast("long").alias("n_locations"),
+    )
+
+
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS ngh_contract_id, '61' AS pipeline_duns, 'T' AS pipeline_name, CAST(o_custkey AS VARCHAR) AS contract_holder_duns, CAST(round(o_totalprice) AS BIGINT) AS contract_quantity, CAST(o_orderdate AS DATE) AS begin_day,
+        CAST(NULL AS DATE) AS end_day, 'FIRM' AS contract_type, 'gTRAN FIRM' AS source, 'firm' AS source_type, CAST(NULL AS VARCHAR) AS award_number
+    FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def final_core_of_payloads(spark, sf_dir):
+    """From payloads through deduplication, amendments, staging and the feed's model to the final table."""
+    names = ("silver_firm_core_dedup", "silver_firm_core_amended", "silver_firm_core", "silver_firm_core_master_capacity", "silver_final_core_master_capacity")
+    tables = {"gtran_firm": raw_contracts(spark, sf_dir)}
+    built(tables, *names[:2])
+    tables["firm_core_amended"] = tables["firm_core_amended"].withColumn("amended_ts", F.current_timestamp())
+    final = built(tables, *names[2:])
+    return final.select(
+        "ngh_contract_id", "pipeline_duns", "pipeline_name", "contract_holder_duns", F.col("contract_quantity").cast("long").alias("contract_quantity"), F.col("begin_date").cast("date").alias("begin_day"),
+        F.col("end_date").cast("date").alias("end_day"), "contract_type", "source", "source_type", "award_number",
+    )
+
+
+@query("""
+    SELECT firmid, index, uniqueid, loc, locpurp, quantity, begin_day, tspduns FROM (
+        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS firmid, CAST(l_linenumber AS BIGINT) AS index, concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT)) AS uniqueid, CAST(l_partkey AS VARCHAR) AS loc, CASE l_returnflag WHEN 'R' THEN 'REC' ELSE 'DEL' END AS locpurp,
+            CAST(l_quantity AS BIGINT) AS quantity, CAST(o_orderdate AS DATE) AS begin_day, CAST(NULL AS VARCHAR) AS tspduns
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+""")
+def staged_locations_of_payloads(spark, sf_dir):
+    """Nested locations as rows, distinct by content, the newest of each key, with their contract's dates."""
+    staged = built({"gtran_firm": raw_contracts(spark, sf_dir)}, "silver_firm_locations_dedup", "silver_firm_locations")
+    return staged.select("firmid", "index", "uniqueid", "loc", "locpurp", F.col("kqtyloc").cast("long").alias("quantity"), F.to_date(F.substring("transactiontermbegindatetime", 1, 10)).alias("begin_day"), "tspduns")
+
+
+@query("SELECT conv_id, to_json({'turn': turn, 'role': role}) AS first_text, '[1,' || turn || ']' AS list_text, role FROM conversations")
+def nested_to_text(spark, sf_dir):
+    """Nested columns as an export writes them."""
+    turns = table(spark, sf_dir, "conversations")
+    return as_text(turns.select("conv_id", F.struct("turn", "role").alias("first_text"), F.array(F.lit(1), F.col("turn")).alias("list_text"), "role"))
