@@ -5,11 +5,11 @@ that either has, each counted as often as it occurs. Texts are linked only if th
 
 1. Fingerprints of the shingles meet by the general pigeonhole plan of simhash.link_edges, and each link is verified.
 2. In one order of all shingles, the first n - ceil(similarity * n) + 1 of n shingles of one text and those of the other have one
-   in common. So every similar pair meets under some shingle of its prefixes. Of up to FEW texts under a shingle all pairs of
-   different components within NEAR_RADIUS are verified. Where more meet, each is verified with the texts of other components whose
-   fingerprints are nearest, NEAREST under each of its shingles, and components grow in rounds until a round joins hardly
-   any. So work is in proportion to the texts, though a group of near copies has pairs in the square of its size; what that
-   loses is in README.
+   in common. So every similar pair meets under some shingle of its prefixes. Texts of different components are verified there
+   with those whose fingerprints are nearest, all of FEW or the NEAREST under each shingle, in rounds, until one joins hardly any.
+3. Then all pairs of different components that meet so, within NEAR_RADIUS bits, are verified. Nothing is capped: two texts are
+   linked if their fingerprints are within NEAR_RADIUS and the similarity is reached. The rounds only leave few components,
+   for texts of one component are not compared again.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SAMPLE, COMMON = 5_000, 200_000
 RADIUS, NEAR_RADIUS = 4, 22
 #: Texts under one shingle up to which all pairs are verified, nearest fingerprints that are beyond, and texts that are compared at once.
 FEW, NEAREST, CHUNK = 8, 3, 4096
+#: Pairs that are compared at a time in the exact pass.
+PAIRS = 1 << 20
 #: A round that joins a smaller share of all that were joined is the last.
 GAIN = 0.02
 #: Bytes of bags up to which they are broadcast to the pairs that are verified.
@@ -198,6 +200,36 @@ def _nearest(similarity: float):
     return run
 
 
+def _rest(similarity: float):
+    """All pairs of bags of different components under one hash within NEAR_RADIUS whose sizes allow the similarity.
+
+    Rows come ordered by hash and component; of each hash all are there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, comp, names, n, fp in _runs(batches, 1 << 62):
+            fp = fp.view(np.uint64)
+            start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
+            size = np.diff(np.append(start, len(token)))
+            for s, c in zip(start.tolist(), size.tolist()):
+                at = np.arange(s, s + c)
+                runs = sorted(np.split(at, np.flatnonzero(np.diff(comp[at])) + 1), key=len)
+                order, done = np.concatenate(runs), 0
+                for own in runs[:-1]:  # each row of the smaller components with all of the larger
+                    done += len(own)
+                    others = order[done:]
+                    for some in np.array_split(own, -(-len(own) * len(others) // PAIRS)):
+                        low, high = np.minimum(n[some][:, None], n[others][None, :]), np.maximum(n[some][:, None], n[others][None, :])
+                        i, j = np.nonzero((np.bitwise_count(fp[some][:, None] ^ fp[others][None, :]) <= NEAR_RADIUS) & (low >= similarity * high - _SLACK))
+                        if len(i):
+                            x, y = some[i], others[j]
+                            turn = names[x] < names[y]
+                            x, y = np.where(turn, y, x), np.where(turn, x, y)
+                            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (names[x], names[y], comp[x], comp[y])], names=["a", "b", "comp_a", "comp_b"])
+
+    return run
+
+
 def _bags(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(bag, hashes) for every row."""
 
@@ -251,23 +283,25 @@ def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: fl
     light = posted.filter("NOT heavy").select("token", "bag").repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, bag long")
     live = cut(light.withColumn("heavy", F.lit(False)).unionByName(posted.filter("heavy")))
     sizes = cut(distinct.join(live.select("bag").distinct(), "bag", "left_semi").select("bag", "n", "fp"))
-    tested, merges, turn = None, 0, 0
+    tested, merges, turn, last = None, 0, 0, False
     while True:
         placed = live.join(small_or_not(cut(_components_of(sizes, roots))), "bag")
-        turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
-        part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
-        ordered = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned").select("token", "comp", "bag", "n", "fp")
-        pairs = ordered.mapInArrow(_nearest(similarity), "a long, b long, comp_a long, comp_b long").distinct()
+        if last:
+            ordered, meet = placed.repartition("token").sortWithinPartitions("token", "comp"), _rest(similarity)
+        else:
+            turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
+            part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
+            ordered, meet = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned"), _nearest(similarity)
+        pairs = ordered.select("token", "comp", "bag", "n", "fp").mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
         if tested is not None:
             pairs = pairs.join(small_or_not(tested), ["a", "b"], "left_anti")
         pairs = cut(pairs)
         links = cut(verified(docs, distinct, pairs.select("a", "b"), similarity, width, id_col, text_col).join(pairs, ["a", "b"]).select("comp_a", "comp_b").distinct())
         gained = links.count()
-        if not gained:
-            return roots
-        roots, merges, turn = joined(roots, links), merges + gained, turn + 1
-        if gained < GAIN * merges:
+        roots = joined(roots, links) if gained else roots
+        if last:
             return roots
+        merges, turn, last = merges + gained, turn + 1, gained <= GAIN * (merges + gained)
         tested = cut(pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b")))
 
 
