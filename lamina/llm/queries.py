@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lamina.llm import ann, bpe, decontaminate, html, licenses, quality, secrets, simhash, toxicity, unigram
+from lamina.llm import ann, bpe, decontaminate, hard_negatives, html, kmeans, licenses, more_sql, quality, secrets, simhash, toxicity, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,8 +64,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has the next label, so that some near rows have another one."""
+    rows, moved = table(spark, sf_dir, "embeddings"), (F.col("label") + 1) % 10
+    return hard_negatives.mine(rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = (
+    op1_secret_scan, op2_bpe, op3_html_extract, op4_license_scan, op5_decontaminate, op6_toxicity, op7_simhash_dedup, op8_nearest, op9_token_counts, op10_quality, op11_hard_negatives,
+    op12_centroids,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_html_extract, op4_license_scan, op5_decontaminate, op6_toxicity, op7_simhash_dedup, op8_nearest, op9_token_counts, op10_quality)}
+    return {f.__name__: f for f in QUERIES}
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -126,4 +143,6 @@ def oracle_sql() -> dict[str, str]:
 
     The SQL of op8_nearest is for tables of at most ann.LEAF_ROWS rows, where its search is exhaustive.
     """
-    return {"op4_license_scan": license_sql(), "op5_decontaminate": decontamination_sql(), "op8_nearest": neighbours_sql()}
+    return {
+        "op4_license_scan": license_sql(), "op5_decontaminate": decontamination_sql(), "op8_nearest": neighbours_sql(), "op11_hard_negatives": more_sql.negatives_sql(), "op12_centroids": more_sql.clusters_sql(),
+    }
