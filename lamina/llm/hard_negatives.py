@@ -1,12 +1,14 @@
 """Hard negatives: rows of another label whose inner product with an anchor lies in a window below that of a positive.
 
 A vantage-point tree (Yianilos, 1993) over vectors that one more component, sqrt(reach**2 - length**2), puts on a sphere. An anchor gets a
-zero there, so its squared distance from a row is |anchor|**2 + reach**2 - 2 * score, and a window of scores is an annulus around it.
+zero there; its length has no part in the order of its scores, so it lies on the sphere, too. The distance is the angle, whose cosine is
+score / (|anchor| * reach), and a window of scores is an annulus around the anchor.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,6 +36,12 @@ LONGEST = 2.0**59
 _FAR = 1 << 60
 
 
+def angles(x: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """Between unit vectors, from their chords, which are exact where the angle is small."""
+    away = x - point
+    return 2 * np.arcsin(np.minimum(1.0, np.sqrt(np.einsum("ij,ij->i", away, away)) / 2))
+
+
 @dataclass
 class Tree:
     """Node i has a vantage point and two children, the rows nearer to it than the median and the others.
@@ -51,14 +59,13 @@ class Tree:
 
     LEAF = 1 << 30
 
-    @property
-    def slack(self) -> float:
-        """More than any rounding of a distance."""
-        return 1e-6 * max(1.0, self.reach2**0.5)
+    #: More than any rounding of an angle.
+    SLACK = 1e-6
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
-        x = x.astype(np.float64)
-        return np.concatenate([x, np.sqrt(np.maximum(self.reach2 - (x * x).sum(axis=1, keepdims=True), 0))], axis=1)
+        """Unit vectors with one component more."""
+        x = x.astype(np.float64) / self.reach2**0.5
+        return np.concatenate([x, np.sqrt(np.maximum(1 - (x * x).sum(axis=1, keepdims=True), 0))], axis=1)
 
     def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The leaf of each vector, and for each node and child the least and greatest distance of the vectors that went there."""
@@ -73,7 +80,7 @@ class Tree:
             if node >= self.LEAF:
                 leaf[rows] = node - self.LEAF
                 continue
-            away = np.sqrt(((lifted[rows] - self.points[node]) ** 2).sum(axis=1))
+            away = angles(lifted[rows], self.points[node])
             far = away > self.radius[node]
             for side, mine in enumerate((~far, far)):
                 if mine.any():
@@ -88,24 +95,29 @@ class Tree:
         before one that reaches through the whole annulus.
         """
         anchor = np.append(anchor.astype(np.float64), 0.0)
+        length = np.linalg.norm(anchor)
+        if not length:  # every row has score 0, wherever it lies
+            length, inner, outer = 1.0, 0.0, math.pi
+        anchor /= length
         heap: list[tuple[float, float, int, float]] = [(inner, np.inf, 0, 0.0)]
         while heap:
             least, most, node, low = heapq.heappop(heap)
             if node >= self.LEAF:
                 yield node - self.LEAF
                 continue
-            away = float(np.sqrt(((self.points[node] - anchor) ** 2).sum()))
+            away = float(angles(anchor[None, :], self.points[node])[0])
             for side, child in enumerate(self.children[node]):
                 near, far = self.bounds[node, side]
                 if near > far:
                     continue  # no row went there
                 lower, upper = max(low, away - far, near - away), min(most, away + far)
-                if lower <= outer + self.slack and upper >= inner - self.slack:
+                if lower <= outer + self.SLACK and upper >= inner - self.SLACK:
                     heapq.heappush(heap, (max(inner, lower), upper, child, lower))
 
     def circle(self, anchor: np.ndarray, score: int) -> float:
-        """The distance of rows with this score from the anchor."""
-        return float(max(0, sum(int(c) ** 2 for c in anchor) + self.reach2 - 2 * score)) ** 0.5
+        """The distance of rows with this score from the anchor. Of a zero anchor all rows are equally far."""
+        length = float(np.linalg.norm(anchor.astype(np.float64)))
+        return math.acos(min(1.0, max(-1.0, score / (length * self.reach2**0.5)))) if length else math.pi / 2
 
 
 def fit(sample: np.ndarray, reach2: int, leaf_rows: float, seed: int = 1) -> Tree:
@@ -119,7 +131,7 @@ def fit(sample: np.ndarray, reach2: int, leaf_rows: float, seed: int = 1) -> Tre
             return Tree.LEAF + tree.leaves - 1
         best, radius, far = None, 0.0, None
         for pick in rng.choice(rows, min(8, len(rows)), replace=False):
-            away = np.sqrt(((x[rows] - x[pick]) ** 2).sum(axis=1))
+            away = angles(x[rows], x[pick])
             if best is None or away.std() > best[0]:
                 best, radius = (away.std(), pick), float(np.median(away))
                 far = away > radius

@@ -71,6 +71,7 @@ def test_walk_opens_the_annulus_only():
         walked = list(tree.walk(q, tree.circle(q, high), tree.circle(q, low)))
         assert set(leaf[(s >= low) & (s <= high)]) <= set(walked) and len(walked) == len(set(walked))
         opened += len(walked)
+    assert set(tree.walk(np.zeros(3), 1.0, 1.0)) == set(leaf)  # all scores of a zero anchor are equal
     assert opened < 20 * 0.8 * tree.leaves
 
 
