@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import ann, bpe, decontaminate, hard_negatives, html, kmeans, licenses, more_sql, quality, secrets, simhash, toxicity, unigram
+from lamina.llm import ann, bpe, decontaminate, hard_negatives, html, kmeans, licenses, more_sql, quality, secrets, simhash, token_files, toxicity, unigram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +74,13 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
 QUERIES = (
     op1_secret_scan, op2_bpe, op3_html_extract, op4_license_scan, op5_decontaminate, op6_toxicity, op7_simhash_dedup, op8_nearest, op9_token_counts, op10_quality, op11_hard_negatives,
-    op12_centroids,
+    op12_centroids, op13_token_files,
 )
 
 
