@@ -165,7 +165,13 @@ def highest(scores: np.ndarray, allowed: np.ndarray, count: int) -> tuple[np.nda
 
 
 def _found(count: int, same: bool, dims: int, exact: bool, id_kind: pa.DataType):
-    """The join of a shard's rows with the probes that visit it: the best count of each probe and leaf."""
+    """The join of a shard's rows with the probes that visit it: the best count of each probe."""
+
+    def best(probe: np.ndarray, held: np.ndarray, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((rows[held], ids[held], -scores, probe))
+        probe, held, scores = probe[order], held[order], scores[order]
+        first = np.arange(len(probe)) - np.searchsorted(probe, probe, side="left") < count
+        return probe[first], held[first], scores[first]
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
@@ -187,15 +193,12 @@ def _found(count: int, same: bool, dims: int, exact: bool, id_kind: pa.DataType)
                         scores = (q[ask] @ x[held].T).astype(np.int64)
                         allowed = ((label[held][None, :] == own[ask][:, None]) == same) & (scores >= low[ask][:, None]) & (scores <= high[ask][:, None])
                         a, b = highest(scores, allowed, count)
-                        s = scores[a, b]
-                        order = np.lexsort((rows[held[b]], ids[held[b]], -s, a))
-                        a, b, s = a[order], b[order], s[order]
-                        first = np.arange(len(a)) - np.searchsorted(a, a, side="left") < count
-                        out.append((key[ask[a[first]]], window[ask[a[first]]], rows[held[b[first]]], ids[held[b[first]]], s[first]))
-        if not out:
-            out = [tuple(np.zeros(0, np.int64) for _ in range(5))]
-        key, window, rows, ids, scores = (np.concatenate([o[i] for o in out]) for i in range(5))
-        return pa.table({"key": key, "window": window, "row": rows, "id": pa.array(ids, id_kind), "score": scores})
+                        out.append(best(ask[a], held[b], scores[a, b], ids, rows))
+            probe, held, scores = (np.concatenate([o[i] for o in out]) for i in range(3)) if out else (np.zeros(0, np.int64),) * 3
+            probe, held, scores = best(probe, held, scores, ids, rows)  # of all leaves that a probe visits here
+            return pa.table({"key": key[probe], "window": window[probe], "row": rows[held], "id": pa.array(ids[held], id_kind), "score": scores})
+        nothing = pa.array([], pa.int64())
+        return pa.table({"key": nothing, "window": nothing, "row": nothing, "id": pa.array([], id_kind), "score": nothing})
 
     return meet
 
@@ -286,7 +289,8 @@ class Index:
     def search(self, probes: DataFrame, count: int, same: bool) -> DataFrame:
         """(key, window, rank, row, id, score): of each probe (key, window, label, v, low, high) the first count rows of its label, or of others, with scores from low to high."""
         place = F.row_number().over(W.partitionBy("key", "window").orderBy(F.desc("score"), "id", "row"))
-        probes = cut(probes)
+        context = probes.sparkSession.sparkContext
+        probes = cut(probes.repartition(max(context.defaultParallelism, int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions")))))  # few bytes, long walks
         begun = cut(self._meet(self._visits(probes.withColumn("bar", F.col("low")), True), count, same).withColumn("rank", place).filter(F.col("rank") <= count))
         full = begun.filter(F.col("rank") == count).select("key", "window", F.col("score").alias("least"))
         going = probes.join(full, ["key", "window"], "left").withColumn("bar", F.coalesce("least", "low"))
