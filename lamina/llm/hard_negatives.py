@@ -269,7 +269,9 @@ class Index:
                 columns = [batch.column(c).take(rows) for c in (0, 1, 2, 3, 5, 6)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(shard, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))], names=["key", "window", "label", "v", "high", "bar", "shard", "leaves"])
 
-        own = probes.select("key", "window", "label", "v", "low", "high", "bar")
+        spark = probes.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        own = probes.select("key", "window", "label", "v", "low", "high", "bar").repartition(tasks)  # few bytes, but long walks
         return cut(own.mapInArrow(run, "key long, window long, label long, v array<long>, high long, bar long, shard int, leaves array<int>"))
 
     def _meet(self, visits: DataFrame, count: int, same: bool) -> DataFrame:
@@ -289,8 +291,7 @@ class Index:
     def search(self, probes: DataFrame, count: int, same: bool) -> DataFrame:
         """(key, window, rank, row, id, score): of each probe (key, window, label, v, low, high) the first count rows of its label, or of others, with scores from low to high."""
         place = F.row_number().over(W.partitionBy("key", "window").orderBy(F.desc("score"), "id", "row"))
-        context = probes.sparkSession.sparkContext
-        probes = cut(probes.repartition(max(context.defaultParallelism, int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions")))))  # few bytes, long walks
+        probes = cut(probes)
         begun = cut(self._meet(self._visits(probes.withColumn("bar", F.col("low")), True), count, same).withColumn("rank", place).filter(F.col("rank") <= count))
         full = begun.filter(F.col("rank") == count).select("key", "window", F.col("score").alias("least"))
         going = probes.join(full, ["key", "window"], "left").withColumn("bar", F.coalesce("least", "low"))
