@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ FRAME_IDS = 4 * rans.BLOCK
 FILE_BYTES, GROUP_BYTES = 128 << 20, 32 << 20
 #: Spark says so many bytes, or more, of a table whose size it can't tell.
 UNKNOWN = 1 << 52
-#: Pieces between single spaces whose ids a task keeps, and the longest one in characters.
+#: Pieces between single spaces whose ids a worker keeps, in each of two generations, and the longest one in characters.
 KEPT, KEPT_LENGTH = 500_000, 48
+#: Bytes of text that are encoded at a time, or one longer text alone.
+CHUNK_BYTES = 12 << 20
 #: What stands for a space in the vocabulary of a byte-level file.
 SPACE = "\u0120"
 
@@ -52,6 +55,7 @@ class Encoder:
         self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.begins[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # what was used before lately
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,21 +75,21 @@ class Encoder:
             data = ids.tobytes()
             self.known.update({p: data[a:b] for p, a, b in zip(run, ends[:-1].tolist(), ends[1:].tolist(), strict=True)})
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Of each text the ids as little-endian u32."""
-        out: list[bytes] = [b""] * len(texts)
-        cuts = {i: t.split(" ") for i, t in enumerate(texts) if t and not any(s in t for s in self.special)}
-        odd = [i for i, t in enumerate(texts) if t and i not in cuts]
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
-            out[i] = ids.tobytes()
+    def learn_new(self, pieces: list[str]) -> None:
+        """Has the ids of the pieces kept, but of unsafe and of long ones."""
         if len(self.known) > KEPT:
-            self.known.clear()
-        safe, get = self.safe, self.known.get
-        new = set().union(*cuts.values()).difference(self.known)
-        self.learn([p for p in sorted(new) if len(p) <= KEPT_LENGTH and safe(p)])
-        late, spots = [], []
-        for i, pieces in cuts.items():
-            got, end, n = list(map(get, pieces)), 0, len(pieces)
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        new = [p for p in pieces if p not in known]
+        known.update({p: old[p] for p in new if p in old})
+        self.learn([p for p in new if p not in known and len(p) <= KEPT_LENGTH and (p.isalnum() or self.safe(p))])
+
+    def pieced(self, texts: list[str]) -> list[bytes]:
+        """Of each text without special tokens the ids, cut at safe spaces only."""
+        out, late, spots, safe = [], [], [], self.safe
+        for i, text in enumerate(texts):
+            pieces = text.split(" ")
+            got, end, n = list(map(self.known.get, pieces)), 0, len(pieces)
             got[0] = None  # no space before it
             for at in [k for k, ids in enumerate(got) if ids is None]:
                 if at < end:
@@ -97,11 +101,51 @@ class Encoder:
                     end += 1
                 late.append((" " if at else "") + " ".join(pieces[at:end]))
                 spots.append((i, at, end))
-            cuts[i] = got
+            out.append(got)
         for (i, at, end), ids in zip(spots, self.whole(late)):
-            cuts[i][at:end] = [ids.tobytes()] + [b""] * (end - at - 1)
-        for i, got in cuts.items():
-            out[i] = b"".join(got)
+            out[i][at:end] = [ids.tobytes()] + [b""] * (end - at - 1)
+        return [b"".join(got) for got in out]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Of each text the ids as little-endian u32; none of a null or empty one.
+
+        Pieces are told apart and put together again by Arrow, so that Python meets each different one once; texts with an unsafe piece,
+        or one that is not kept, are put together one by one.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(texts, " ")
+        starts, flat = lists.offsets.to_numpy()[:-1].astype(np.int64), lists.flatten().dictionary_encode()
+        place, values = flat.indices.to_numpy(), flat.dictionary.to_pylist()
+        rest = np.ones(len(place), dtype=bool)
+        rest[starts] = False  # the first piece of a text has no space before it
+        spaced = np.zeros(len(values), dtype=bool)
+        spaced[place[rest]] = True
+        self.learn_new([values[n] for n in np.flatnonzero(spaced).tolist()])
+        ids = list(map(self.known.get, values))
+        lost = [n for n, x in enumerate(ids) if x is None]
+        unkept, unsafe = np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=bool)
+        unkept[lost] = True
+        unsafe[[n for n in lost if not self.safe(values[n])]] = True
+        bad = unsafe[place] | (rest & unkept[place])
+        single = np.logical_or.reduceat(bad, starts) if len(bad) else np.zeros(0, dtype=bool)
+        special = np.zeros(len(texts), dtype=bool)
+        for s in self.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(place[rest]))
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(joined).fill_null(0).to_numpy())))
+        data = joined.buffers()[2].to_pybytes() if int(ends[-1]) else b""
+        begin = np.concatenate((starts, [len(place)])) - np.arange(len(texts) + 1)  # pieces with a space before each text
+        cut = ends[begin].tolist()
+        plain = np.flatnonzero(~single & ~special).tolist()
+        out: list[bytes] = [b""] * len(texts)
+        for i, first in zip(plain, self.whole([values[place[starts[i]]] for i in plain])):
+            out[i] = first.tobytes() + data[cut[i] : cut[i + 1]]
+        for chosen, make in ((single & ~special, self.pieced), (special, lambda some: [x.tobytes() for x in self.whole(some)])):
+            spots = [i for i in np.flatnonzero(chosen).tolist() if texts[i].as_py()]
+            for i, x in zip(spots, make([texts[i].as_py() for i in spots])):
+                out[i] = x
         return out
 
 
@@ -150,8 +194,8 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
             return pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c, f.type)).cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
         for batch in batches:
-            for piece in sliced(batch, 1):
-                texts = [ids + end for ids in tokens.encode([t or "" for t in piece.column(1).to_pylist()])]
+            for piece in sliced(batch, 1, CHUNK_BYTES):
+                texts = [ids + end for ids in tokens.encode(piece.column(1))]
                 owners, at = piece.column(0), 0
                 for i in range(len(texts) + 1):
                     if i == len(texts) or (size and size + len(texts[i]) > 4 * FRAME_IDS):
