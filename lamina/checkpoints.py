@@ -5,6 +5,12 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+#: Rows, and bytes of their texts, up to which a side may be broadcast.
+SMALL_ROWS, SMALL_BYTES = 200_000, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,3 +33,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared checkpoint folder, without its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """A cut table with a broadcast hint if it is counted to have few rows and bytes; a shuffle join serves it otherwise."""
+    sizes = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    n, held = df.agg(F.count(F.lit(1)), sum((F.coalesce(F.sum(x), F.lit(0)) for x in sizes), F.lit(0))).first()
+    return F.broadcast(df) if n <= SMALL_ROWS and held <= SMALL_BYTES else df

@@ -485,6 +485,26 @@ def pairing_rule(spark, sf_dir):
     return paths.select(F.col("contract_key").cast("long").alias("contract_key"), "pair_status", F.col("receipt_loc_code").cast("int").alias("receipt_code"), F.col("delivery_loc_code").cast("int").alias("delivery_code"))
 
 
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE CAST(l_orderkey AS {text}) END"
+_ENDS = "CASE WHEN l_returnflag = 'R' THEN 'REC' WHEN l_returnflag = 'A' AND (l_orderkey % 3 > 0 OR l_partkey % 500 = 0) THEN 'DEL' ELSE 'OTH' END"
+
+
+@query(f"""
+    WITH points AS (SELECT {_HOT.format(text="VARCHAR")} AS k, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS code, CAST(l_quantity AS BIGINT) AS qty, {_ENDS} AS purpose FROM lineitem)
+    SELECT coalesce(r.k, d.k) AS contract_key, CASE WHEN r.k IS NULL THEN 'UNPAIRED_DELIVERY' WHEN d.k IS NULL THEN 'UNPAIRED_RECEIPT' ELSE 'PAIRED' END AS pair_status, r.code AS receipt_code, d.code AS delivery_code
+    FROM (SELECT * FROM points WHERE purpose = 'REC') r FULL OUTER JOIN (SELECT * FROM points WHERE purpose = 'DEL') d ON r.k = d.k AND r.qty > d.qty
+""")
+def pairing_hot_contract(spark, sf_dir):
+    """One contract has a third of all points, and pairs by a rule that leaves points of both sides alone."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr(_HOT.format(text="STRING")).alias("firmid"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("loc"), F.expr(_ENDS).alias("locpurp"), F.col("l_quantity").cast("long").cast("string").alias("kqtyloc"),
+        F.lit("LOADED").alias("ingestion_status"), F.lit(1).alias("ingestion_timestamp"),
+    )
+    none = dict.fromkeys(("loc_name", "loc_zone", "loc_qti", "term_begin", "term_end", "source_system", "source_api", "pipeline_run_id", "hash_key"))
+    paths = pair(lines, Pairing("firm", none, newest_only=False, rule=lambda r, d: bigint(r("loc_qty")) > bigint(d("loc_qty"))))
+    return paths.select("contract_key", "pair_status", F.col("receipt_loc_code").alias("receipt_code"), F.col("delivery_loc_code").alias("delivery_code"))
+
+
 def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table of firm contracts that ingestion makes of a payload for each order, its lines as nested locations."""
     text = lambda c: F.col(c).cast("string")
