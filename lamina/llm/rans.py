@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 
 MAGIC = b"TID1"
-BLOCK, LANES, CHECK = 1 << 20, 1024, 256
+BLOCK, LANES, CHECK = 1 << 22, 4096, 256
 #: Bits of a slot number: frequencies sum up to two to this power; more if a table has very many ids.
 BITS = 20
 _LOW = np.uint64(1 << 31)
@@ -87,20 +87,21 @@ def encode_block(ids: np.ndarray, table: Table, places: np.ndarray) -> bytes:
     n = len(ids)
     lanes = max(1, min(LANES, n // CHECK))
     steps = -(-n // lanes)
-    grid = np.zeros(steps * lanes, dtype=np.int64)
+    grid = np.zeros(steps * lanes, dtype=np.int32)
     grid[:n] = places
-    frequency, start = (x[grid].reshape(steps, lanes) for x in (table.frequency, table.start))
-    full, bits, word = frequency << np.uint64(63 - table.bits), np.uint64(table.bits), np.uint64(32)
+    grid, starts = grid.reshape(steps, lanes), table.start
+    room, bits, word = np.uint64(63 - table.bits), np.uint64(table.bits), np.uint64(32)
     state, streams, marks, given = np.full(lanes, _LOW, dtype=np.uint64), [], [], 0
     for t in range(steps - 1, -1, -1):
-        over = state >= full[t]
-        if over.any():
+        frequency, start = table.frequency[grid[t]], starts[grid[t]]
+        over = np.flatnonzero(state >= frequency << room)
+        if len(over):
             out = state[over]
             streams.append(out.astype("<u4"))  # the low half
             given += len(out)
             state[over] = out >> word
-        whole = state // frequency[t]
-        state = (whole << bits) + (state - whole * frequency[t]) + start[t]
+        whole = state // frequency
+        state = (whole << bits) + (state - whole * frequency) + start
         if t % CHECK == 0:
             marks.append((given, t, state.copy()))
     parts = [_BLOCK_HEAD.pack(n, lanes, len(marks), given)]

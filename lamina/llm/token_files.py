@@ -22,15 +22,15 @@ from lamina.llm.store import cut, shared_dir
 from lamina.llm.words import id_type, release, sliced, two_columns
 
 #: Ids of a frame, in whole documents; a longer document is a frame by itself.
-FRAME_IDS = 4 * rans.BLOCK
+FRAME_IDS = rans.BLOCK
 #: Estimated bytes of the documents of a file, and bytes of a row group of it.
 FILE_BYTES, GROUP_BYTES = 128 << 20, 32 << 20
 #: Spark says so many bytes, or more, of a table whose size it can't tell.
 UNKNOWN = 1 << 52
 #: Pieces between single spaces whose ids a worker keeps, in each of two generations, and the longest one in characters.
-KEPT, KEPT_LENGTH = 500_000, 48
+KEPT, KEPT_LENGTH = 400_000, 48
 #: Bytes of text that are encoded at a time, or one longer text alone.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: What stands for a space in the vocabulary of a byte-level file.
 SPACE = "\u0120"
 
