@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from lamina.operators.ids import numbered
+from lamina.operators.latest import distinct_content
 from lamina.sources.tables import Tables
 
+#: How often a statement is tried that other writers' rows conflict with.
+ATTEMPTS = 20
+
 #: Column types where a text of any length would not do: those that are compared.
 COMPARED = {"hash_key": "VARCHAR(128)"}
 
@@ -74,6 +80,17 @@ class Database:
         finally:
             connection.close()
 
+    def _until_free(self, sql: str) -> int:
+        """Runs a statement again while another writer's rows conflict with it (SQL states of classes 23 and 40)."""
+        for left in range(ATTEMPTS - 1, -1, -1):
+            try:
+                return self.run(sql)
+            except Py4JJavaError as e:
+                state = getattr(e.java_exception, "getSQLState", lambda: None)() or ""
+                if not left or state[:2] not in ("23", "40"):
+                    raise
+        raise AssertionError
+
     def _found(self, table: str | None, layer: str) -> list[str]:
         connection = self._connection()
         try:
@@ -108,26 +125,51 @@ class Database:
         writer = df.limit(0).write.option("createTableColumnTypes", ", ".join(f"{n} {t}" for n, t in types.items())) if types else df.limit(0).write
         writer.mode("append").jdbc(self.url, self.quoted(layer, table), properties=dict(self.properties))
 
-    def append(self, layer: str, table: str, df: DataFrame) -> int:
+    def _constrain(self, layer: str, table: str, columns: list[str]) -> None:
+        """Hashes and row numbers are unique by the database's own word, whoever writes. Null hashes are no conflict."""
+        for c in ("hash_key", self.number):
+            if c in columns:
+                self.run(f"ALTER TABLE {self.quoted(layer, table)} ADD CONSTRAINT {self.quoted(f'{table}_{c}_once')} UNIQUE ({self.quoted(c)})")
+
+    def append_new(self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], number: str = "bronze_row_id", hash_col: str = "hash_key", drop: Sequence[str] = ()) -> int:
+        """Adds the rows of new content, of equal content the first in the order; how many. The database numbers them on from its greatest number."""
+        delta = numbered(distinct_content(rows, hash_col, order), order, number).drop(*drop)
+        return self.append(layer, table, delta.select(number, *[c for c in delta.columns if c != number]), counted=number)
+
+    def append(self, layer: str, table: str, df: DataFrame, batch: tuple[str, int] | None = None, counted: str | None = None) -> int:
         """Adds rows but those whose hash the table holds; how many were added.
 
         Tasks write to a table beside the target, batch_size rows at a time, and one statement moves its rows over. So a task
-        that is run again, or a run that fails half way, leaves no part of the rows and none of them twice.
+        that is run again, or a run that fails half way, leaves no part of the rows and none of them twice. Against other writers stand unique constraints: a conflicting
+        hash is left out, or, where the database has no such clause, the statement is run again and then sees what has come between.
+
+        batch: a stream and the number of its batch, which is not added again once rows carry its name as their run. counted: a column of numbers from 1 on,
+        to which the table's greatest one is added.
         """
         if not self.layer_exists(layer):
             self.run(f"CREATE SCHEMA {self.quoted(layer)}")
         if not self.exists(layer, table):
-            self._create(layer, table, df)
+            try:
+                self._create(layer, table, df)
+                self._constrain(layer, table, df.columns)
+            except Exception:  # of two writers that find no table one makes it
+                if not self.exists(layer, table):
+                    raise
         aside = f"{table}_{uuid.uuid4().hex[:12]}"
         target, source = self.quoted(layer, table), self.quoted(layer, aside)
         try:
             self._create(layer, aside, df)
             df.write.mode("append").option("batchsize", self.batch_size).jdbc(self.url, source, properties=dict(self.properties))
-            columns, known = ", ".join(map(self.quoted, df.columns)), ""
+            columns, where, ignore = ", ".join(map(self.quoted, df.columns)), [], ""
             if "hash_key" in df.columns:
                 key = self.quoted("hash_key")
-                known = f" WHERE s.{key} IS NULL OR NOT EXISTS (SELECT 1 FROM {target} t WHERE t.{key} = s.{key})"
-            return self.run(f"INSERT INTO {target} ({columns}) SELECT {columns} FROM {source} s{known}")
+                where.append(f"(s.{key} IS NULL OR NOT EXISTS (SELECT 1 FROM {target} t WHERE t.{key} = s.{key}))")
+                ignore = f" ON CONFLICT ({key}) DO NOTHING" if self.url.startswith("jdbc:postgresql") else ""
+            if batch and "pipeline_run_id" in df.columns:
+                run = self.quoted("pipeline_run_id")
+                where.append(f"NOT EXISTS (SELECT 1 FROM {target} t WHERE t.{run} = '{batch[0]}-{batch[1]}')")
+            values = [f"s.{self.quoted(c)}" + f" + (SELECT coalesce(max({self.quoted(c)}), 0) FROM {target})" * (c == counted) for c in df.columns]
+            return self._until_free(f"INSERT INTO {target} ({columns}) SELECT {', '.join(values)} FROM {source} s" + " WHERE " * bool(where) + " AND ".join(where) + ignore)
         finally:
             if self.exists(layer, aside):
                 self.run(f"DROP TABLE {source}")
@@ -167,8 +209,11 @@ class Layers:
     def read(self, layer: str, table: str) -> DataFrame:
         return self._of(layer).read(layer, table)
 
-    def append(self, layer: str, table: str, df: DataFrame) -> int | None:
-        return self._of(layer).append(layer, table, df)
+    def append(self, layer: str, table: str, df: DataFrame, batch: tuple[str, int] | None = None) -> int | None:
+        return self._of(layer).append(layer, table, df, batch)
+
+    def append_new(self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], **names) -> int:
+        return self._of(layer).append_new(layer, table, rows, order, **names)
 
     def replace(self, layer: str, table: str, df: DataFrame, check=None) -> DataFrame:
         return self._of(layer).replace(layer, table, df, check)

@@ -11,8 +11,6 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.operators.ids import numbered
-from lamina.operators.latest import new_content
 from lamina.operators.scope import MAPPING_SCHEMA
 from lamina.sources.database import Database, Layers
 from lamina.sources.export import export_raw
@@ -124,19 +122,10 @@ def count_rows(run: Ingested, parsed: DataFrame) -> dict[str, str]:
 
 def append_new(tables: Tables | Database | Layers, layer: str, table: str, rows: DataFrame) -> int:
     """Appends rows (with file and position) of new content to a raw table; how many."""
-    there = tables.exists(layer, table)
-    target = tables.read(layer, table) if there else None
-    last = (target.agg(F.max("bronze_row_id")).first()[0] or 0) if there else 0
-    order = [F.col("file").asc(), F.col("position").asc()]
-    delta = numbered(new_content(rows, target, order=order), order, "bronze_row_id", last + 1).drop("file", "position")
-    delta = delta.select("bronze_row_id", *[c for c in delta.columns if c != "bronze_row_id"]).persist()
-    n = delta.count()
-    written = tables.append(layer, table, delta) if n or not there else 0
-    delta.unpersist()
-    return n if written is None else written
-
-
-def write_log(tables: Tables, settings: Settings, run: Ingested, parsed: DataFrame, began: datetime) -> None:
+    return tables.append_new(layer, table, rows, [F.col("file").asc(), F.col("position").asc()], drop=("file", "position"))
+
+
+def write_log(tables: Tables, settings: Settings, run: Ingested, parsed: DataFrame, began: datetime, batch: tuple[str, int] | None = None) -> None:
     first = parsed.select("source_system", "source_api", "file").limit(1).collect()
     system, api, file = first[0] if first else (settings.source_system, None, None)
     ended = datetime.now(UTC)
@@ -145,7 +134,7 @@ def write_log(tables: Tables, settings: Settings, run: Ingested, parsed: DataFra
         run.status, "Warn" if run.rows_rejected else "Pass", run.error, ended,
     )
     entry = tables.spark.createDataFrame([row], LOG_SCHEMA).withColumn("activity_duration_secs", F.lit((ended - began).total_seconds()).cast("decimal(38,10)"))
-    tables.append(settings.layer, "ingestion_log", entry)
+    tables.append(settings.layer, "ingestion_log", entry, batch)
 
 
 def provision(tables: Tables, layer: str | None = None) -> list[str]:

@@ -2,17 +2,31 @@
 
 A table that is replaced has its rows in a version folder, <table>/v<number>-<id>, and a mark beside it, <table>/_at-<number>-<id>,
 that is made once the version is complete and checked. The greatest mark says which version is read, so there is no time in
-which the table is missing, and nothing is renamed. Tables that are only appended to have their files in the folder itself.
+which the table is missing, and nothing is renamed. Tables that several writers add to have their files in folders p-<id> and numbered
+commits that name them (commits.py).
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina.checkpoints import SMALL_ROWS, cut
+from lamina.operators.checks import require_unique
+from lamina.operators.ids import numbered
+from lamina.operators.latest import distinct_content
+from lamina.sources import filters
+from lamina.sources.commits import Commits, State
 
 _MARK = "_at-"
+#: Rows of a file at most, which bounds its filter of hashes.
+FILE_ROWS = 5_000_000
+#: And of a file that upserts write: a key of theirs costs so many rows at most.
+UPSERT_ROWS = 500_000
 
 
 @dataclass
@@ -44,7 +58,7 @@ class Tables:
     def exists(self, layer: str, table: str) -> bool:
         """Whether the table was written to its end."""
         names = self._names(self.folder(layer, table))
-        return "_SUCCESS" in names or any(n.startswith(_MARK) for n in names)
+        return "_SUCCESS" in names or any(n.startswith((_MARK, "_c-")) for n in names)
 
     def layer_exists(self, layer: str) -> bool:
         fs, p = self._files(f"{self.root}/{layer}")
@@ -55,7 +69,14 @@ class Tables:
         return [n for n in self._names(f"{self.root}/{layer}") if not n.startswith((".", "_")) and self.exists(layer, n)]
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        commits = self.commits(layer, table)
+        return self._of_files(layer, table, commits.state().files) if commits.any() else self.spark.read.parquet(self.path(layer, table))
+
+    def commits(self, layer: str, table: str) -> Commits:
+        return Commits(self.spark, self.folder(layer, table))
+
+    def _of_files(self, layer: str, table: str, files: Sequence[str]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.folder(layer, table)}/{f}" for f in files])
 
     def replace(self, layer: str, table: str, df: DataFrame, check=None) -> DataFrame:
         """Writes df as a new version, checks what was written, and publishes it; on an error the old version stays.
@@ -83,10 +104,113 @@ class Tables:
         self.spark.catalog.refreshByPath(folder)
         return self.read(layer, table)
 
-    def append(self, layer: str, table: str, df: DataFrame) -> None:
-        path = self.path(layer, table)
-        df.write.mode("append").parquet(path)
-        self.spark.catalog.refreshByPath(path)
+    def _add(self, layer: str, table: str, df: DataFrame, file_rows: int = FILE_ROWS) -> tuple[str, list[str]]:
+        """Writes rows to a new folder of the table; its name and its files, which count once a commit names them."""
+        name, commits = f"p-{uuid.uuid4().hex}", self.commits(layer, table)
+        df.write.option("maxRecordsPerFile", file_rows).parquet(f"{self.folder(layer, table)}/{name}")
+        return name, [f"{name}/{n}" for n in commits.names(name) if n.startswith("part-")]
+
+    def append(self, layer: str, table: str, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
+        """Adds rows. batch: a stream and the number of its batch, which is added once however often it is run."""
+        if self.versions(layer, table):
+            path = self.path(layer, table)
+            df.write.mode("append").parquet(path)
+            self.spark.catalog.refreshByPath(path)
+            return
+        commits = self.commits(layer, table)
+        if batch and commits.state().batches.get(batch[0], -1) >= batch[1]:
+            return
+        name, files = self._add(layer, table, df)
+        while True:
+            state = commits.state()
+            if batch and state.batches.get(batch[0], -1) >= batch[1]:
+                return commits.delete(name)
+            if commits.put(state, add=files, batches=dict([batch] if batch else [])):
+                return None
+
+    def may_hold(self, layer: str, table: str, state: State, hashes: DataFrame) -> list[str]:
+        """The table's files that may hold a hash of the column: all without a filter, and those whose filter does not deny it."""
+        if not state.files or hashes.limit(filters.LOOKUPS + 1).count() > filters.LOOKUPS:
+            return state.files
+        asked = hashes.select(F.xxhash64(hashes.columns[0]).alias("h")).toArrow().column("h").to_numpy()
+        tables, known, held = state.facts.get("filters", []), set(), set()
+        if tables:
+            kept = self._of_files(layer, table, tables)
+            known = {r.file for r in kept.select("file").collect()}  # names of files
+            held = set(filters.files_holding(kept, asked))
+        return [f for f in state.files if f.split("/")[-1] in held or f.split("/")[-1] not in known]
+
+    def append_new(self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], number: str = "bronze_row_id", hash_col: str = "hash_key", drop: Sequence[str] = ()) -> int:
+        """Adds the rows of new content, numbered from the table's greatest number on; how many.
+
+        Of equal content the first row in the order counts; rows without a hash are all new. Filters of the files say which of them may hold one of the hashes; only these files'
+        hashes are read. If another writer has committed meanwhile, what is new is found again after its rows, so two runs over the same
+        content add it once, and no number is given twice. drop: columns that only serve the order.
+        """
+        once, commits = cut(distinct_content(rows, hash_col, order)), self.commits(layer, table)
+        while True:
+            state, there = commits.state(), self.exists(layer, table)
+            files = self.may_hold(layer, table, state, once.filter(F.col(hash_col).isNotNull()).select(hash_col))
+            new = once.join(self._of_files(layer, table, files).select(hash_col), hash_col, "left_anti").select(*once.columns) if files else once
+            top = state.top or (self.read(layer, table).agg(F.max(number)).first()[0] or 0 if state.files else 0)
+            delta = numbered(new, order, number, top + 1).drop(*drop)
+            name, written = self._add(layer, table, delta.select(number, *[c for c in delta.columns if c != number]))
+            n = self._of_files(layer, table, written).count()
+            if not n and there:
+                commits.delete(name)
+                return 0
+            facts = f"_b-{name}"
+            made = filters.filters_of(self._of_files(layer, table, written), hash_col)
+            made.write.option("parquet.block.size", 32 << 20).parquet(f"{self.folder(layer, table)}/{facts}")
+            if commits.put(state, add=written, facts={"filters": [facts]}, top=top + n):
+                return n
+            commits.delete(name)
+            commits.delete(facts)
+
+    def upsert(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str]) -> list[str]:
+        """Puts delta's rows in place of those of equal keys, null parts being equal, and adds the others; the files rewritten.
+
+        Files keep the range of their keys beside them. Those whose range no key of delta falls in are not opened; of the others the keys are read, and only files that hold
+        one of delta's keys are written anew, less those rows. All other files stay as they are, under their names. Delta's keys have to be unique. If another writer has
+        committed meanwhile, all is done again after it.
+        """
+        delta, commits = require_unique(cut(delta), keys, table), self.commits(layer, table)
+        wanted, key = delta.select(*keys), F.struct(*keys)
+        file = F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -2, 2)).alias("_file")
+        while True:
+            state = commits.state()
+            rows, touched = delta, []
+            if likely := self._in_range(layer, table, state, wanted, keys):
+                held = self._of_files(layer, table, likely).select(file, *keys)
+                found = held.join(wanted, [held[k].eqNullSafe(wanted[k]) for k in keys], "left_semi").select("_file").distinct()
+                names = {r._file for r in found.collect()}  # names of files
+                touched = [f for f in likely if f in names or f"{table}/{f}" in names]
+            if touched:
+                old = self._of_files(layer, table, touched)
+                stay = old.join(wanted, [old[k].eqNullSafe(wanted[k]) for k in keys], "left_anti")
+                rows = stay.unionByName(delta, allowMissingColumns=True)
+            name, written = self._add(layer, table, rows.repartitionByRange(*keys).sortWithinPartitions(*keys), UPSERT_ROWS)
+            facts = f"_r-{name}"
+            ranges = self._of_files(layer, table, written).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+            ranges.write.parquet(f"{self.folder(layer, table)}/{facts}")
+            if commits.put(state, add=written, remove=touched, facts={"ranges": [facts]}):
+                return touched
+            commits.delete(name)
+            commits.delete(facts)
+
+    def _in_range(self, layer: str, table: str, state: State, wanted: DataFrame, keys: Sequence[str]) -> list[str]:
+        """The table's files in whose range of keys one of the wanted falls, and those without a known range."""
+        tables = state.facts.get("ranges", [])
+        if not tables or not state.files:
+            return state.files
+        ranges = cut(self._of_files(layer, table, tables))
+        known = {r.file for r in ranges.select("file").collect()}  # names of files
+        if len(known) > SMALL_ROWS:
+            return state.files  # too many ranges to send to all tasks
+        key = F.struct(*keys)
+        near = wanted.join(F.broadcast(ranges), (key >= F.col("low")) & (key <= F.col("high"))).select("file").distinct()
+        found = {r.file for r in near.collect()}
+        return [f for f in state.files if f.split("/")[-1] in found or f.split("/")[-1] not in known]
 
     def drop(self, layer: str, table: str) -> None:
         fs, p = self._files(self.folder(layer, table))
