@@ -106,3 +106,52 @@ def fold(
         F.count(F.lit(1)).cast("int").alias("amend_postings_applied"),
         F.max("_base").alias("amend_baseline_ts"),
     )
+
+
+def fold_state(df: DataFrame, keys: Sequence[str], columns: Sequence[str], description: Column | str, posted: Column, tie_break: Sequence[Column], rule: NullRule | None = NullRule()) -> DataFrame:
+    """What fold() has to know of each key's postings, in a form that merge_states() puts together: one row per key.
+
+    _base: the newest new, all-data or undescribed posting. _last: order, kind and place of the newest. Each column: order and value of the newest
+    that is not null. _undescribed and _first: how many postings are undescribed, and the places of the first rule.running of them. No posting that
+    comes later can make an older one matter again but by these, so postings themselves need not be kept (counts aside, see fold_counts).
+    """
+    order = F.struct(posted.alias("t"), *[t.alias(f"k{i}") for i, t in enumerate(tie_break)])
+    rows = df.select(*keys, *[c for c in columns if c not in keys], posted.alias("_posted"), kind_of(description).alias("_kind"), order.alias("_order"), place([posted, *tie_break]).alias("_place"))
+    undescribed, running = F.col("_kind") == UNDESCRIBED, rule.running if rule else 0
+    values = [F.max(F.when(F.col(c).isNotNull(), F.struct("_order", F.col(c).alias("value")))).alias(c) for c in columns if c not in keys]
+    first = F.filter(F.array(F.min(F.when(undescribed, F.col("_place")))), lambda x: x.isNotNull()) if running == 1 else F.filter(F.array(F.min("_place")), lambda x: F.lit(False))
+    state = rows.groupBy(*keys).agg(
+        F.max(F.when(F.col("_kind").isin("NEW", "ALL_DATA", UNDESCRIBED), F.col("_posted"))).alias("_base"),
+        F.max(F.struct("_order", "_kind", "_place")).alias("_last"), *values, F.count(F.when(undescribed, 1)).alias("_undescribed"), first.alias("_first"),
+    )
+    if running < 2:
+        return state
+    ranked = rows.filter(undescribed).withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy("_place"))).filter(F.col("_n") <= running)
+    return merge_states(state.unionByName(ranked.select(*keys, F.lit(0).cast("long").alias("_undescribed"), F.array("_place").alias("_first")), allowMissingColumns=True), keys, rule)
+
+
+def merge_states(states: DataFrame, keys: Sequence[str], rule: NullRule | None = NullRule()) -> DataFrame:
+    """One state per key of several, whatever their postings' order: each part is a greatest value, a sum, or the first few of all."""
+    most = [F.max(c).alias(c) for c in states.columns if c not in (*keys, "_undescribed", "_first")]
+    first = F.slice(F.array_sort(F.flatten(F.collect_list("_first"))), 1, rule.running if rule else 0)
+    return states.groupBy(*keys).agg(*most, F.sum("_undescribed").alias("_undescribed"), first.alias("_first")).select(*states.columns)
+
+
+def fold_counts(df: DataFrame, keys: Sequence[str], posted: Column) -> DataFrame:
+    """(keys, _posted, _n): how many postings a key has at each time. Sums of several are those of all their postings."""
+    return df.select(*keys, posted.alias("_posted")).groupBy(*keys, "_posted").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def folded(states: DataFrame, counts: DataFrame, keys: Sequence[str], rule: NullRule | None = NullRule(), orphans: bool = True) -> DataFrame:
+    """What fold() gives for all postings, of their states and counts."""
+    columns = [c for c in states.columns if c not in keys and not c.startswith("_")]
+    base = F.col("_base")
+    own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    applied = counts.join(states.select(*own, "_base"), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]).filter(base.isNull() | (F.col("_posted") >= base))
+    applied = applied.groupBy(*own).agg(F.sum("_n").cast("int").alias("_applied"))
+    edge = F.array_max("_first")
+    later = (F.col("_undescribed") > rule.group) & (edge.isNull() | (F.col("_last._place") > edge)) if rule else F.lit(False)
+    kind = F.when(F.col("_last._kind") != UNDESCRIBED, F.col("_last._kind")).when(later, "ALL_DATA").otherwise("NEW")
+    values = [F.when(base.isNull() | (F.col(f"`{c}`._order.t") >= base), F.col(f"`{c}`.value")).alias(c) for c in columns]
+    kept = states if orphans else states.filter(base.isNotNull())
+    return _with_group(kept, applied, keys).select(*keys, *values, kind.alias("amend_kind"), F.col("_applied").alias("amend_postings_applied"), base.alias("amend_baseline_ts"))

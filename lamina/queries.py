@@ -5,11 +5,13 @@ The tables hold no contract data, so each query dresses one of them up as what t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.checkpoints import cut, shared_dir
 from lamina.functions.values import bigint, blank_to_null, date, days_between, numeric, timestamp, yes_no
 from lamina.operators.amendments import NullRule, fold, kind_of, settle_undescribed
 from lamina.operators.checks import ConstraintError, require_not_null, require_unique, require_values
@@ -20,12 +22,14 @@ from lamina.operators.model import latest_in_model, project_model, union_tagged
 from lamina.operators.pairing import Pairing, pair
 from lamina.operators.scope import describe, scoped
 from lamina.operators.transport import transport_rates
+from lamina.plans.incremental import AmendmentFold
 from lamina.plans.inspect import inventory
 from lamina.plans.registry import default_registry
+from lamina.plans.runner import run_many
 from lamina.session import reach
 from lamina.sources.export import as_text
 from lamina.sources.feeds import FEEDS, Feed
-from lamina.sources.ingest import raw_rows, tallies
+from lamina.sources.ingest import RAW, Settings, ingest, raw_rows, tallies
 from lamina.sources.labels import feed_name_of
 from lamina.sources.payloads import parse_files
 from lamina.sources.tables import Tables
@@ -578,3 +582,94 @@ def nested_to_text(spark, sf_dir):
     """Nested columns as an export writes them."""
     turns = table(spark, sf_dir, "conversations")
     return as_text(turns.select("conv_id", F.struct("turn", "role").alias("first_text"), F.array(F.lit(1), F.col("turn")).alias("list_text"), "role"))
+
+
+class Scratch(Tables):
+    """Tables in a folder of their own beside the checkpoints, which goes once a result is computed."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark, f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}")
+
+    def last(self, result: DataFrame) -> DataFrame:
+        kept = cut(result)
+        fs, p = self._files(self.root)
+        fs.delete(p, True)
+        return kept
+
+
+@query("""
+    WITH d AS (SELECT doc_id, md5(text) AS hash_key, doc_id % 4 AS load FROM documents), first AS (SELECT *, row_number() OVER (PARTITION BY hash_key ORDER BY load, doc_id) AS rn FROM d)
+    SELECT doc_id, hash_key, row_number() OVER (ORDER BY load, doc_id) AS bronze_row_id FROM first WHERE rn = 1 OR hash_key IS NULL
+""")
+def append_numbered(spark, sf_dir):
+    """New content of four loads, numbered on from load to load; files that can't hold a load's hashes are not read."""
+    tables, docs = Scratch(spark), table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("hash_key"))
+    for load in range(4):
+        tables.append_new("raw", "docs", docs.filter(F.col("doc_id") % 4 == load), [F.col("doc_id").asc()])
+    return tables.last(tables.read("raw", "docs").select("doc_id", "hash_key", "bronze_row_id"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 >= 3 THEN 'new' ELSE o_orderstatus END AS state FROM orders")
+def upsert_touched_files(spark, sf_dir):
+    """An upsert of known and of new keys into a table of files, of which only those with one of its keys are written anew."""
+    tables, orders = Scratch(spark), table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("state"))
+    tables.upsert("raw", "orders", orders.filter("o_orderkey % 5 < 4"), ["o_orderkey"])
+    tables.upsert("raw", "orders", orders.filter("o_orderkey % 5 >= 3").withColumn("state", F.lit("new")), ["o_orderkey"])
+    return tables.last(tables.read("raw", "orders"))
+
+
+@query(_SQL["amendment_fold"])
+def amendment_fold_incremental(spark, sf_dir):
+    """The fold of postings that come in three batches, the last ones first."""
+    tables = Scratch(spark)
+    rows = described(spark, sf_dir).withColumn("cents", F.when(F.col("event_type") != "click", F.col("cents"))).withColumn("last_event", F.col("event_id"))
+    kept = AmendmentFold(tables, "silver", "events", ["user_id"], ["cents", "last_event"], "description", F.col("ts"), [F.col("event_id")], NullRule())
+    for batch in range(3):
+        kept.add(rows.filter(F.dayofmonth("ts") % 3 == 2 - batch), ("events", batch))
+    return tables.last(kept.current().select("user_id", "cents", "last_event", "amend_kind", "amend_postings_applied", F.col("amend_baseline_ts").cast("date").alias("baseline_day")))
+
+
+def payload_files(spark: SparkSession, sf_dir: str, tables: Tables) -> str:
+    """Files of firm contracts, an array of the orders of a thousand keys in each; where they are."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_partkey").cast("string").alias("Loc"), F.lit("REC").alias("LocPurp"))).alias("locations"))
+    text, day = lambda c: F.col(c).cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'")
+    record = F.struct(
+        text("o_orderkey").alias("id"), text("o_orderkey").alias("FIRMID"), F.col("o_custkey").alias("KHolder"), F.round("o_totalprice").cast("long").alias("KQtyK"), day.alias("KBegDateTime"), F.lit("").alias("KEndDateTime"),
+        F.expr("CASE WHEN o_orderkey % 4 = 0 THEN 'All Data' ELSE 'New' END").alias("AmendRptgDesc"), day.alias("PostedDateTime"), F.coalesce("locations", F.array()).alias("locations"), F.array().alias("rates"),
+    )
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy(F.floor(F.col("o_orderkey") / 1000).alias("file")).agg(F.collect_list(record).alias("contracts"))
+    payload = F.struct(F.lit("gTRAN_FIRM").alias("feedType"), F.lit("S").alias("sourceSystem"), F.lit("61").alias("TspDuns"), F.lit("T").alias("TspName"), "contracts")
+    orders.select("file", F.to_json(payload).alias("value")).write.partitionBy("file").text(f"{tables.root}/landing")
+    return f"{tables.root}/landing/*/*.txt"
+
+
+@query("""
+    SELECT run, n AS objects_read, CASE WHEN run = 1 THEN n ELSE 0 END AS rows_written, 0 AS rows_rejected, 'Succeeded' AS pipeline_status, 'Pass' AS data_validation_status, 'S' AS source_system
+    FROM (SELECT CAST(count(*) AS INTEGER) AS n FROM orders), (VALUES (1), (2)) runs(run)
+""")
+def ingestion_runs(spark, sf_dir):
+    """What the log says of two runs over the same files: the second finds nothing new."""
+    tables = Scratch(spark)
+    files = payload_files(spark, sf_dir, tables)
+    for _ in range(2):
+        ingest(spark, files, tables, Settings(sink="parquet", layer=RAW))
+    log = tables.read(RAW, "ingestion_log")
+    run = F.when(F.col("rows_written") > 0, 1).otherwise(2).alias("run")
+    return tables.last(log.select(run, "objects_read", "rows_written", "rows_rejected", "pipeline_status", "data_validation_status", "source_system"))
+
+
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS ngh_contract_id, '61' AS pipeline_duns, CAST(o_custkey AS VARCHAR) AS contract_holder_duns, CAST(round(o_totalprice) AS BIGINT) AS contract_quantity, CAST(o_orderdate AS DATE) AS begin_day, 'firm' AS source_type
+    FROM orders
+""")
+def final_core_of_run(spark, sf_dir):
+    """From files on disk through ingestion and the runner to the published final table."""
+    tables = Scratch(spark)
+    ingest(spark, payload_files(spark, sf_dir, tables), tables, Settings(sink="parquet", layer=RAW))
+    registry = default_registry()
+    done = run_many(registry, tables, ["silver_firm_core_dedup", "silver_firm_core_amended", "silver_firm_core", "silver_firm_core_master_capacity", "silver_final_core_master_capacity"])
+    if bad := [r for r in done if r.status != "succeeded"]:
+        raise RuntimeError(f"{bad[0].name}: {bad[0].error}")
+    plan = registry["silver_final_core_master_capacity"]
+    final = tables.read(plan.layer, plan.table)
+    return tables.last(final.select("ngh_contract_id", "pipeline_duns", "contract_holder_duns", F.col("contract_quantity").cast("long").alias("contract_quantity"), F.col("begin_date").cast("date").alias("begin_day"), "source_type"))

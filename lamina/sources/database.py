@@ -19,7 +19,7 @@ from lamina.sources.tables import Tables
 ATTEMPTS = 20
 
 #: Column types where a text of any length would not do: those that are compared.
-COMPARED = {"hash_key": "VARCHAR(128)"}
+COMPARED = {"hash_key": "VARCHAR(128)", "pipeline_run_id": "VARCHAR(128)"}
 
 
 def jdbc_url(url: str) -> tuple[str, dict[str, str]]:

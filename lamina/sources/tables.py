@@ -9,7 +9,7 @@ commits that name them (commits.py).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -167,9 +167,12 @@ class Tables:
             commits.delete(name)
             commits.delete(facts)
 
-    def upsert(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str]) -> list[str]:
+    def upsert(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, batch: tuple[str, int] | None = None) -> list[str]:
         """Puts delta's rows in place of those of equal keys, null parts being equal, and adds the others; the files rewritten.
 
+        merge: what makes the new rows of the old ones of delta's keys and delta, where they don't just replace them. batch: a stream and
+        the number of its batch, which counts once however often it is run.
+
         Files keep the range of their keys beside them. Those whose range no key of delta falls in are not opened; of the others the keys are read, and only files that hold
         one of delta's keys are written anew, less those rows. All other files stay as they are, under their names. Delta's keys have to be unique. If another writer has
         committed meanwhile, all is done again after it.
@@ -179,6 +182,8 @@ class Tables:
         file = F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -2, 2)).alias("_file")
         while True:
             state = commits.state()
+            if batch and state.batches.get(batch[0], -1) >= batch[1]:
+                return []
             rows, touched = delta, []
             if likely := self._in_range(layer, table, state, wanted, keys):
                 held = self._of_files(layer, table, likely).select(file, *keys)
@@ -187,13 +192,14 @@ class Tables:
                 touched = [f for f in likely if f in names or f"{table}/{f}" in names]
             if touched:
                 old = self._of_files(layer, table, touched)
-                stay = old.join(wanted, [old[k].eqNullSafe(wanted[k]) for k in keys], "left_anti")
-                rows = stay.unionByName(delta, allowMissingColumns=True)
+                same = [old[k].eqNullSafe(wanted[k]) for k in keys]
+                fresh = merge(old.join(wanted, same, "left_semi"), delta) if merge else delta
+                rows = old.join(wanted, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
             name, written = self._add(layer, table, rows.repartitionByRange(*keys).sortWithinPartitions(*keys), UPSERT_ROWS)
             facts = f"_r-{name}"
             ranges = self._of_files(layer, table, written).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
             ranges.write.parquet(f"{self.folder(layer, table)}/{facts}")
-            if commits.put(state, add=written, remove=touched, facts={"ranges": [facts]}):
+            if commits.put(state, add=written, remove=touched, facts={"ranges": [facts]}, batches=dict([batch] if batch else [])):
                 return touched
             commits.delete(name)
             commits.delete(facts)
