@@ -18,15 +18,16 @@ from lamina.llm.words import spread
 _NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
 #: What ends a tag, or begins a quoted value in it.
 _EDGE = re.compile(r">|=\s*([\"'])")
-_ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?|=""")
+#: A name and its value. It begins with the name, so that a run of white space before the next one is passed over once.
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*))?|=""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math select option object audio video canvas".split())
-BOILERPLATE = frozenset("head nav footer aside form button dialog menu".split())
+BOILERPLATE = frozenset("head nav footer aside button dialog menu".split())
 BLOCKS = frozenset(
     "html body main article section header div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address hr details summary fieldset center".split()
 )
-BLOCKS |= BOILERPLATE
+BLOCKS |= BOILERPLATE | {"form"}
 PARAGRAPHS = frozenset("p td th pre blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element of the key is closed by a start tag of these.
@@ -37,11 +38,16 @@ ROWS = frozenset("tr tbody thead tfoot".split())
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
 SCOPES = frozenset("ul ol dl table article section nav div body".split())
 
-#: Words in classes and ids of what is never main text.
-_UNLIKELY = re.compile(
-    r"\b(?:ads?|advert\w*|banner|breadcrumbs?|comments?|disqus|cookies?|consent|gdpr|notice|footer|masthead|menu|nav\w*|newsletter|subscribe|popup|modal|promo\w*|share|sharing|sidebar|sponsor\w*|toolbar|pagination|pager|outbrain|taboola|respond|replies|signup|login)\b",
-    re.IGNORECASE,
+#: Words in classes and ids of reader comments; of what is hardly ever main text; and of what has other senses, too.
+COMMENTS = frozenset("comment comments commentlist commentform commentarea disqus respond replies".split())
+TALK = frozenset("discussion discussions thread threads reactions".split())
+ALIEN = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising advertorial adsense breadcrumb breadcrumbs cookie cookies consent gdpr newsletter subscribe sidebar sponsor sponsored sponsors pagination pager outbrain taboola".split()
 )
+WEAK = frozenset("banner notice footer masthead menu nav navbar navigation navmenu navlist popup modal promo promos promotion promotions promotional share sharing toolbar signup login".split())
+_FIRM = frozenset("comment comments sidebar ad ads footer nav".split())
+#: Parts of a page that hold others; a paragraph with such a word alone is the article's own.
+_HOLDERS = frozenset("div ul ol section table dl".split())
 #: Words of what is main text only within its container, and there unless it is mostly links.
 _DOUBTFUL = re.compile(r"\b(?:alert|foot|header|overlay|related|recommend\w*|side|social|widget|skip|reply|tags?|legal|copyright|disclaimer)\b", re.IGNORECASE)
 _LIKELY = re.compile(r"\b(?:article|body|content|entry|main|post|story|text|page|hentry|blog)\b", re.IGNORECASE)
@@ -50,6 +56,8 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form dial
 
 #: Siblings of the best container with this share of its score are kept, too.
 SIBLING = 0.2
+#: A form with this share of the page's text, and an article or a paragraph of so many characters in it, is around the page and no part of it.
+FORM_SHARE, FORM_PROSE = 0.5, 80
 
 
 @dataclass(eq=False)
@@ -59,6 +67,8 @@ class Node:
     weight: float = 0.0
     skip: bool = False
     doubt: bool = False
+    #: Named as a discussion: reader comments if it is a row of like parts.
+    talk: bool = False
     #: In an article or main element, or one itself.
     inside: bool = False
     #: Open items of the list or table that the node is in, by tag.
@@ -74,8 +84,8 @@ class Node:
     commas: int = 0
 
 
-def _marks(attributes: str) -> tuple[str, str, str, bool]:
-    """class and id, style, role, hidden."""
+def _marks(attributes: str) -> tuple[list[str], str, str, bool]:
+    """The words of class and id, style, role, hidden."""
     names, style, role, hidden = [], "", "", False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = (m[1] or "").lower(), (m[2] or "").strip("\"'")
@@ -87,7 +97,26 @@ def _marks(attributes: str) -> tuple[str, str, str, bool]:
             role = value.lower()
         elif name in ("hidden", "aria-hidden"):
             hidden |= value.lower() != "false"
-    return re.sub(r"[-_]+", " ", " ".join(names)), style, role, hidden
+    return " ".join(names).lower().split(), style, role, hidden
+
+
+def _judge(node: Node, words: list[str], likely: bool) -> None:
+    """Whether a part of a page is none of the article, by the words of its class and id.
+
+    Outside articles any part of a word counts (`main-nav`). Within one, comments and what is hardly ever main text do; words that have other
+    senses only if they are the whole word and the part is no paragraph (`modal`, not `modal-verbs`). What they leave in doubt goes if it is mostly links.
+    """
+    tag, split = node.tag, [w.replace("_", "-").strip("-").split("-") for w in words]
+    parts, firm = {p for w in split for p in w}, not (likely and node.tag in ("div", "section"))
+    if not node.parent.inside:
+        node.talk = bool(parts & TALK)
+        node.skip |= node.talk and firm or bool(parts & (COMMENTS | ALIEN | WEAK)) and (firm or bool(parts & _FIRM))
+        node.doubt |= firm and bool(_DOUBTFUL.search(" ".join(parts)))
+        return
+    whole, ends = {w[0] for w in split if len(w) == 1}, {p for w in split for p in (w[0], w[-1])}
+    node.talk = bool(parts & TALK)
+    node.skip |= bool(parts & COMMENTS) or firm and bool(whole & ALIEN or whole & WEAK and tag not in PARAGRAPHS and tag != "section") or tag in _HOLDERS and bool(ends & ALIEN)
+    node.doubt |= node.talk or bool(parts & (ALIEN | WEAK)) or firm and bool(_DOUBTFUL.search(" ".join(parts)))
 
 
 def _element(tag: str, attributes: str, parent: Node) -> Node:
@@ -111,12 +140,11 @@ def _element(tag: str, attributes: str, parent: Node) -> Node:
         if role in ("main", "article"):
             node.weight += 25
         if names:
-            likely = _LIKELY.search(names)
+            likely = bool(_LIKELY.search(re.sub("[-_]+", " ", " ".join(names))))
             if tag not in ("body", "html", "article", "main"):
-                firm = not (likely and tag in ("div", "section"))
-                if _UNLIKELY.search(names) and (firm or re.search(r"\b(?:comments?|sidebar|ads?|footer|nav)\b", names, re.IGNORECASE)):
-                    node.skip = True
-                node.doubt = node.doubt or firm and bool(_DOUBTFUL.search(names))
+                _judge(node, names, likely)
+            elif parent.inside and any(p in COMMENTS for w in names for p in re.split("[-_]+", w)):
+                node.skip = True
             node.weight += 25 if likely else 0
     if tag == "header" and not node.inside:
         node.skip = True
@@ -243,8 +271,29 @@ def parse(page: str) -> Node:
     return root
 
 
+def _around(root: Node) -> None:
+    """Forms are left out, but for those that are around the page."""
+    order, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        order.append(n)
+        stack += [c for c in n.children if isinstance(c, Node) and not c.skip]
+    forms = [n for n in order if n.tag == "form"]
+    if not forms:
+        return
+    size, prose = {}, {}
+    for n in reversed(order):
+        below = [c for c in n.children if isinstance(c, Node) and not c.skip]
+        own = sum(len(c.strip()) for c in n.children if isinstance(c, str)) + sum(size[id(c)] for c in below if c.tag not in BLOCKS)
+        size[id(n)] = own + sum(size[id(c)] for c in below if c.tag in BLOCKS)
+        prose[id(n)] = n.tag in ("article", "main") or n.tag in PARAGRAPHS and own >= FORM_PROSE or any(prose[id(c)] for c in below)
+    for n in forms:
+        n.skip = not prose[id(n)] or size[id(n)] < FORM_SHARE * size[id(root)]
+
+
 def measure(root: Node) -> None:
-    """Characters, links and commas of each node, from the leaves up and each text once; doubtful parts of mostly links go."""
+    """Characters, links and commas of each node, from the leaves up and each text once; doubtful parts of mostly links go, and discussions of like parts."""
+    _around(root)
     order, stack = [], [(root, False)]
     while stack:
         n, linked = stack.pop()
@@ -260,7 +309,8 @@ def measure(root: Node) -> None:
         n.chars += own
         n.linked += own if linked else 0
         up = n.parent
-        if n.doubt and not (up and up.doubt) and 2 * n.linked >= n.chars:
+        likes = Counter(c.tag for c in n.children if isinstance(c, Node) and c.tag in ("li", "div", "article", "section", "dl") and not c.skip) if n.talk else {}
+        if n.doubt and not (up and up.doubt) and 2 * n.linked >= n.chars or max(likes.values(), default=0) > 1:
             n.skip = True
         elif up is not None:
             up.chars += n.chars
@@ -290,7 +340,8 @@ def choose(root: Node) -> list[Node]:
     A block with text of its own gives 1 point, 1 for each comma and up to 3 for the text's length, less the share of it
     that is in links: to its parent if it is a paragraph, else to itself; half as many to the next ancestor, and a third to
     the one after. A container's points, with those for what it is, are discounted by the share of its text that is in
-    links. Doubtful parts give no points and are no siblings, but stay where they are within a container.
+    links. Doubtful parts give no points and are no siblings, but stay where they are within a container. Of an article's siblings
+    other articles count, by their points without those for what they are.
     """
     measure(root)
     scored: dict[int, Node] = {}
@@ -316,7 +367,10 @@ def choose(root: Node) -> list[Node]:
         if up.tag in ("article", "main") and id(up) in scored:
             best = up
             break
-    if best.parent is None or best.tag in ("body", "article", "main"):
+    if best.tag == "article" and best.parent is not None:
+        points = {id(n): (n.score - n.weight) * (1 - _density(n)) for n in best.parent.children if isinstance(n, Node) and n.tag == "article" and id(n) in scored}
+        return [n for n in best.parent.children if n is best or not isinstance(n, str) and not n.skip and points.get(id(n), 0) >= max(3.0, SIBLING * points[id(best)])]
+    if best.parent is None or best.tag in ("body", "main"):
         return [best]
     least, kept, before = max(3.0, SIBLING * most), [], True
     for n in best.parent.children:

@@ -65,7 +65,10 @@ def plain_choice(root: html.Node) -> list[html.Node]:
     most = final[best]
     best = next(n for n in up(best) if n.tag not in html.ROWS)
     best = next((n for n in up(best) if n.tag in ("article", "main") and n in scores), best)
-    if best.parent is None or best.tag in ("body", "article", "main"):
+    if best.tag == "article" and best.parent is not None:
+        points = {n: (scores[n] - max(n.weight, -0.5)) * (1 - density(n)) for n in best.parent.children if n in scores and n.tag == "article"}
+        return [n for n in best.parent.children if n is best or n in points and not n.skip and points[n] >= max(3.0, html.SIBLING * points[best])]
+    if best.parent is None or best.tag in ("body", "main"):
         return [best]
     siblings = [c for c in best.parent.children if isinstance(c, html.Node) and not c.skip and (not c.doubt or c is best)]
     full = lambda n: any(t.strip() for t, _ in pieces(n, False, True))
@@ -103,11 +106,39 @@ def test_nothing_of_the_article_is_lost(page, text):
     assert html.main_text(page) == text
 
 
+PROSE = "A sentence of the article that goes on for a while, with a comma or two, and tells the reader something. " * 2
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # a page that one form is around, with a form of its own kind in it
+        (f"<body><form action=/><div id=header>x</div><div class=content><h1>Title</h1><p>{PROSE}</p></div></form></body>", f"Title\n{PROSE.strip()}"),
+        (f"<body><form><article><p>Short, text.</p></article></form></body>", "Short, text."),
+        (f"<body><article><p>{PROSE}</p><form><p>Your name</p><input></form></article></body>", PROSE.strip()),
+        ("<body><form><label>User</label><p>Password</p></form></body>", ""),
+        # articles that follow each other
+        (f"<body><article><p>{PROSE}</p></article><article><p>Two: {PROSE}</p></article><article><h2>Teaser</h2></article></body>", f"{PROSE.strip()}\nTwo: {PROSE.strip()}"),
+        # words in classes that have other senses
+        *[(f"<body><article><p>{PROSE}</p><{tag} {mark}>{PROSE}</{tag}></article></body>", f"{PROSE.strip()}\n{PROSE.strip()}") for tag, mark in (("p", 'class="navy-text"'), ("section", 'class="modal-verbs"'), ("p", 'class="promotion-history"'), ("p", 'class="share-of-market"'), ("p", 'id="login"'), ("section", 'id="discussion"'))],
+        *[(f"<body><article><p>{PROSE}</p><div {mark}>{PROSE}</div></article></body>", PROSE.strip()) for mark in ("class=ad", "class='ad-slot top'", "class=modal", "class='newsletter-signup'", "id=comments", "class='site-nav' hidden", "class=notice")],
+        (f"<body><article><p>{PROSE}</p><div class='share-buttons'><a href=a>Share it</a> <a href=b>Send it</a></div></article></body>", PROSE.strip()),
+        # reader comments
+        (f"<body><article><p>{PROSE}</p><ol class='commentlist'><li>{PROSE}</li></ol></article></body>", PROSE.strip()),
+        (f"<body><article><p>{PROSE}</p><article class='comment-body'><p>{PROSE}</p></article></article></body>", PROSE.strip()),
+        (f"<body><div class=story><p>{PROSE}</p></div><div class='discussion'><p>{PROSE}</p></div></body>", PROSE.strip()),
+        (f"<body><article><p>{PROSE}</p><div class='discussion'><div>{PROSE}</div><div>{PROSE}</div></div></article></body>", PROSE.strip()),
+    ],
+)
+def test_parts_of_the_article_and_others(page, text):
+    assert html.main_text(page) == text
+
+
 def test_equal_containers_give_the_first():
     assert html.main_text("<body><article><p>same, text</p></article><article><p>sane, text</p></article>") == "same, text"
 
 
-@pytest.mark.parametrize("make", [lambda n: "<ul><li>" * n + "x", lambda n: '<a "' * n, lambda n: '<a x="' * n, lambda n: "<svg>" * n, lambda n: "<div>" * n + "</p>" * n + "</div>" * n, lambda n: "<center>" * n + "<li>" * n, lambda n: "<span hidden>" * n + "</b>" * n, lambda n: "<a " + 'class="' * n + ">", lambda n: "<div>" + "<h2>a</h2>" * n + "<p>b, c"])
+@pytest.mark.parametrize("make", [lambda n: "<ul><li>" * n + "x", lambda n: '<a "' * n, lambda n: '<a x="' * n, lambda n: "<svg>" * n, lambda n: "<div>" * n + "</p>" * n + "</div>" * n, lambda n: "<center>" * n + "<li>" * n, lambda n: "<span hidden>" * n + "</b>" * n, lambda n: "<a " + 'class="' * n + ">", lambda n: "<p a" + " " * 25 * n + "/>", lambda n: "<p " + "a / " * 10 * n + ">", lambda n: "<p " + "a=' " * n + ">", lambda n: "<form>" * n + "x", lambda n: "<div>" + "<h2>a</h2>" * n + "<p>b, c"])
 def test_time_is_linear(make):
     html.main_text(make(1000))
     began = time.process_time()
