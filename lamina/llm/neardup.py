@@ -5,7 +5,10 @@ that either has, each counted as often as it occurs. Texts are linked only if th
 
 1. Fingerprints of the shingles meet by the general pigeonhole plan of simhash.link_edges, and each link is verified.
 2. In one order of all shingles, the first n - ceil(similarity * n) + 1 of n shingles of one text and those of the other have one
-   in common. So every similar pair meets under some shingle of its prefixes. Texts of different components are verified there
+   in common. So every similar pair meets under some shingle of its prefixes; and under the first that it shares, the texts can have
+   no more in common than what either has from there on, which has to be enough for the similarity (the positional filter of
+   PPJoin, Xiao and others, 2008). Rare shingles come first, so texts of one template that differ in too many places never pair
+   under the template's shingles. Texts of different components are verified there
    with those whose fingerprints are nearest, all of FEW or the NEAREST under each shingle, in rounds, until one joins hardly any.
 3. Then all pairs of different components that meet so, within NEAR_RADIUS bits, are verified. Nothing is capped: two texts are
    linked if their fingerprints are within NEAR_RADIUS and the similarity is reached. The rounds only leave few components,
@@ -40,6 +43,8 @@ RADIUS, NEAR_RADIUS = 4, 22
 FEW, NEAREST, CHUNK = 8, 3, 4096
 #: Pairs that are compared at a time in the exact pass.
 PAIRS = 1 << 20
+#: Texts under one shingle that the exact pass compares in one group; more are divided into blocks, and each two blocks are a group.
+BLOCK_ROWS = 20_000
 #: A round that joins a smaller share of all that were joined is the last.
 GAIN = 0.02
 #: Bytes of bags up to which they are broadcast to the pairs that are verified.
@@ -120,8 +125,14 @@ def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_
     return map_texts(docs, fields, make, id_col, text_col)
 
 
+def able(n: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether bags i and j of n hashes can have the similarity if the hash at these places of theirs is the first that they share."""
+    needed = similarity / (1 + similarity) * (n[i] + n[j]) - _SLACK
+    return np.minimum(n[i] - place[i], n[j] - place[j]) >= needed
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each bag under every hash of its prefix, and whether very many texts have the hash."""
+    """Each bag under every hash of its prefix, with its place there, and whether very many texts have the hash."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
@@ -129,7 +140,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             each = np.array([len(p) for p in firsts])
             place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
             heavy = place >= np.repeat(each - part.column(2).to_numpy(zero_copy_only=False), each)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), each)), pa.array(heavy)], names=["token", "bag", "heavy"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), each)), pa.array(place.astype(np.int32)), pa.array(heavy)], names=["token", "bag", "place", "heavy"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -156,11 +167,11 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.nda
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of hashes that two bags or more have; rows come ordered by hash."""
-    for token, bags in _runs(batches, 1 << 20):
+    for token, bags, place in _runs(batches, 1 << 20):
         again = np.concatenate(([False], token[1:] == token[:-1], [False]))
         keep = again[1:] | again[:-1] | (len(token) >= 1 << 20)  # the last of a divided run may stand alone
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(bags[keep])], names=["token", "bag"])
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(bags[keep]), pa.array(place[keep])], names=["token", "bag", "place"])
 
 
 def _nearest(similarity: float):
@@ -168,7 +179,7 @@ def _nearest(similarity: float):
     fingerprints. Rows come ordered by hash and a turned fingerprint, so that long runs are divided among alike ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, comp, names, n, fp in _runs(batches, 16 * CHUNK):
+        for token, comp, names, n, fp, place in _runs(batches, 16 * CHUNK):
             fp, pairs = fp.view(np.uint64), []
             start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
             size = np.diff(np.append(start, len(token)))
@@ -183,13 +194,13 @@ def _nearest(similarity: float):
                     for some in np.array_split(at, -(-len(at) // 256)):
                         away = np.bitwise_count(fp[some][:, None] ^ fp[at][None, :]).astype(np.int16)
                         low, high = np.minimum(n[some][:, None], n[at][None, :]), np.maximum(n[some][:, None], n[at][None, :])
-                        away[(comp[some][:, None] == comp[at][None, :]) | (low < similarity * high - _SLACK)] = 99
+                        away[(comp[some][:, None] == comp[at][None, :]) | (low < similarity * high - _SLACK) | ~able(n, place, some[:, None], at[None, :], similarity)] = 99
                         near = np.argpartition(away, NEAREST, axis=1)[:, :NEAREST] if len(at) > NEAREST else np.tile(np.arange(len(at)), (len(some), 1))
                         i, j = np.repeat(np.arange(len(some)), near.shape[1]), near.ravel()
                         fit = away[i, j] <= NEAR_RADIUS
                         pairs.append((some[i[fit]], at[j[fit]]))
             i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, np.int64),) * 2
-            fit = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - _SLACK) & (np.bitwise_count(fp[i] ^ fp[j]) <= NEAR_RADIUS)
+            fit = (comp[i] != comp[j]) & able(n, place, i, j, similarity) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - _SLACK) & (np.bitwise_count(fp[i] ^ fp[j]) <= NEAR_RADIUS)
             i, j = i[fit], j[fit]
             if len(i):
                 turn = names[i] < names[j]
@@ -207,7 +218,7 @@ def _rest(similarity: float):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, comp, names, n, fp in _runs(batches, 1 << 62):
+        for token, comp, names, n, fp, place in _runs(batches, 1 << 62):
             fp = fp.view(np.uint64)
             start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
             size = np.diff(np.append(start, len(token)))
@@ -220,7 +231,7 @@ def _rest(similarity: float):
                     others = order[done:]
                     for some in np.array_split(own, -(-len(own) * len(others) // PAIRS)):
                         low, high = np.minimum(n[some][:, None], n[others][None, :]), np.maximum(n[some][:, None], n[others][None, :])
-                        i, j = np.nonzero((np.bitwise_count(fp[some][:, None] ^ fp[others][None, :]) <= NEAR_RADIUS) & (low >= similarity * high - _SLACK))
+                        i, j = np.nonzero((np.bitwise_count(fp[some][:, None] ^ fp[others][None, :]) <= NEAR_RADIUS) & (low >= similarity * high - _SLACK) & able(n, place, some[:, None], others[None, :], similarity))
                         if len(i):
                             x, y = some[i], others[j]
                             turn = names[x] < names[y]
@@ -277,22 +288,34 @@ def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return cut(moved.unionByName(alone))
 
 
+def _divided(placed: DataFrame) -> DataFrame:
+    """Rows under a hash; those of very many rows in blocks, each two of which are a group of their own, under another hash."""
+    parts = F.ceil(F.col("count") / (BLOCK_ROWS / 2)).cast("int").alias("parts")
+    crowded = cut(placed.groupBy("token").count().filter(F.col("count") > BLOCK_ROWS).select("token", parts))
+    if crowded.isEmpty():
+        return placed
+    crowded = small_or_not(crowded)
+    rows = placed.join(crowded, "token").withColumn("one", F.pmod(F.xxhash64("bag"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    group = F.xxhash64("token", F.least("one", "other"), F.greatest("one", "other"))
+    return placed.join(crowded, "token", "left_anti").unionByName(rows.withColumn("token", group).select(*placed.columns))
+
+
 def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
     """(node, root) after rounds of verified pairs of different components under the hashes of their prefixes."""
-    posted = distinct.select("bag", "prefix", "heavy").mapInArrow(_postings, "token long, bag long, heavy boolean")
-    light = posted.filter("NOT heavy").select("token", "bag").repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, bag long")
+    posted = distinct.select("bag", "prefix", "heavy").mapInArrow(_postings, "token long, bag long, place int, heavy boolean")
+    light = posted.filter("NOT heavy").select("token", "bag", "place").repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, bag long, place int")
     live = cut(light.withColumn("heavy", F.lit(False)).unionByName(posted.filter("heavy")))
     sizes = cut(distinct.join(live.select("bag").distinct(), "bag", "left_semi").select("bag", "n", "fp"))
     tested, merges, turn, last = None, 0, 0, False
     while True:
         placed = live.join(small_or_not(cut(_components_of(sizes, roots))), "bag")
         if last:
-            ordered, meet = placed.repartition("token").sortWithinPartitions("token", "comp"), _rest(similarity)
+            ordered, meet = _divided(placed).repartition("token").sortWithinPartitions("token", "comp"), _rest(similarity)
         else:
             turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
             part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
             ordered, meet = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned"), _nearest(similarity)
-        pairs = ordered.select("token", "comp", "bag", "n", "fp").mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
+        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place").mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
         if tested is not None:
             pairs = pairs.join(small_or_not(tested), ["a", "b"], "left_anti")
         pairs = cut(pairs)

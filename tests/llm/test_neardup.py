@@ -95,3 +95,35 @@ def test_small_tables_are_told_by_rows_and_bytes(spark):
     hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
     assert hinted(small_or_not(df)) and not hinted(small_or_not(df, rows=99)) and not hinted(small_or_not(df, size=8000)) and hinted(small_or_not(df, size=11_000))
     assert hinted(small_or_not(df.limit(0)))
+
+
+def test_texts_of_a_template_are_not_paired(spark, monkeypatch):
+    """Texts that share 170 of 200 words are no near copies, and none of their pairs leaves the tasks, however many they are."""
+    rng, written = random.Random(3), []
+    verified = neardup.verified
+
+    def counted(docs, distinct, pairs, *rest):
+        written.append(pairs.count())
+        return verified(docs, distinct, pairs, *rest)
+
+    monkeypatch.setattr(neardup, "verified", counted)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    template = [word() for _ in range(170)]
+    texts = [" ".join([word() for _ in range(15)] + template + [word() for _ in range(15)]) for _ in range(600)]
+    texts += [" ".join(t.split()[:-1]) for t in texts[:20]]  # and some near copies
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert neardup.keep_first(docs).count() == 600
+    assert sum(written) < 2 * len(texts)
+
+
+def test_blocks_of_a_crowded_shingle_hold_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 30)
+    rows = [(1, b, b % 3, False, b % 7) for b in range(100)] + [(2, b, b % 3, False, b % 7) for b in range(30)]
+    placed = spark.createDataFrame(rows, "token long, bag long, comp long, heavy boolean, place int")
+    groups: dict[int, set[int]] = {}
+    for r in neardup._divided(placed).collect():
+        groups.setdefault(r.token, set()).add(r.bag)
+    assert groups[2] == set(range(30)) and 1 not in groups
+    assert max(len(g) for g in groups.values()) < 60
+    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    assert met == {(a, b) for a in range(100) for b in range(a + 1, 100)}
