@@ -25,3 +25,18 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str, start: int = 1)
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_range", (F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
     return placed.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_at") + F.lit(start)).drop("_range", "_at", "_before")
+
+
+def renumbered(df: DataFrame, old: DataFrame | None, key: Sequence[str], name: str) -> DataFrame:
+    """df with numbers: those that its keys have in an older version, and the next ones, in the order of the keys, for new keys.
+
+    Keys are unique and null parts of them equal. A reload so leaves the numbers that other tables refer to as they are. Without an older version all
+    numbers are new, from 1 on; numbers of keys that are gone are given again only if they were the greatest.
+    """
+    order = [F.col(k).asc_nulls_first() for k in key]
+    if old is None or name not in old.columns:
+        return numbered(df, order, name)
+    known = old.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], name)
+    found = cut(df.join(known, [df[k].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(key)], "left").select(*df.columns, name))
+    top = old.agg(F.max(name)).first()[0] or 0
+    return found.filter(F.col(name).isNotNull()).unionByName(numbered(found.filter(F.col(name).isNull()).drop(name), order, name, top + 1))

@@ -5,13 +5,14 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Iterable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.operators.checks import require_not_null, require_unique
-from lamina.operators.ids import numbered
+from lamina.operators.ids import renumbered
 from lamina.plans.registry import Plan, Registry, in_group
 from lamina.sources.export import Export, export_for_stage
 from lamina.sources.labels import feed_name
@@ -19,6 +20,9 @@ from lamina.sources.tables import Tables
 
 log = logging.getLogger(__name__)
 
+#: Tables that are built at a time.
+AT_ONCE = 6
+
 
 @dataclass
 class Result:
@@ -75,7 +79,8 @@ def rows_of(plan: Plan, tables: Tables) -> DataFrame | None:
 def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False, to: Export | None = None) -> Result:
     """Builds one table: skipped if it is there and reload is off, or if a source is missing.
 
-    Rows are written beside the old table, checked for key and nulls, and swapped in, so a failure leaves the old table.
+    Rows are written beside the old table, checked for key and nulls, and swapped in, so a failure leaves the old table. On reload
+    rows keep the numbers that they have there.
     A plan without anything to build succeeds with no rows; on reload its old table goes.
     """
     plan, began = registry[name], time.perf_counter()
@@ -90,7 +95,7 @@ def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False,
             tables.drop(plan.layer, plan.table)
             return done("succeeded")
         if plan.surrogate:
-            rows = numbered(rows, [F.col(c).asc_nulls_first() for c in plan.key], plan.surrogate)
+            rows = renumbered(rows, tables.read(plan.layer, plan.table) if tables.exists(plan.layer, plan.table) else None, plan.key, plan.surrogate)
             rows = rows.select(plan.surrogate, *[c for c in rows.columns if c != plan.surrogate])
         if plan.stamp:
             rows = rows.withColumn(plan.stamp, F.current_timestamp())
@@ -109,19 +114,38 @@ def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False,
         return done("failed", error=f"{type(e).__name__}: {e}")
 
 
-def run_many(registry: Registry, tables: Tables, names: Iterable[str] | None = None, reload: bool = False, to: Export | None = None) -> list[Result]:
-    """Builds the tables in order; those that read a table that failed in this run are skipped."""
-    results, failed = [], set()
-    for name in ordered(registry, registry if names is None else names):
-        plan = registry[name]
-        if bad := failed & {*plan.sources, *plan.optional}:
-            results.append(Result(name, "skipped", error=f"failed before: {', '.join(t for _, t in sorted(bad))}"))
-            failed.add((plan.layer, plan.table))
-            continue
-        results.append(run_one(name, registry, tables, reload, to))
-        if results[-1].status == "failed":
-            failed.add((plan.layer, plan.table))
-    return results
+def run_many(registry: Registry, tables: Tables, names: Iterable[str] | None = None, reload: bool = False, to: Export | None = None, at_once: int = AT_ONCE) -> list[Result]:
+    """Builds the tables, each as soon as those that it reads are there, at most at_once at a time; the results are in order.
+
+    Tables that read one that failed in this run are skipped. Each table's jobs are in a scheduler pool of its own, so that with fair
+    scheduling a small table doesn't wait for a large one. A run that was lost goes on with what it had not published.
+    """
+    order = ordered(registry, registry if names is None else names)
+    maker = {(registry[n].layer, registry[n].table): n for n in order}
+    reads = {n: {*registry[n].sources, *registry[n].optional} for n in order}
+    waits = {n: {maker[t] for t in reads[n] if t in maker} - {n} for n in order}
+    results: dict[str, Result] = {}
+    failed, waiting, going = set(), list(order), {}
+
+    def build(name: str) -> Result:
+        tables.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return run_one(name, registry, tables, reload, to)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        while waiting or going:
+            for name in [n for n in waiting if waits[n] <= results.keys()]:
+                waiting.remove(name)
+                if bad := failed & reads[name]:
+                    results[name] = Result(name, "skipped", error=f"failed before: {', '.join(t for _, t in sorted(bad))}")
+                    failed.add((registry[name].layer, registry[name].table))
+                else:
+                    going[pool.submit(build, name)] = name
+            for done in wait(going, return_when=FIRST_COMPLETED).done if going else ():
+                name = going.pop(done)
+                results[name] = done.result()
+                if results[name].status == "failed":
+                    failed.add((registry[name].layer, registry[name].table))
+    return [results[n] for n in order]
 
 
 def summary(results: Iterable[Result]) -> dict[str, int]:

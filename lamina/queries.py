@@ -16,7 +16,7 @@ from lamina.functions.values import bigint, blank_to_null, date, days_between, n
 from lamina.operators.amendments import NullRule, fold, kind_of, settle_undescribed
 from lamina.operators.checks import ConstraintError, require_not_null, require_unique, require_values
 from lamina.operators.elements import canonical, elements
-from lamina.operators.ids import numbered
+from lamina.operators.ids import numbered, renumbered
 from lamina.operators.latest import distinct_content, latest_by, new_content, newest, newest_dated, upsert
 from lamina.operators.model import latest_in_model, project_model, union_tagged
 from lamina.operators.pairing import Pairing, pair
@@ -419,6 +419,16 @@ def dense_row_ids(spark, sf_dir):
     return numbered(table(spark, sf_dir, "orders").select("o_orderkey"), [F.col("o_orderkey").asc()], "n")
 
 
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN row_number() OVER (PARTITION BY o_orderkey % 3 > 0 ORDER BY o_orderkey) ELSE (SELECT count(*) FROM orders WHERE o_orderkey % 3 > 0) + row_number() OVER (PARTITION BY o_orderkey % 3 > 0 ORDER BY o_orderkey) END AS n
+    FROM orders
+""")
+def numbers_kept(spark, sf_dir):
+    """A reload with more rows: old keys keep their numbers, new ones get the next."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return renumbered(orders, renumbered(orders.filter("o_orderkey % 3 > 0"), None, ["o_orderkey"], "n"), ["o_orderkey"], "n")
+
+
 @query("""
     SELECT event_id, CASE event_type WHEN 'click' THEN 'firm' WHEN 'view' THEN 'interruptible' WHEN 'purchase' THEN 'awards' WHEN 'signup' THEN 'index' ELSE '_combined' END AS feed FROM events
 """)

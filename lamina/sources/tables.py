@@ -70,7 +70,9 @@ class Tables:
 
     def read(self, layer: str, table: str) -> DataFrame:
         commits = self.commits(layer, table)
-        return self._of_files(layer, table, commits.state().files) if commits.any() else self.spark.read.parquet(self.path(layer, table))
+        if commits.any() and not self.versions(layer, table):  # a version takes the place of all that was added before
+            return self._of_files(layer, table, commits.state().files)
+        return self.spark.read.parquet(self.path(layer, table))
 
     def commits(self, layer: str, table: str) -> Commits:
         return Commits(self.spark, self.folder(layer, table))
@@ -104,6 +106,12 @@ class Tables:
         self.spark.catalog.refreshByPath(folder)
         return self.read(layer, table)
 
+    def _growing(self, layer: str, table: str) -> Commits:
+        """The commits of a table that is added to; an error for one that is replaced whole."""
+        if self.versions(layer, table):
+            raise ValueError(f"{layer}.{table} is replaced whole, so it has no commits")
+        return self.commits(layer, table)
+
     def _add(self, layer: str, table: str, df: DataFrame, file_rows: int = FILE_ROWS) -> tuple[str, list[str]]:
         """Writes rows to a new folder of the table; its name and its files, which count once a commit names them."""
         name, commits = f"p-{uuid.uuid4().hex}", self.commits(layer, table)
@@ -147,7 +155,7 @@ class Tables:
         hashes are read. If another writer has committed meanwhile, what is new is found again after its rows, so two runs over the same
         content add it once, and no number is given twice. drop: columns that only serve the order.
         """
-        once, commits = cut(distinct_content(rows, hash_col, order)), self.commits(layer, table)
+        once, commits = cut(distinct_content(rows, hash_col, order)), self._growing(layer, table)
         while True:
             state, there = commits.state(), self.exists(layer, table)
             files = self.may_hold(layer, table, state, once.filter(F.col(hash_col).isNotNull()).select(hash_col))
@@ -177,7 +185,7 @@ class Tables:
         one of delta's keys are written anew, less those rows. All other files stay as they are, under their names. Delta's keys have to be unique. If another writer has
         committed meanwhile, all is done again after it.
         """
-        delta, commits = require_unique(cut(delta), keys, table), self.commits(layer, table)
+        delta, commits = require_unique(cut(delta), keys, table), self._growing(layer, table)
         wanted, key = delta.select(*keys), F.struct(*keys)
         file = F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -2, 2)).alias("_file")
         while True:
