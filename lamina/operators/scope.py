@@ -16,6 +16,7 @@ SHIPPER_KEYS = {
     "gindex": ("shipperduns", "shipper"),
 }
 
+#: The columns of the table of verdicts and their types.
 MAPPING_SCHEMA = "id long, workflow_id int, source string, kholdernumber string, kholdername string, action string, created_at timestamp, updated_at timestamp"
 
 

@@ -141,3 +141,13 @@ def mapping(feed: str, grain: str) -> dict[str, Column]:
             call = re.fullmatch(r"([A-Z]+)\((\w+)\)", text)
             out[name] = F.expr(_FUNCTIONS[call[1]] % call[2] if call else text)
     return out
+
+
+def casts(feed: str, grain: str) -> dict[str, str]:
+    """The feed's text columns that its mapping casts, and to what."""
+    own, out = _OWN[feed], {}
+    for _, kind, transport, awards in _lines(grain):
+        text = (awards if feed == "awards" else transport).format(contract=own["contract"], quantity=own[grain], label=own["label"], kind=own["kind"])
+        if call := re.fullmatch(r"([NT])\((\w+)\)", text):
+            out[call[2]] = _TYPES[kind]
+    return out

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.functions.values import bigint, timestamp
+from lamina.functions.values import NUMERIC, bigint, timestamp
 from lamina.operators.amendments import NullRule, fold
 from lamina.operators.elements import elements
 from lamina.operators.latest import distinct_content, latest_by, newest
@@ -17,7 +17,7 @@ from lamina.operators.model import latest_in_model, project_model, union_tagged
 from lamina.operators.pairing import Pairing, pair
 from lamina.operators.scope import scope_table
 from lamina.operators.transport import transport_rates
-from lamina.plans.models import NATURAL_KEYS, mapping, model
+from lamina.plans.models import NATURAL_KEYS, casts, mapping, model
 from lamina.sources.feeds import ELEMENT_KEYS, META, PARENTS, columns_of
 from lamina.sources.labels import COMBINED
 
@@ -45,6 +45,8 @@ class Plan:
     sources_required: bool = True
     #: Tables that are read if they are there.
     optional: tuple[tuple[str, str], ...] = ()
+    #: Columns of each source, by its table, that are cast, and to what: rows with a bad cell are set aside.
+    casts: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
 
 class Registry(dict[str, Plan]):
@@ -180,20 +182,21 @@ def default_registry() -> Registry:
         core_from = f"{feed}_core_dedup"
         if f.amended:
             core_from = f"{feed}_core_amended"
-            add(core_from, STAGING, "stage_3/amendments", [(STAGING, f"{feed}_core_dedup")], amended_core(f), key=f.core_key, stamp="amended_ts")
+            add(core_from, STAGING, "stage_3/amendments", [(STAGING, f"{feed}_core_dedup")], amended_core(f), key=f.core_key, stamp="amended_ts", casts={f"{feed}_core_dedup": {"posteddatetime": "timestamp"}})
         dropped = ("amended_ts",) if f.amended else ("locations", "rates")
         add(f"{feed}_core", STAGING, f"stage_3/decomposition/{feed}/core", [(STAGING, core_from)], staged(core_from, f.core_key, dropped), key=f.core_key, stamp="decomp_loaded_ts")
         locations = staged_locations(f) if f.amended else staged(f"{feed}_locations_dedup", f.locations_key)
-        add(f"{feed}_locations", STAGING, f"stage_3/decomposition/{feed}/locations", [(STAGING, f"{feed}_locations_dedup")], locations, key=f.locations_key, stamp="decomp_loaded_ts")
+        add(f"{feed}_locations", STAGING, f"stage_3/decomposition/{feed}/locations", [(STAGING, f"{feed}_locations_dedup")], locations, key=f.locations_key, stamp="decomp_loaded_ts", casts={f"{feed}_locations_dedup": {"index": "bigint"}} if f.amended else {})
         add(f"{feed}_rates", STAGING, f"stage_3/decomposition/{feed}/rates", [(STAGING, f"{feed}_rates_dedup")], staged(f"{feed}_rates_dedup", f.rates_key), key=f.rates_key, stamp="decomp_loaded_ts")
         add(
             f"{feed}_rec_del_pair", CURATED, f"stage_4/rec_del_pairing/{feed}", [(STAGING, f"{feed}_locations")], lambda t, f=f: pair(t[f"{f.feed}_locations"], f.pairing),
             key=("contract_key", "receipt_loc_code", "delivery_loc_code"), not_null=("entity_type", "contract_key", "pair_status"), stamp="silver_loaded_ts", surrogate="rec_del_pair_id",
+            casts={f"{feed}_locations": {c: k for n, k in (("loc_qty", NUMERIC), ("term_begin", "timestamp"), ("term_end", "timestamp")) if (c := f.pairing.column_of(n))}},
         )
         for grain in GRAINS:
             add(
                 f"{feed}_{grain}_master_capacity", CURATED, f"stage_5/master_capacity/{feed}/{grain}", [(STAGING, f"{feed}_{grain}")], mapped(feed, grain),
-                key=NATURAL_KEYS[grain], stamp="silver_loaded_ts", surrogate=f"{feed}_{grain}_id",
+                key=NATURAL_KEYS[grain], stamp="silver_loaded_ts", surrogate=f"{feed}_{grain}_id", casts={f"{feed}_{grain}": casts(feed, grain)},
             )
     for grain in GRAINS:
         table = f"final_{grain}_master_capacity"

@@ -7,12 +7,14 @@ import time
 from collections.abc import Iterable
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.operators.checks import require_not_null, require_unique
 from lamina.operators.ids import renumbered
+from lamina.operators.quarantine import set_aside
 from lamina.plans.registry import Plan, Registry, in_group
 from lamina.sources.export import Export, export_for_stage
 from lamina.sources.labels import feed_name
@@ -20,6 +22,8 @@ from lamina.sources.tables import Tables
 
 log = logging.getLogger(__name__)
 
+#: The layer with the cells that did not cast.
+REJECTED = "rejected"
 #: Tables that are built at a time.
 AT_ONCE = 6
 
@@ -70,9 +74,17 @@ def missing_sources(plan: Plan, tables: Tables) -> list[str]:
     return [f"{layer}.{table}" for layer, table in plan.sources if not tables.exists(layer, table)] if plan.sources_required else []
 
 
-def rows_of(plan: Plan, tables: Tables) -> DataFrame | None:
-    """The plan's rows from the tables that are there, without number and time of load."""
+def rows_of(plan: Plan, tables: Tables, rejected: list[DataFrame] | None = None) -> DataFrame | None:
+    """The plan's rows from the tables that are there, without number and time of load.
+
+    Rows of a source with a cell that does not cast are left out; rejected gets a table of such cells for each source.
+    """
     there = {table: tables.read(layer, table) for layer, table in (*plan.sources, *plan.optional) if tables.exists(layer, table)}
+    for table, casts in plan.casts.items():
+        if table in there and casts:
+            there[table], errors = set_aside(there[table], casts)
+            if rejected is not None:
+                rejected.append(errors.select(F.lit(table).alias("source"), "*"))
     return plan.build(there)
 
 
@@ -80,7 +92,8 @@ def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False,
     """Builds one table: skipped if it is there and reload is off, or if a source is missing.
 
     Rows are written beside the old table, checked for key and nulls, and swapped in, so a failure leaves the old table. On reload
-    rows keep the numbers that they have there.
+    rows keep the numbers that they have there. Rows of a source with a cell that does not cast are set aside: the table of this name in the
+    layer REJECTED lists the cells.
     A plan without anything to build succeeds with no rows; on reload its old table goes.
     """
     plan, began = registry[name], time.perf_counter()
@@ -90,7 +103,8 @@ def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False,
             return done("skipped", error=f"missing {', '.join(missing)}")
         if tables.exists(plan.layer, plan.table) and not reload:
             return done("skipped", error="there already")
-        rows = rows_of(plan, tables)
+        rejected: list[DataFrame] = []
+        rows = rows_of(plan, tables, rejected)
         if rows is None:
             tables.drop(plan.layer, plan.table)
             return done("succeeded")
@@ -106,6 +120,10 @@ def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False,
                 require_unique(written, plan.key, plan.table, plan.nulls_distinct)
 
         written = tables.replace(plan.layer, plan.table, rows, check)
+        bad = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejected) if rejected else None
+        if bad is not None and (tables.exists(REJECTED, plan.table) or not bad.isEmpty()):
+            listed = tables.replace(REJECTED, plan.table, bad)
+            log.warning("%s: %d bad cells set aside", name, listed.count())
         if to:
             export_for_stage(written, plan.table, to if to.stage else to.for_stage(plan.group.split("/")[0]), plan.feed)
         return done("succeeded", written.count())

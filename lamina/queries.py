@@ -20,6 +20,7 @@ from lamina.operators.ids import numbered, renumbered
 from lamina.operators.latest import distinct_content, latest_by, new_content, newest, newest_dated, upsert
 from lamina.operators.model import latest_in_model, project_model, union_tagged
 from lamina.operators.pairing import Pairing, pair
+from lamina.operators.quarantine import set_aside
 from lamina.operators.scope import describe, scoped
 from lamina.operators.transport import transport_rates
 from lamina.plans.incremental import AmendmentFold
@@ -121,10 +122,9 @@ _KINDS = f"""
     FROM ({_DESCRIBED})
 """
 _SETTLED = f"""
-    SELECT * EXCLUDE (kind), CASE WHEN kind = 'NULL_DESC' AND sum(CASE WHEN kind = 'NULL_DESC' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) > 2
-            AND sum(CASE WHEN kind = 'NULL_DESC' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 1 THEN 'ALL_DATA'
-        WHEN kind = 'NULL_DESC' THEN 'NEW' ELSE kind END AS kind
-    FROM ({_KINDS})
+    SELECT * EXCLUDE (kind, n_all, n_before), CASE WHEN kind <> 'NULL_DESC' THEN kind WHEN n_all > 2 AND n_before > 0 THEN 'ALL_DATA' ELSE 'NEW' END AS kind
+    FROM (SELECT *, count(*) FILTER (kind = 'NULL_DESC') OVER (PARTITION BY user_id) AS n_all,
+            count(*) FILTER (kind = 'NULL_DESC') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_before FROM ({_KINDS}))
 """
 
 
@@ -470,7 +470,7 @@ def element_dedup(spark, sf_dir):
     return distinct_content(elements(packed, "turns", ["role"], carry=["conv_id"]), order=[F.col("conv_id").asc()]).select("conv_id", "role", "hash_key")
 
 
-_RUNNING = _SETTLED.replace("> 2\n", "> 3\n").replace("CURRENT ROW) > 1 THEN", "CURRENT ROW) > 2 THEN")
+_RUNNING = _SETTLED.replace("n_all > 2 AND n_before > 0", "n_all > 3 AND n_before > 1")
 
 
 @query(f"""
@@ -683,3 +683,19 @@ def final_core_of_run(spark, sf_dir):
     plan = registry["silver_final_core_master_capacity"]
     final = tables.read(plan.layer, plan.table)
     return tables.last(final.select("ngh_contract_id", "pipeline_duns", "contract_holder_duns", F.col("contract_quantity").cast("long").alias("contract_quantity"), F.col("begin_date").cast("date").alias("begin_day"), "source_type"))
+
+
+@query("""
+    WITH t AS (SELECT o_orderkey AS bronze_row_id, CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN '12x' ELSE CAST(o_custkey AS VARCHAR) END AS amount, CASE WHEN o_orderkey % 13 = 0 THEN '2024-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS posted FROM orders),
+    b AS (SELECT bronze_row_id, 'amount' AS "column", amount AS value, 'no decimal(38,10)' AS reason FROM t WHERE amount <> '' AND TRY_CAST(amount AS DECIMAL(38, 10)) IS NULL
+        UNION ALL SELECT bronze_row_id, 'posted', posted, 'no timestamp' FROM t WHERE TRY_CAST(posted AS TIMESTAMP) IS NULL)
+    SELECT * FROM b UNION ALL SELECT bronze_row_id, NULL, NULL, NULL FROM t WHERE bronze_row_id NOT IN (SELECT bronze_row_id FROM b)
+""")
+def bad_cells_set_aside(spark, sf_dir):
+    """Cells that do not cast, by column and reason, and the rows that go on."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("bronze_row_id"), F.expr("CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN '12x' ELSE CAST(o_custkey AS STRING) END AS amount"),
+        F.expr("CASE WHEN o_orderkey % 13 = 0 THEN '2024-02-30' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS posted"),
+    )
+    good, bad = set_aside(rows, {"amount": "decimal(38,10)", "posted": "timestamp"})
+    return bad.unionByName(good.select("bronze_row_id"), allowMissingColumns=True)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.checkpoints import SMALL_ROWS, cut
-from lamina.operators.checks import require_unique
+from lamina.operators.checks import ConstraintError, require_not_null, require_unique
 from lamina.operators.ids import numbered
 from lamina.operators.latest import distinct_content
 from lamina.sources import filters
@@ -186,32 +186,58 @@ class Tables:
         committed meanwhile, all is done again after it.
         """
         delta, commits = require_unique(cut(delta), keys, table), self._growing(layer, table)
-        wanted, key = delta.select(*keys), F.struct(*keys)
-        file = F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -2, 2)).alias("_file")
+        wanted = delta.select(*keys)
         while True:
             state = commits.state()
             if batch and state.batches.get(batch[0], -1) >= batch[1]:
                 return []
             rows, touched = delta, []
             if likely := self._in_range(layer, table, state, wanted, keys):
-                held = self._of_files(layer, table, likely).select(file, *keys)
-                found = held.join(wanted, [held[k].eqNullSafe(wanted[k]) for k in keys], "left_semi").select("_file").distinct()
-                names = {r._file for r in found.collect()}  # names of files
+                names = {r._file for r in self._held(layer, table, likely, wanted, keys).select("_file").distinct().collect()}  # names of files
                 touched = [f for f in likely if f in names or f"{table}/{f}" in names]
             if touched:
                 old = self._of_files(layer, table, touched)
                 same = [old[k].eqNullSafe(wanted[k]) for k in keys]
                 fresh = merge(old.join(wanted, same, "left_semi"), delta) if merge else delta
                 rows = old.join(wanted, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
-            name, written = self._add(layer, table, rows.repartitionByRange(*keys).sortWithinPartitions(*keys), UPSERT_ROWS)
-            facts = f"_r-{name}"
-            ranges = self._of_files(layer, table, written).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
-            ranges.write.parquet(f"{self.folder(layer, table)}/{facts}")
+            name, facts, written = self._add_ranged(layer, table, rows, keys)
             if commits.put(state, add=written, remove=touched, facts={"ranges": [facts]}, batches=dict([batch] if batch else [])):
                 return touched
             commits.delete(name)
             commits.delete(facts)
 
+    def insert(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) -> None:
+        """Adds delta's rows, or raises ConstraintError and adds none, if a key would occur twice (null parts being equal) or a column of not_null holds a null.
+
+        Only delta is checked in whole; of the table the keys of files are read in whose range one of delta's falls.
+        """
+        delta, commits = require_not_null(require_unique(cut(delta), keys, table), not_null, table), self._growing(layer, table)
+        wanted = delta.select(*keys)
+        while True:
+            state = commits.state()
+            if likely := self._in_range(layer, table, state, wanted, keys):
+                twice = self._held(layer, table, likely, wanted, keys).select(*keys).limit(3).collect()
+                if twice:
+                    raise ConstraintError(f"{table}: {', '.join(keys)} not unique: {[tuple(r) for r in twice]}")
+            name, facts, written = self._add_ranged(layer, table, delta, keys)
+            if commits.put(state, add=written, facts={"ranges": [facts]}):
+                return
+            commits.delete(name)
+            commits.delete(facts)
+
+    def _held(self, layer: str, table: str, files: Sequence[str], wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Keys of the files that are wanted, with the file (folder and name) that each is in."""
+        file = F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -2, 2)).alias("_file")
+        held = self._of_files(layer, table, files).select(file, *keys)
+        return held.join(wanted, [held[k].eqNullSafe(wanted[k]) for k in keys], "left_semi")
+
+    def _add_ranged(self, layer: str, table: str, rows: DataFrame, keys: Sequence[str]) -> tuple[str, str, list[str]]:
+        """Writes rows in files by ranges of their keys, and the ranges beside them: both folders, and the files."""
+        name, written = self._add(layer, table, rows.repartitionByRange(*keys).sortWithinPartitions(*keys), UPSERT_ROWS)
+        facts, key, file = f"_r-{name}", F.struct(*keys), F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")
+        self._of_files(layer, table, written).groupBy(file).agg(F.min(key).alias("low"), F.max(key).alias("high")).write.parquet(f"{self.folder(layer, table)}/{facts}")
+        return name, facts, written
+
     def _in_range(self, layer: str, table: str, state: State, wanted: DataFrame, keys: Sequence[str]) -> list[str]:
         """The table's files in whose range of keys one of the wanted falls, and those without a known range."""
         tables = state.facts.get("ranges", [])

@@ -146,6 +146,24 @@ def test_upserts_equal_the_whole_form(tables):
     assert tables.upsert("raw", "t", keyed(spark, []), ["k", "n"]) == []
 
 
+def test_inserts_check_what_they_add_only(tables):
+    """The errors are those of a check of the whole table."""
+    spark, rng, there = tables.spark, np.random.default_rng(4), []
+    for turn in range(7):
+        delta = [(f"k{int(i)}", [None, 1][int(i) % 2], turn) for i in rng.integers(0, 40, 3 + turn % 3)]
+        whole = [r[:2] for r in there + delta]
+        if len(set(whole)) == len(whole):
+            tables.insert("raw", "t", keyed(spark, delta), ["k", "n"], ["v"])
+            there += delta
+        else:
+            with pytest.raises(ConstraintError):
+                tables.insert("raw", "t", keyed(spark, delta), ["k", "n"], ["v"])
+        if there:
+            assert sorted(map(repr, map(tuple, tables.read("raw", "t").collect()))) == sorted(map(repr, there))
+    with pytest.raises(ConstraintError, match="null in v"):
+        tables.insert("raw", "t", keyed(spark, [("new", 1, None)]), ["k", "n"], ["v"])
+
+
 def test_writers_at_once_upsert_all(tables):
     spark = tables.spark
     tables.upsert("raw", "t", keyed(spark, [(f"k{i}", 1, -1) for i in range(40)]), ["k", "n"])

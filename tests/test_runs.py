@@ -56,6 +56,19 @@ def test_what_reads_a_failed_table_is_skipped(spark, tables):
     assert {r.name: r.status for r in done} == {"a": "failed", "b": "succeeded", "c": "skipped", "d": "skipped"}
 
 
+def test_a_bad_cell_loses_its_row_only(spark, tables):
+    spark.createDataFrame([(1, "5", "2024-01-01"), (2, "x", "never"), (3, "", None), (4, "7.5", "2024-01-02T00:00:00Z")], "bronze_row_id long, q string, t string").write.parquet(tables.folder("x", "raw"))
+    plans = Registry()
+    build = lambda t: t["raw"].select("bronze_row_id", F.nullif("q", F.lit("")).cast("decimal(38,10)").alias("q"), F.col("t").cast("timestamp").alias("t"))
+    plans.register(Plan("p", "x", "p", "firm", "g", (("x", "raw"),), build, key=("bronze_row_id",), casts={"raw": {"q": "decimal(38,10)", "t": "timestamp"}}))
+    assert [(r.status, r.rows) for r in run_many(plans, tables)] == [("succeeded", 3)]
+    assert sorted(r.bronze_row_id for r in tables.read("x", "p").collect()) == [1, 3, 4]
+    listed = tables.read("rejected", "p").select("source", "bronze_row_id", "column", "value", "reason").collect()
+    assert sorted(map(tuple, listed)) == [("raw", 2, "q", "x", "no decimal(38,10)"), ("raw", 2, "t", "never", "no timestamp")]
+    spark.createDataFrame([(1, "5", "2024-01-01")], "bronze_row_id long, q string, t string").write.mode("overwrite").parquet(tables.folder("x", "raw"))
+    assert [r.status for r in run_many(plans, tables, reload=True)] == ["succeeded"] and tables.read("rejected", "p").count() == 0
+
+
 def test_numbers_stay(spark):
     rows = lambda *keys: spark.createDataFrame([(k, 1) for k in keys], "k string, v int")
     first = renumbered(rows("b", None, "d"), None, ["k"], "n")
