@@ -53,8 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each one's rows written to the shared folder and reread by the next; what went before is deleted."""
+    """The stages over documents, each one's rows written to the shared folder and reread by the next; what went before is deleted.
+
+    The result reads the last stage but one, whose folder goes when the driver ends.
+    """
     folder, old = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
+    whole = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(whole)
     docs = spread(table(spark, sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
