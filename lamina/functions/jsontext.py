@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 from typing import Any
+_compact = json.JSONEncoder(sort_keys=True, separators=(",", ":"), default=str).encode
+_sorted = json.JSONEncoder(sort_keys=True, default=str).encode
 
 
 def compact(value: Any) -> str:
     """JSON text with sorted keys and no spaces: equal content has equal text."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), default=str)
+    return _compact(value)
 
 
 def structure(value: Any) -> Any:
@@ -43,4 +45,4 @@ def text_of(value: Any) -> str | None:
 
 def content_hash(business: dict[str, str | None]) -> str:
     """SHA-256 over the business values by column, whatever their order; an absent value differs from a null one."""
-    return hashlib.sha256(json.dumps(business, sort_keys=True, default=str).encode()).hexdigest()
+    return hashlib.sha256(_sorted(business).encode()).hexdigest()

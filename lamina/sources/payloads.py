@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,34 +18,32 @@ PARSED = (
     "file string, position long, feed string, source_system string, source_api string, table string, raw_record_id string, missing array<string>, "
     "business map<string,string>, hash_key string, raw_payload string, error string"
 )
+#: Records, of any number of files, and characters of their payloads that are given to Spark at a time.
+BATCH_ROWS, BATCH_CHARS = 1000, 8 << 20
+_payload_text = json.JSONEncoder(default=str, ensure_ascii=False).encode
 
 
 class PayloadError(ValueError):
     """A file is no payload of a known feed."""
 
 
-def _lookup(record: dict, key: str):
-    """(there, value) under a key in any case; of several, the last."""
-    found = [v for k, v in record.items() if k.lower() == key.lower()]
-    return bool(found), found[-1] if found else None
+def _lowered(record: dict) -> dict:
+    """The record by its keys in lower case; of several that differ in case alone, the last."""
+    return {k.lower(): v for k, v in record.items()}
 
 
 def _blank(value) -> bool:
     return value is None or isinstance(value, str) and not value.strip()
 
 
-def _missing(record: dict, required: Sequence[str]) -> list[str]:
-    return [k for k in required if _blank(_lookup(record, k)[1])]
+@cache
+def _known(table: str) -> frozenset[str]:
+    return frozenset(k.lower() for k in BUSINESS.get(table, ()))
 
 
-def _id(record: dict, key: str) -> str:
-    value = _lookup(record, key)[1]
-    return "" if value is None else str(value)
-
-
-def _business(table: str, record: dict) -> dict[str, str | None]:
-    known = {k.lower() for k in BUSINESS.get(table, ())} or {k.lower() for k in record}
-    return {k.lower(): text_of(v) for k, v in record.items() if k.lower() in known}
+def _business(table: str, lowered: dict) -> dict[str, str | None]:
+    known = _known(table) or lowered
+    return {k: text_of(v) for k, v in lowered.items() if k in known}
 
 
 def parse(text: str, feeds: dict[str, Feed], system: str, api_prefix: str) -> Iterator[dict]:
@@ -69,21 +68,25 @@ def parse(text: str, feeds: dict[str, Feed], system: str, api_prefix: str) -> It
     }
     header = {k: payload[k] for k in feed.header if k in payload}
     for record in records(payload.get(feed.records_key)):
-        record = record | {k: v for k, v in header.items() if not _lookup(record, k)[0]}
-        rows = [(feed.table, record, feed.id_field, feed.required)]
+        lowered = _lowered(record)
+        if absent := {k: v for k, v in header.items() if k.lower() not in lowered}:
+            record = record | absent
+            lowered = _lowered(record)
+        rows = [(feed.table, record, lowered, feed.id_field, feed.required)]
         for child in feed.children:
-            taken = {k: v for k in child.inherit for there, v in [_lookup(record, k)] if there}
-            rows += [(child.table, taken | item, child.id_field, child.required) for item in records(_lookup(record, child.array_key)[1])]
-        for table, own, id_field, required in rows:
-            business = _business(table, own)
+            taken = {k: lowered[k.lower()] for k in child.inherit if k.lower() in lowered}
+            items = [taken | item for item in records(lowered.get(child.array_key.lower()))]
+            rows += [(child.table, item, _lowered(item), child.id_field, child.required) for item in items]
+        for table, own, lowered, id_field, required in rows:
+            business, number = _business(table, lowered), lowered.get(id_field.lower())
             yield shared | {
                 "position": position,
                 "table": table,
-                "raw_record_id": _id(own, id_field),
-                "missing": _missing(own, required),
+                "raw_record_id": "" if number is None else str(number),
+                "missing": [k for k in required if _blank(lowered.get(k.lower()))],
                 "business": list(business.items()),
                 "hash_key": content_hash(business),
-                "raw_payload": json.dumps(own, default=str, ensure_ascii=False),
+                "raw_payload": _payload_text(own),
             }
             position += 1
 
@@ -99,23 +102,25 @@ def read_payloads(spark: SparkSession, path: str, feeds: dict[str, Feed] | None
     return parse_files(files, feeds or FEEDS, system, api_prefix)
 
 
+def in_batches(batches: Iterator[pa.RecordBatch], feeds: dict[str, Feed], system: str, api_prefix: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """parse() of (file, value) rows. A batch holds the rows of many small files, or a part of those of a large one."""
+    rows, held = [], 0
+    for batch in batches:
+        for file, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row in parse(text, feeds, system, api_prefix):
+                rows.append({"file": file} | row)
+                held += len(row.get("raw_payload", ""))
+                if len(rows) == BATCH_ROWS or held >= BATCH_CHARS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, held = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
 def parse_files(files: DataFrame, feeds: dict[str, Feed], system: str = "", api_prefix: str = "source") -> DataFrame:
     """read_payloads() of (file, value) rows."""
     schema = to_arrow_schema(StructType.fromDDL(PARSED))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = []
-                for row in parse(text, feeds, system, api_prefix):
-                    rows.append({"file": file} | row)
-                    if len(rows) == 1000:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return files.mapInArrow(run, PARSED)
+    return files.mapInArrow(lambda batches: in_batches(batches, feeds, system, api_prefix, schema), PARSED)
 
 
 def require_valid(parsed: DataFrame) -> DataFrame:
