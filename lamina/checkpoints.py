@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +38,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """df computed once and kept as compressed columns beside the checkpoints, without its lineage, until the block ends: for wide rows of which most steps read little."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}")
+    try:
+        df.write.option("compression", "zstd").parquet(folder.toString())
+        yield spark.read.schema(df.schema).parquet(folder.toString())
+    finally:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """A cut table with a broadcast hint if it is counted to have few rows and bytes; a shuffle join serves it otherwise."""
     sizes = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]

@@ -13,15 +13,15 @@ from lamina.checkpoints import cut
 _IN_TASK = (1 << 33) - 1
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str, start: int = 1) -> DataFrame:
-    """df with numbers from start in the order, which should not tie.
+def numbered(df: DataFrame, order: Sequence[Column], name: str, start: int = 1, keep: Sequence[str] | None = None) -> DataFrame:
+    """df, or its columns of keep, with numbers from start in the order, which should not tie.
 
     Rows are dealt out by ranges of the order; each range's first number is the sum of the counts before it, a table of one
     row per range. The placed rows are checkpointed before they are counted, so a lost executor can't give a row another
     place than it was counted at.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = cut(ranged.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(_IN_TASK)))
+    placed = cut(ranged.select(*(df.columns if keep is None else keep), F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND(_IN_TASK).alias("_at")))
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_range", (F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
     return placed.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_at") + F.lit(start)).drop("_range", "_at", "_before")

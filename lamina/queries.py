@@ -653,8 +653,8 @@ def payload_files(spark: SparkSession, sf_dir: str, tables: Tables) -> str:
     )
     orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy(F.floor(F.col("o_orderkey") / 1000).alias("file")).agg(F.collect_list(record).alias("contracts"))
     payload = F.struct(F.lit("gTRAN_FIRM").alias("feedType"), F.lit("S").alias("sourceSystem"), F.lit("61").alias("TspDuns"), F.lit("T").alias("TspName"), "contracts")
-    orders.select("file", F.to_json(payload).alias("value")).write.partitionBy("file").text(f"{tables.root}/landing")
-    return f"{tables.root}/landing/*/*.txt"
+    orders.select("file", F.to_json(payload).alias("value")).write.partitionBy("file").option("compression", "gzip").text(f"{tables.root}/landing")
+    return f"{tables.root}/landing/*/*.txt.gz"
 
 
 @query("""

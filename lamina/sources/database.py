@@ -131,9 +131,9 @@ class Database:
             if c in columns:
                 self.run(f"ALTER TABLE {self.quoted(layer, table)} ADD CONSTRAINT {self.quoted(f'{table}_{c}_once')} UNIQUE ({self.quoted(c)})")
 
-    def append_new(self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], number: str = "bronze_row_id", hash_col: str = "hash_key", drop: Sequence[str] = ()) -> int:
+    def append_new(self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], number: str = "bronze_row_id", hash_col: str = "hash_key", drop: Sequence[str] = (), row: str | None = None) -> int:
         """Adds the rows of new content, of equal content the first in the order; how many. The database numbers them on from its greatest number."""
-        delta = numbered(distinct_content(rows, hash_col, order), order, number).drop(*drop)
+        delta = numbered(distinct_content(rows, hash_col, order), order, number).drop(*drop, *[row] if row else [])
         return self.append(layer, table, delta.select(number, *[c for c in delta.columns if c != number]), counted=number)
 
     def append(self, layer: str, table: str, df: DataFrame, batch: tuple[str, int] | None = None, counted: str | None = None) -> int:

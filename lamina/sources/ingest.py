@@ -11,6 +11,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.checkpoints import stored
 from lamina.operators.scope import MAPPING_SCHEMA
 from lamina.sources.database import Database, Layers
 from lamina.sources.export import export_raw
@@ -20,6 +21,8 @@ from lamina.sources.tables import Tables
 
 log = logging.getLogger(__name__)
 RAW = os.environ.get("BRONZE_SCHEMA", "bronze")
+#: A number of each record's own, once a run has stored what it parsed.
+ROW = "_row"
 
 
 @dataclass
@@ -55,7 +58,8 @@ def raw_rows(parsed: DataFrame, table: str, run_id: str) -> DataFrame:
         "source_file_name": F.col("file"), "ingestion_timestamp": now, "updated_ts": now, "ingestion_status": F.when(F.size("missing") > 0, "INVALID").otherwise("LOADED"), "raw_payload": F.col("raw_payload"),
     }
     business = [F.col("business").getItem(c).alias(c) for c in columns_of(table)]
-    return parsed.filter(F.col("table") == table).select("file", "position", *business, *[meta[n].cast(t).alias(n) for n, t in META])
+    own = [c for c in ("file", "position", ROW) if c in parsed.columns]
+    return parsed.filter(F.col("table") == table).select(*own, *business, *[meta[n].cast(t).alias(n) for n, t in META])
 
 
 def sink_for(kind: str, tables: Tables | Database | Layers | None = None):
@@ -81,12 +85,12 @@ def ingest(spark: SparkSession, path: str, tables: Tables, settings: Settings |
     """
     settings, run, began = settings or Settings(), Ingested(str(uuid.uuid4())), datetime.now(UTC)
     tables = sink_for(settings.sink, tables)
-    read = read_payloads(spark, path, feeds or FEEDS, settings.source_system, settings.api_prefix).persist()
-    try:
-        parsed = require_valid(read)
-    except Exception:
-        read.unpersist()
-        raise
+    read = read_payloads(spark, path, feeds or FEEDS, settings.source_system, settings.api_prefix)
+    with stored(read.withColumn(ROW, F.monotonically_increasing_id())) as kept:
+        return _ingested(require_valid(kept), tables, settings, run, began, export_dir, dry_run)
+
+
+def _ingested(parsed: DataFrame, tables: Tables, settings: Settings, run: Ingested, began: datetime, export_dir: str, dry_run: bool) -> Ingested:
     try:
         feed_of = count_rows(run, parsed)
         for table in [t for t in BUSINESS if t in feed_of]:
@@ -94,7 +98,7 @@ def ingest(spark: SparkSession, path: str, tables: Tables, settings: Settings |
             if dry_run:
                 log.info("%s: %d rows, the first: %s", table, rows.count(), rows.limit(1).collect())
                 continue
-            if exported := export_raw(rows.drop("position", "file"), table, feed_of[table], export_dir, run.run_id):
+            if exported := export_raw(rows.drop("position", "file", ROW), table, feed_of[table], export_dir, run.run_id):
                 run.exports.append(exported)
             run.rows_written += append_new(tables, settings.layer, table, rows)
     except Exception as e:
@@ -103,7 +107,6 @@ def ingest(spark: SparkSession, path: str, tables: Tables, settings: Settings |
     finally:
         if not dry_run:
             write_log(tables, settings, run, parsed, began)
-        read.unpersist()
     return run
 
 
@@ -122,7 +125,7 @@ def count_rows(run: Ingested, parsed: DataFrame) -> dict[str, str]:
 
 def append_new(tables: Tables | Database | Layers, layer: str, table: str, rows: DataFrame) -> int:
     """Appends rows (with file and position) of new content to a raw table; how many."""
-    return tables.append_new(layer, table, rows, [F.col("file").asc(), F.col("position").asc()], drop=("file", "position"))
+    return tables.append_new(layer, table, rows, [F.col("file").asc(), F.col("position").asc()], drop=("file", "position"), row=ROW if ROW in rows.columns else None)
 
 
 def write_log(tables: Tables, settings: Settings, run: Ingested, parsed: DataFrame, began: datetime, batch: tuple[str, int] | None = None) -> None:

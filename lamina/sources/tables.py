@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.checkpoints import SMALL_ROWS, cut
+from lamina.checkpoints import SMALL_ROWS, cut, stored
 from lamina.operators.checks import ConstraintError, require_not_null, require_unique
 from lamina.operators.ids import numbered
 from lamina.operators.latest import distinct_content
@@ -148,20 +148,28 @@ class Tables:
             held = set(filters.files_holding(kept, asked))
         return [f for f in state.files if f.split("/")[-1] in held or f.split("/")[-1] not in known]
 
-    def append_new(self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], number: str = "bronze_row_id", hash_col: str = "hash_key", drop: Sequence[str] = ()) -> int:
+    def append_new(
+        self, layer: str, table: str, rows: DataFrame, order: Sequence[Column], number: str = "bronze_row_id", hash_col: str = "hash_key", drop: Sequence[str] = (), row: str | None = None
+    ) -> int:
         """Adds the rows of new content, numbered from the table's greatest number on; how many.
 
         Of equal content the first row in the order counts; rows without a hash are all new. Filters of the files say which of them may hold one of the hashes; only these files'
         hashes are read. If another writer has committed meanwhile, what is new is found again after its rows, so two runs over the same
-        content add it once, and no number is given twice. drop: columns that only serve the order.
+        content add it once, and no number is given twice. drop: columns that only serve the order. row: a column, not written, with a number of each row's own that is the same however
+        often rows are computed; without it they are stored with one. So hashes, places and numbers are found without the other columns, which are
+        shuffled once, to the numbers.
         """
-        once, commits = cut(distinct_content(rows, hash_col, order)), self._growing(layer, table)
+        if row is None:
+            with stored(rows.withColumn("_row", F.monotonically_increasing_id())) as kept:
+                return self.append_new(layer, table, kept, order, number, hash_col, drop, "_row")
+        once, commits = cut(distinct_content(rows, hash_col, order).select(row, hash_col)), self._growing(layer, table)
         while True:
             state, there = commits.state(), self.exists(layer, table)
             files = self.may_hold(layer, table, state, once.filter(F.col(hash_col).isNotNull()).select(hash_col))
-            new = once.join(self._of_files(layer, table, files).select(hash_col), hash_col, "left_anti").select(*once.columns) if files else once
+            new = once.join(self._of_files(layer, table, files).select(hash_col), hash_col, "left_anti") if files else once
             top = state.top or (self.read(layer, table).agg(F.max(number)).first()[0] or 0 if state.files else 0)
-            delta = numbered(new, order, number, top + 1).drop(*drop)
+            numbers = numbered(rows.join(new.select(row), row, "left_semi"), order, number, top + 1, keep=[row])
+            delta = rows.join(numbers, row).drop(row, *drop)
             name, written = self._add(layer, table, delta.select(number, *[c for c in delta.columns if c != number]))
             n = self._of_files(layer, table, written).count()
             if not n and there:
