@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ UNKNOWN = 1 << 52
 KEPT, KEPT_LENGTH = 400_000, 48
 #: Bytes of text that are encoded at a time, or one longer text alone.
 CHUNK_BYTES = 8 << 20
+#: A word and what follows it in a piece: the split ends a word before an ASCII character that is no letter.
+PARTS = "(?s)^(?P<word>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)(?P<tail>[\\x00-@\\[-`{-\\x7f].*)$"
 #: What stands for a space in the vocabulary of a byte-level file.
 SPACE = "\u0120"
 
@@ -40,7 +43,8 @@ class Encoder:
 
     The file's split never joins characters on both sides of a single space, and begins a piece there. So a text is cut at single
     spaces between characters that are no white space, and the ids of a piece, with its space, are the same wherever it stands: the
-    library encodes each different piece once, many in a run, where a token with a space at its head begins each. Pieces that begin
+    library encodes each different piece once, many in a run, where a token with a space at its head begins each. Of a piece that is a
+    word and something else (PARTS) both are encoded apart, for the split ends the word there. Pieces that begin
     or end with anything but a letter, digit or ASCII sign go to the library together with their neighbours, and texts with a
     special token's string as a whole.
     """
@@ -56,6 +60,7 @@ class Encoder:
         self.begins[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}  # what was used before lately
+        self.tails: dict[str, bytes] = {"": b""}  # what follows words, without a space before it
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -84,12 +89,27 @@ class Encoder:
         known.update({p: old[p] for p in new if p in old})
         self.learn([p for p in new if p not in known and len(p) <= KEPT_LENGTH and (p.isalnum() or self.safe(p))])
 
+    def learn_tails(self, tails: list[str]) -> None:
+        """Has the ids of what follows words kept, but of what ends unsafely and of long ones."""
+        if len(self.tails) > KEPT:
+            self.tails = {"": b""}
+        new = [t for t in tails if t not in self.tails and len(t) <= KEPT_LENGTH and self.safe("a" + t)]
+        self.tails.update(zip(new, (x.tobytes() for x in self.whole(new))))
+
+    def kept(self, piece: str) -> bytes | None:
+        """The ids of a piece with a space before it, if they are kept."""
+        ids = self.known.get(piece)
+        if ids is None and (m := re.match(PARTS, piece)):
+            word, tail = self.known.get(m[1]), self.tails.get(m[2])
+            return None if word is None or tail is None else word + tail
+        return ids
+
     def pieced(self, texts: list[str]) -> list[bytes]:
         """Of each text without special tokens the ids, cut at safe spaces only."""
         out, late, spots, safe = [], [], [], self.safe
         for i, text in enumerate(texts):
             pieces = text.split(" ")
-            got, end, n = list(map(self.known.get, pieces)), 0, len(pieces)
+            got, end, n = list(map(self.kept, pieces)), 0, len(pieces)
             got[0] = None  # no space before it
             for at in [k for k, ids in enumerate(got) if ids is None]:
                 if at < end:
@@ -117,30 +137,41 @@ class Encoder:
             return []
         lists = pc.split_pattern(texts, " ")
         starts, flat = lists.offsets.to_numpy()[:-1].astype(np.int64), lists.flatten().dictionary_encode()
-        place, values = flat.indices.to_numpy(), flat.dictionary.to_pylist()
+        place, values = flat.indices.to_numpy(), flat.dictionary
         rest = np.ones(len(place), dtype=bool)
         rest[starts] = False  # the first piece of a text has no space before it
         spaced = np.zeros(len(values), dtype=bool)
         spaced[place[rest]] = True
-        self.learn_new([values[n] for n in np.flatnonzero(spaced).tolist()])
-        ids = list(map(self.known.get, values))
-        lost = [n for n, x in enumerate(ids) if x is None]
-        unkept, unsafe = np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=bool)
+        parts = pc.extract_regex(values, PARTS)
+        heads = pc.coalesce(pc.struct_field(parts, "word"), values).dictionary_encode()
+        ends = pc.struct_field(parts, "tail").fill_null("").dictionary_encode()
+        head, words, tail, tails = heads.indices.to_numpy(), heads.dictionary.to_pylist(), ends.indices.to_numpy(), ends.dictionary.to_pylist()
+        wanted = np.zeros(len(words), dtype=bool)
+        wanted[head[spaced]] = True
+        self.learn_new([words[n] for n in np.flatnonzero(wanted).tolist()])
+        self.learn_tails(tails)
+        word_ids, tail_ids = list(map(self.known.get, words)), list(map(self.tails.get, tails))
+        lost, loose = [n for n, x in enumerate(word_ids) if x is None], [n for n, x in enumerate(tail_ids) if x is None]
+        unkept, unsafe = (np.zeros((2, len(words)), dtype=bool))
         unkept[lost] = True
-        unsafe[[n for n in lost if not self.safe(values[n])]] = True
+        unsafe[[n for n in lost if not self.safe(words[n])]] = True
+        ended = np.ones(len(tails), dtype=bool)
+        ended[loose] = False
+        unkept, unsafe = unkept[head] | ~ended[tail], unsafe[head] | ~ended[tail]
         bad = unsafe[place] | (rest & unkept[place])
         single = np.logical_or.reduceat(bad, starts) if len(bad) else np.zeros(0, dtype=bool)
         special = np.zeros(len(texts), dtype=bool)
         for s in self.special:
             special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-        joined = pa.array(ids, pa.large_binary()).take(pa.array(place[rest]))
+        both = (pa.array(ids, pa.large_binary()).take(pa.array(at)) for ids, at in ((word_ids, head), (tail_ids, tail)))
+        joined = pc.binary_join_element_wise(*both, pa.scalar(b"", pa.large_binary())).take(pa.array(place[rest]))
         ends = np.concatenate(([0], np.cumsum(pc.binary_length(joined).fill_null(0).to_numpy())))
         data = joined.buffers()[2].to_pybytes() if int(ends[-1]) else b""
         begin = np.concatenate((starts, [len(place)])) - np.arange(len(texts) + 1)  # pieces with a space before each text
         cut = ends[begin].tolist()
         plain = np.flatnonzero(~single & ~special).tolist()
         out: list[bytes] = [b""] * len(texts)
-        for i, first in zip(plain, self.whole([values[place[starts[i]]] for i in plain])):
+        for i, first in zip(plain, self.whole(values.take(pa.array(place[starts[plain]])).to_pylist())):
             out[i] = first.tobytes() + data[cut[i] : cut[i + 1]]
         for chosen, make in ((single & ~special, self.pieced), (special, lambda some: [x.tobytes() for x in self.whole(some)])):
             spots = [i for i in np.flatnonzero(chosen).tolist() if texts[i].as_py()]

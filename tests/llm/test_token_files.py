@@ -68,6 +68,16 @@ def test_encoder_equals_the_library(texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in ENCODER.encode(pa.array(texts, pa.string()))] == [plain(t)[:-1] for t in texts]
 
 
+def test_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    once, met = token_files.Encoder(FILE), []
+    monkeypatch.setattr(once, "learn", lambda words, learn=once.learn: (met.extend(words), learn(words)))
+    tails = ["", ",", ".", "!?", "'s", "'t,", ".\nThen", "\n\nThen", "-1", "(2)", "1a", ".\u00e9", "\u0301a!", "\u03b1!", "\u2019s", "\n", ".\u00a0b!"]
+    texts = [f"a Stra\u00dfe{t} of stone{t} {t}" for t in tails] + ["a " + " ".join(f"Stra\u00dfe{t}" for t in tails) + " \u65e5\u672c, stone, of"]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() + [0] for x in once.encode(pa.array(texts))] == [plain(t) for t in texts]
+    assert met.count("Stra\u00dfe") == met.count("stone") == 1 and not {"Stra\u00dfe,", "stone.", "stone.\nThen"} & {*met}
+
+
 def test_encoder_forgets_and_goes_on(monkeypatch):
     monkeypatch.setattr(token_files, "KEPT", 3)
     small = token_files.Encoder(FILE)
