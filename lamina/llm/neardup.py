@@ -10,7 +10,10 @@ that either has, each counted as often as it occurs. Texts are linked only if th
    PPJoin, Xiao and others, 2008). Rare shingles come first, so texts of one template that differ in too many places never pair
    under the template's shingles. Texts of different components are verified there
    with those whose fingerprints are nearest, all of FEW or the NEAREST under each shingle, in rounds, until one joins hardly any.
-3. Then all pairs of different components that meet so, within NEAR_RADIUS bits, are verified. Nothing is capped: two texts are
+3. Then all pairs of different components that meet so, within NEAR_RADIUS bits, are verified. There each text brings a sketch: for
+   each of SKETCH classes of shingles whether it has an odd number of them. A shingle that one of two texts has alone changes one class, so
+   two sketches differ in no more classes than there are such shingles, and pairs that differ in too many for the similarity are left out
+   without their texts. Nothing is capped: two texts are
    linked if their fingerprints are within NEAR_RADIUS and the similarity is reached. The rounds only leave few components,
    for texts of one component are not compared again.
 """
@@ -30,7 +33,7 @@ from pyspark.sql import types as T
 from lamina.llm.components import components, keep_one
 from lamina.llm.decontaminate import SIMILARITY, WIDTH
 from lamina.llm.simhash import SEED, fingerprint, link_edges, shingle_hashes
-from lamina.llm.store import cut, small_or_not
+from lamina.llm.store import cut, shed, small_or_not
 from lamina.llm.words import id_type, map_texts, mix, release
 
 #: Texts whose shingles are counted for the order of shingles, and the most shingles that are told apart by their counts.
@@ -45,6 +48,10 @@ FEW, NEAREST, CHUNK = 8, 3, 4096
 PAIRS = 1 << 20
 #: Texts under one shingle that the exact pass compares in one group; more are divided into blocks, and each two blocks are a group.
 BLOCK_ROWS = 20_000
+#: Classes of shingles in a sketch, a power of two: of texts of fewer shingles than that nearly all pairs are told apart without their texts.
+SKETCH = 1024
+#: Pairs whose sketches are compared at a time.
+SKETCHES = 1 << 16
 #: A round that joins a smaller share of all that were joined is the last.
 GAIN = 0.02
 #: Bytes of bags up to which they are broadcast to the pairs that are verified.
@@ -80,6 +87,23 @@ def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity:
     return own[first], often[first]
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """For each class of a bag's hashes whether it has an odd number of them, as bits."""
+    odd = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def sketches_near(marks: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether bags i and j of n hashes can have the similarity by their sketches, given as rows of words: whether they differ in no more
+    classes than the bags may in hashes."""
+    spare = (1 - similarity) / (1 + similarity) * (n[i] + n[j]) + _SLACK
+    out = np.empty(len(i), dtype=bool)
+    for at in range(0, len(i), SKETCHES):
+        some = slice(at, at + SKETCHES)
+        out[some] = np.bitwise_count(marks[i[some]] ^ marks[j[some]]).sum(axis=1, dtype=np.int64) <= spare[some]
+    return out
+
+
 def common_shingles(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes in two or more texts of a sample, in order, and in how many."""
 
@@ -98,7 +122,7 @@ def common_shingles(docs: DataFrame, width: int, id_col: str, text_col: str) ->
 
 
 def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_key, bag long, fp long, n, prefix, heavy int) for every row; bag is equal for equal bags, n the shingles.
+    """(doc_id, text_key, bag long, fp long, n, prefix, heavy int, sketch) for every row; bag is equal for equal bags, n the shingles.
 
     The last `heavy` hashes of the prefix are in very many texts.
     """
@@ -117,11 +141,12 @@ def _prefixes(docs: DataFrame, similarity: float, width: int, id_col: str, text_
             found = [prefix(b, common, counts, similarity) for b in bags]
             firsts = pa.array([p.tobytes() for p, _ in found], pa.binary())
             heavy = np.array([(c >= max(2, HEAVY * SAMPLE)).sum() for _, c in found], dtype=np.int32)
-            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, names, prints)), sizes, firsts, heavy]
+            marks = pa.array([sketch(b).tobytes() for b in bags], pa.binary())
+            return [ids, *(pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, names, prints)), sizes, firsts, heavy, marks]
 
         return f
 
-    fields = [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("bag", T.LongType()), ("fp", T.LongType()), ("n", T.LongType()), ("prefix", T.BinaryType()), ("heavy", T.IntegerType())]
+    fields = [("doc_id", id_type(docs, id_col)), ("text_key", T.LongType()), ("bag", T.LongType()), ("fp", T.LongType()), ("n", T.LongType()), ("prefix", T.BinaryType()), ("heavy", T.IntegerType()), ("sketch", T.BinaryType())]
     return map_texts(docs, fields, make, id_col, text_col)
 
 
@@ -212,14 +237,15 @@ def _nearest(similarity: float):
 
 
 def _rest(similarity: float):
-    """All pairs of bags of different components under one hash within NEAR_RADIUS whose sizes allow the similarity.
+    """All pairs of bags of different components under one hash within NEAR_RADIUS whose sizes and sketches allow the similarity.
 
     Rows come ordered by hash and component; of each hash all are there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, comp, names, n, fp, place in _runs(batches, 1 << 62):
+        for token, comp, names, n, fp, place, marks in _runs(batches, 1 << 62):
             fp = fp.view(np.uint64)
+            marks = np.frombuffer(b"".join(marks), dtype=np.uint64).reshape(len(marks), -1)
             start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
             size = np.diff(np.append(start, len(token)))
             for s, c in zip(start.tolist(), size.tolist()):
@@ -232,8 +258,10 @@ def _rest(similarity: float):
                     for some in np.array_split(own, -(-len(own) * len(others) // PAIRS)):
                         low, high = np.minimum(n[some][:, None], n[others][None, :]), np.maximum(n[some][:, None], n[others][None, :])
                         i, j = np.nonzero((np.bitwise_count(fp[some][:, None] ^ fp[others][None, :]) <= NEAR_RADIUS) & (low >= similarity * high - _SLACK) & able(n, place, some[:, None], others[None, :], similarity))
-                        if len(i):
-                            x, y = some[i], others[j]
+                        i, j = some[i], others[j]
+                        fit = sketches_near(marks, n, i, j, similarity)
+                        if fit.any():
+                            x, y = i[fit], j[fit]
                             turn = names[x] < names[y]
                             x, y = np.where(turn, y, x), np.where(turn, x, y)
                             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (names[x], names[y], comp[x], comp[y])], names=["a", "b", "comp_a", "comp_b"])
@@ -288,6 +316,12 @@ def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return cut(moved.unionByName(alone))
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """Rows under a hash that texts of two components or more have."""
+    several = placed.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most").select("token")
+    return placed.join(small_or_not(cut(several)), "token", "left_semi")
+
+
 def _divided(placed: DataFrame) -> DataFrame:
     """Rows under a hash; those of very many rows in blocks, each two of which are a group of their own, under another hash."""
     parts = F.ceil(F.col("count") / (BLOCK_ROWS / 2)).cast("int").alias("parts")
@@ -308,17 +342,19 @@ def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: fl
     sizes = cut(distinct.join(live.select("bag").distinct(), "bag", "left_semi").select("bag", "n", "fp"))
     tested, merges, turn, last = None, 0, 0, False
     while True:
+        shed(docs.sparkSession)
         placed = live.join(small_or_not(cut(_components_of(sizes, roots))), "bag")
         if last:
-            ordered, meet = _divided(placed).repartition("token").sortWithinPartitions("token", "comp"), _rest(similarity)
+            placed = _divided(cut(_apart(placed))).join(distinct.select("bag", "sketch"), "bag")
+            ordered, meet = placed.repartition("token").sortWithinPartitions("token", "comp"), _rest(similarity)
         else:
             turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
             part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
             ordered, meet = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned"), _nearest(similarity)
-        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place").mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
+        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place", *(["sketch"] if last else [])).mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
         if tested is not None:
             pairs = pairs.join(small_or_not(tested), ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs, placed, ordered = cut(pairs), None, None
         links = cut(verified(docs, distinct, pairs.select("a", "b"), similarity, width, id_col, text_col).join(pairs, ["a", "b"]).select("comp_a", "comp_b").distinct())
         gained = links.count()
         roots = joined(roots, links) if gained else roots
@@ -332,7 +368,7 @@ def _grouped(docs: DataFrame, similarity: float, width: int, id_col: str, text_c
     """(doc_id, text_key, grp) for every row; grp is the same for all rows of a component."""
     prints = cut(_prefixes(docs, similarity, width, id_col, text_col))
     first = F.min(F.struct("doc_id", "text_key")).alias("first")
-    distinct = cut(prints.groupBy("bag").agg(first, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("heavy").alias("heavy")))
+    distinct = cut(prints.groupBy("bag").agg(first, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("heavy").alias("heavy"), F.first("sketch").alias("sketch")))
     roots = cut(components(verified(docs, distinct, fingerprint_pairs(distinct), similarity, width, id_col, text_col)))
     roots = grown(docs, distinct, roots, similarity, width, id_col, text_col)
     release()

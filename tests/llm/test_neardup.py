@@ -127,3 +127,26 @@ def test_blocks_of_a_crowded_shingle_hold_every_pair(spark, monkeypatch):
     assert max(len(g) for g in groups.values()) < 60
     met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
     assert met == {(a, b) for a in range(100) for b in range(a + 1, 100)}
+
+
+def test_sketches_leave_out_no_similar_pair():
+    bags = [neardup.bag(t) for t in texts_of_all_similarities()]
+    marks = np.stack([neardup.sketch(b).view(np.uint64) for b in bags])
+    n = np.array([len(b) for b in bags])
+    i, j = np.triu_indices(len(bags), 1)
+    near = neardup.sketches_near(marks, n, i, j, 0.8)
+    both = np.array([len(np.intersect1d(bags[a], bags[b])) for a, b in zip(i, j)])
+    alike = both / np.maximum(n[i] + n[j] - both, 1) >= 0.8
+    assert alike.sum() > 300 and near[alike].all()
+    assert near[(both < 0.5 * n[i]) & (n[i] > 50)].mean() < 0.01
+
+
+def test_exact_pass_writes_no_pairs_of_texts_that_share_half(spark):
+    """Fingerprints of texts that have half of their shingles in common are near, and each pair meets under dozens of them."""
+    rng, rows = np.random.default_rng(4), []
+    common = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    for name in range(40):
+        bag = np.sort(np.concatenate([common, rng.integers(0, 1 << 63, 160, dtype=np.uint64)]))
+        rows += [(token, name, name, len(bag), 7, 0, neardup.sketch(bag).tobytes()) for token in range(20)]
+    placed = spark.createDataFrame(rows, "token long, comp long, bag long, n long, fp long, place int, sketch binary").coalesce(1).sortWithinPartitions("token", "comp")
+    assert placed.mapInArrow(neardup._rest(0.8), "a long, b long, comp_a long, comp_b long").count() == 0
