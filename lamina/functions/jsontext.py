@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 from typing import Any
-_compact = json.JSONEncoder(sort_keys=True, separators=(",", ":"), default=str).encode
-_sorted = json.JSONEncoder(sort_keys=True, default=str).encode
+
+# values of parsed JSON hold no circles, so none are looked for
+_compact = json.JSONEncoder(sort_keys=True, separators=(",", ":"), default=str, check_circular=False).encode
+_sorted = json.JSONEncoder(sort_keys=True, default=str, check_circular=False).encode
 
 
 def compact(value: Any) -> str:
@@ -17,6 +19,8 @@ def compact(value: Any) -> str:
 def structure(value: Any) -> Any:
     """What a text delimited by braces or brackets holds, if it is JSON; every other value as it is."""
     if isinstance(value, str):
+        if value[:1].isalnum():  # as most are; neither a bracket nor white space before one
+            return value
         text = value.strip()
         if len(text) > 1 and text[0] + text[-1] in ("{}", "[]", "{]", "[}"):
             try:

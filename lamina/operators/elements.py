@@ -24,8 +24,8 @@ def elements(df: DataFrame, section: str, keys: Sequence[str], payload_col: str
     raw = F.get_json_object(payload_col, f"$.{section}")
     parsed = F.from_json(raw, "array<string>")
     if not lenient:  # a string value that looks like an array is no array
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(payload_col), f"$.{section}", "variant"))
-        parsed = F.when(kind.startswith("ARRAY"), parsed)
+        array = F.try_variant_get(F.try_parse_json(payload_col), f"$.{section}", "array<variant>")
+        parsed = F.when(array.isNotNull(), parsed)
     rows = df.select(*carry, F.explode(parsed).alias("element"))
     struct = T.StructType([T.StructField(k, T.StringType()) for k in keys])
     values = rows.withColumn("_v", F.from_json("element", struct))

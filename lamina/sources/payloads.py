@@ -20,7 +20,7 @@ PARSED = (
 )
 #: Records, of any number of files, and characters of their payloads that are given to Spark at a time.
 BATCH_ROWS, BATCH_CHARS = 1000, 8 << 20
-_payload_text = json.JSONEncoder(default=str, ensure_ascii=False).encode
+_payload_text = json.JSONEncoder(default=str, ensure_ascii=False, check_circular=False).encode
 
 
 class PayloadError(ValueError):
@@ -79,7 +79,8 @@ def parse(text: str, feeds: dict[str, Feed], system: str, api_prefix: str) -> It
             rows += [(child.table, item, _lowered(item), child.id_field, child.required) for item in items]
         for table, own, lowered, id_field, required in rows:
             business, number = _business(table, lowered), lowered.get(id_field.lower())
-            yield shared | {
+            yield {
+                **shared,
                 "position": position,
                 "table": table,
                 "raw_record_id": "" if number is None else str(number),
@@ -108,7 +109,8 @@ def in_batches(batches: Iterator[pa.RecordBatch], feeds: dict[str, Feed], system
     for batch in batches:
         for file, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for row in parse(text, feeds, system, api_prefix):
-                rows.append({"file": file} | row)
+                row["file"] = file
+                rows.append(row)
                 held += len(row.get("raw_payload", ""))
                 if len(rows) == BATCH_ROWS or held >= BATCH_CHARS:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
