@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -38,6 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shed(spark: SparkSession) -> None:
+    """Has Spark delete shuffle files and checkpoints of tables that nothing refers to; else they stay until the driver's heap happens to fill."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def stored(df: DataFrame) -> Iterator[DataFrame]:
     """df computed once and kept as compressed columns beside the checkpoints, without its lineage, until the block ends: for wide rows of which most steps read little."""

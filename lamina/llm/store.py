@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import gc
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.checkpoints import cut, shared_dir
+from lamina.checkpoints import cut, shared_dir, shed
 
 __all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "cut", "shared_dir", "shed", "small_or_not"]
 
@@ -16,12 +14,6 @@ __all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "cut", "shared_dir", "shed", "sm
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 
-def shed(spark: SparkSession) -> None:
-    """Has Spark delete shuffle files and checkpoints of tables that nothing refers to; else they stay until the driver's heap happens to fill."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _leaves(schema: T.StructType, above: str = "") -> list[tuple[str, T.DataType]]:
     """The plain columns of a schema, those in structs too."""
     out = []

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.checkpoints import shed
 from lamina.operators.checks import require_not_null, require_unique
 from lamina.operators.ids import renumbered
 from lamina.operators.quarantine import set_aside
@@ -132,11 +133,13 @@ def run_one(name: str, registry: Registry, tables: Tables, reload: bool = False,
         return done("failed", error=f"{type(e).__name__}: {e}")
 
 
-def run_many(registry: Registry, tables: Tables, names: Iterable[str] | None = None, reload: bool = False, to: Export | None = None, at_once: int = AT_ONCE) -> list[Result]:
+def run_many(registry: Registry, tables: Tables, names: Iterable[str] | None = None, reload: bool = False, to: Export | None = None, at_once: int = AT_ONCE, kept: Iterable[str] | None = None) -> list[Result]:
     """Builds the tables, each as soon as those that it reads are there, at most at_once at a time; the results are in order.
 
     Tables that read one that failed in this run are skipped. Each table's jobs are in a scheduler pool of its own, so that with fair
     scheduling a small table doesn't wait for a large one. A run that was lost goes on with what it had not published.
+    kept: the tables that stay, by their plans' names, where the others only serve them: each of those goes once all that read it are built. All stay
+    without it, and those that a failed or skipped one reads.
     """
     order = ordered(registry, registry if names is None else names)
     maker = {(registry[n].layer, registry[n].table): n for n in order}
@@ -144,6 +147,7 @@ def run_many(registry: Registry, tables: Tables, names: Iterable[str] | None = N
     waits = {n: {maker[t] for t in reads[n] if t in maker} - {n} for n in order}
     results: dict[str, Result] = {}
     failed, waiting, going = set(), list(order), {}
+    passing = {} if kept is None else {t: [r for r in order if t in reads[r]] for t, n in maker.items() if n not in set(kept)}
 
     def build(name: str) -> Result:
         tables.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
@@ -163,6 +167,10 @@ def run_many(registry: Registry, tables: Tables, names: Iterable[str] | None = N
                 results[name] = done.result()
                 if results[name].status == "failed":
                     failed.add((registry[name].layer, registry[name].table))
+                for t in [t for t, readers in passing.items() if readers and all(r in results and results[r].status == "succeeded" for r in readers)]:
+                    tables.drop(*t)
+                    del passing[t]
+            shed(tables.spark)  # shuffle files of what was built, which a large heap would keep until the end
     return [results[n] for n in order]
 
 

@@ -680,8 +680,11 @@ def final_core_of_run(spark, sf_dir):
     """From files on disk through ingestion and the runner to the published final table."""
     tables = Scratch(spark)
     ingest(spark, payload_files(spark, sf_dir, tables), tables, Settings(sink="parquet", layer=RAW))
-    registry = default_registry()
-    done = run_many(registry, tables, ["silver_firm_core_dedup", "silver_firm_core_amended", "silver_firm_core", "silver_firm_core_master_capacity", "silver_final_core_master_capacity"])
+    tables.drop("landing", "")
+    registry, names = default_registry(), ["silver_firm_core_dedup", "silver_firm_core_amended", "silver_firm_core", "silver_firm_core_master_capacity", "silver_final_core_master_capacity"]
+    done = run_many(registry, tables, names[:1])
+    tables.drop(RAW, "gtran_firm")  # its rows are in the table without copies now
+    done += run_many(registry, tables, names[1:], kept=names[-1:])
     if bad := [r for r in done if r.status != "succeeded"]:
         raise RuntimeError(f"{bad[0].name}: {bad[0].error}")
     plan = registry["silver_final_core_master_capacity"]
