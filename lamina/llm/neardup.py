@@ -16,6 +16,11 @@ that either has, each counted as often as it occurs. Texts are linked only if th
    without their texts. Nothing is capped: two texts are
    linked if their fingerprints are within NEAR_RADIUS and the similarity is reached. The rounds only leave few components,
    for texts of one component are not compared again.
+
+A similar pair meets under nearly all of its prefixes' shingles, but once is enough. Of shingles that the same texts have, the first in the
+order alone is kept: all their pairs meet there, with the least places. And each text brings the BEFORE shingles that its prefix has before
+this one: two texts that share one of them meet under that, too, and are no pair here. The first shingle that two texts share is never
+left out by either rule, so each pair is still written there.
 """
 
 from __future__ import annotations
@@ -48,6 +53,10 @@ FEW, NEAREST, CHUNK = 8, 3, 4096
 PAIRS = 1 << 20
 #: Texts under one shingle that the exact pass compares in one group; more are divided into blocks, and each two blocks are a group.
 BLOCK_ROWS = 20_000
+#: Shingles before its own that each row under a shingle brings.
+BEFORE = 4
+#: Rows under one shingle up to which its texts are compared with those of other shingles.
+WHOLE = 1 << 20
 #: Classes of shingles in a sketch, a power of two: of texts of fewer shingles than that nearly all pairs are told apart without their texts.
 SKETCH = 1024
 #: Pairs whose sketches are compared at a time.
@@ -156,6 +165,20 @@ def able(n: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray, similar
     return np.minimum(n[i] - place[i], n[j] - place[j]) >= needed
 
 
+def earlier(before: list[np.ndarray], rows: int) -> np.ndarray:
+    """For each row the hashes that its prefix has before the row's, the nearest first. before: their bytes, the nearest last, or nothing."""
+    return np.frombuffer(b"".join(before[0]), dtype=np.int64).reshape(rows, BEFORE)[:, ::-1] if before else np.zeros((rows, 0), np.int64)
+
+
+def met(known: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j under one hash share one of the hashes known to be before it; at place k a prefix has only k of them."""
+    out = np.zeros(len(i), dtype=bool)
+    for a in range(known.shape[1]):
+        for b in range(known.shape[1]):
+            out |= (known[i, a] == known[j, b]) & (place[i] > a) & (place[j] > b)
+    return out
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each bag under every hash of its prefix, with its place there, and whether very many texts have the hash."""
     for batch in batches:
@@ -191,12 +214,26 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.nda
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of hashes that two bags or more have; rows come ordered by hash."""
-    for token, bags, place in _runs(batches, 1 << 20):
-        again = np.concatenate(([False], token[1:] == token[:-1], [False]))
-        keep = again[1:] | again[:-1] | (len(token) >= 1 << 20)  # the last of a divided run may stand alone
+    """Rows of hashes that two bags or more have, with two numbers that are equal for hashes of the same bags, and the sum of the hash's
+    places: of such hashes it is least for the first. Rows come ordered by hash; hashes of divided runs get numbers of their own."""
+    divided = None
+    for token, bags, place in _runs(batches, WHOLE):
+        start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
+        size = np.diff(np.append(start, len(token)))
+        alone = (token[start] == divided) | (len(token) >= WHOLE)
+        divided = token[-1] if len(token) >= WHOLE else None
+        names, own = bags.view(np.uint64), token[start].view(np.uint64)
+        same = [np.where(alone, mix(own, tag), np.bitwise_xor.reduceat(mix(names, tag), start)).view(np.int64) for tag in (1, 2)]
+        rest = [np.repeat(x, size) for x in (*same, np.add.reduceat(place.astype(np.int64), start))]
+        keep = np.repeat((size > 1) | alone, size)
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(bags[keep]), pa.array(place[keep])], names=["token", "bag", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, bags, place, *rest)], names=["token", "bag", "place", "same", "also", "places"])
+
+
+def _first_of_same(shared: DataFrame) -> DataFrame:
+    """Rows of _shared without those of hashes whose bags are those of an earlier hash."""
+    first = shared.groupBy("same", "also").agg(F.min(F.struct("places", "token")).alias("first")).select("first.token").distinct()
+    return shared.join(small_or_not(cut(first)), "token", "left_semi").drop("same", "also", "places")
 
 
 def _nearest(similarity: float):
@@ -204,8 +241,8 @@ def _nearest(similarity: float):
     fingerprints. Rows come ordered by hash and a turned fingerprint, so that long runs are divided among alike ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, comp, names, n, fp, place in _runs(batches, 16 * CHUNK):
-            fp, pairs = fp.view(np.uint64), []
+        for token, comp, names, n, fp, place, *before in _runs(batches, 16 * CHUNK):
+            fp, pairs, known = fp.view(np.uint64), [], earlier(before, len(token))
             start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
             size = np.diff(np.append(start, len(token)))
             left, apart = np.flatnonzero(np.repeat(size <= FEW, size)), 1
@@ -227,6 +264,8 @@ def _nearest(similarity: float):
             i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, np.int64),) * 2
             fit = (comp[i] != comp[j]) & able(n, place, i, j, similarity) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - _SLACK) & (np.bitwise_count(fp[i] ^ fp[j]) <= NEAR_RADIUS)
             i, j = i[fit], j[fit]
+            new = ~met(known, place, i, j)
+            i, j = i[new], j[new]
             if len(i):
                 turn = names[i] < names[j]
                 i, j = np.where(turn, j, i), np.where(turn, i, j)
@@ -243,8 +282,8 @@ def _rest(similarity: float):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, comp, names, n, fp, place, marks in _runs(batches, 1 << 62):
-            fp = fp.view(np.uint64)
+        for token, comp, names, n, fp, place, marks, *before in _runs(batches, 1 << 62):
+            fp, known = fp.view(np.uint64), earlier(before, len(token))
             marks = np.frombuffer(b"".join(marks), dtype=np.uint64).reshape(len(marks), -1)
             start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
             size = np.diff(np.append(start, len(token)))
@@ -259,6 +298,8 @@ def _rest(similarity: float):
                         low, high = np.minimum(n[some][:, None], n[others][None, :]), np.maximum(n[some][:, None], n[others][None, :])
                         i, j = np.nonzero((np.bitwise_count(fp[some][:, None] ^ fp[others][None, :]) <= NEAR_RADIUS) & (low >= similarity * high - _SLACK) & able(n, place, some[:, None], others[None, :], similarity))
                         i, j = some[i], others[j]
+                        new = ~met(known, place, i, j)
+                        i, j = i[new], j[new]
                         fit = sketches_near(marks, n, i, j, similarity)
                         if fit.any():
                             x, y = i[fit], j[fit]
@@ -337,8 +378,10 @@ def _divided(placed: DataFrame) -> DataFrame:
 def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: float, width: int, id_col: str, text_col: str) -> DataFrame:
     """(node, root) after rounds of verified pairs of different components under the hashes of their prefixes."""
     posted = distinct.select("bag", "prefix", "heavy").mapInArrow(_postings, "token long, bag long, place int, heavy boolean")
-    light = posted.filter("NOT heavy").select("token", "bag", "place").repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, bag long, place int")
-    live = cut(light.withColumn("heavy", F.lit(False)).unionByName(posted.filter("heavy")))
+    light = posted.filter("NOT heavy").select("token", "bag", "place").repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, bag long, place int, same long, also long, places long")
+    live = _first_of_same(cut(light)).withColumn("heavy", F.lit(False)).unionByName(posted.filter("heavy"))
+    before = F.expr(f"lpad(substring(prefix, greatest(8 * (place - {BEFORE}), 0) + 1, 8 * least(place, {BEFORE})), {8 * BEFORE})").alias("before")
+    live = cut(live.join(distinct.select("bag", "prefix"), "bag").select("token", "bag", "place", "heavy", before))
     sizes = cut(distinct.join(live.select("bag").distinct(), "bag", "left_semi").select("bag", "n", "fp"))
     tested, merges, turn, last = None, 0, 0, False
     while True:
@@ -351,7 +394,7 @@ def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: fl
             turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
             part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
             ordered, meet = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned"), _nearest(similarity)
-        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place", *(["sketch"] if last else [])).mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
+        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place", *(["sketch"] if last else []), "before").mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
         if tested is not None:
             pairs = pairs.join(small_or_not(tested), ["a", "b"], "left_anti")
         pairs, placed, ordered = cut(pairs), None, None

@@ -150,3 +150,72 @@ def test_exact_pass_writes_no_pairs_of_texts_that_share_half(spark):
         rows += [(token, name, name, len(bag), 7, 0, neardup.sketch(bag).tobytes()) for token in range(20)]
     placed = spark.createDataFrame(rows, "token long, comp long, bag long, n long, fp long, place int, sketch binary").coalesce(1).sortWithinPartitions("token", "comp")
     assert placed.mapInArrow(neardup._rest(0.8), "a long, b long, comp_a long, comp_b long").count() == 0
+
+
+def test_near_copies_are_written_about_once(spark, monkeypatch):
+    """Pairs of alike texts meet under dozens of shingles of their prefixes; few of the rows that leave the tasks are repeated."""
+    written, distinct = spark.sparkContext.accumulator(0), []
+    verified = neardup.verified
+
+    def counted(make):
+        def made(similarity):
+            run = make(similarity)
+
+            def each(batches):
+                for batch in run(batches):
+                    written.add(batch.num_rows)
+                    yield batch
+
+            return each
+
+        return made
+
+    def told(docs, bags, pairs, *rest):
+        distinct.append(pairs.count())
+        return verified(docs, bags, pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_nearest", counted(neardup._nearest))
+    monkeypatch.setattr(neardup, "_rest", counted(neardup._rest))
+    monkeypatch.setattr(neardup, "verified", told)
+    rng, texts = random.Random(8), []
+    for group in (2, 3, 5, 7) * 4:
+        texts += near_copies(rng, 300, group, 0.06)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in neardup.keep_first(docs).collect()) == expected(texts)
+    assert len(distinct) > 2 and written.value < 4 * sum(distinct[1:])  # the first are pairs of fingerprints
+
+
+def test_texts_meet_under_the_first_shingle_that_they_share(spark):
+    """The rules that leave pairs out under a shingle never do so under the first that both have."""
+    rng = random.Random(2)
+    bags = {name: sorted(rng.sample(range(60), 20)) for name in range(30)}
+    rows = [(token, name, place) for name, own in bags.items() for place, token in enumerate(own)]
+    shared = spark.createDataFrame(rows, "token long, bag long, place int").coalesce(1).sortWithinPartitions("token").mapInArrow(neardup._shared, "token long, bag long, place int, same long, also long, places long")
+    kept = [(r.token, r.bag) for r in neardup._first_of_same(shared).collect()]
+    assert {r[:2] for r in rows if sum(r[0] in own for own in bags.values()) > 1} == set(kept)  # no two shingles have the same texts
+    for token in range(60):
+        own = [r for r in rows if r[0] == token]
+        places = np.array([r[2] for r in own])
+        before = np.array([np.array([0] * 4 + bags[name][:place], dtype=np.int64)[-4:].tobytes() for _, name, place in own], dtype=object)
+        known = neardup.earlier([before], len(own))
+        i, j = np.triu_indices(len(own), 1)
+        for a, b, out in zip(i, j, neardup.met(known, places, i, j)):
+            x, y = (bags[own[k][1]] for k in (a, b))
+            assert out == bool({*x[: places[a]][-4:]} & {*y[: places[b]][-4:]})
+            assert not (out and min({*x} & {*y}) == token)
+
+
+def test_of_shingles_of_the_same_texts_the_first_stays(spark):
+    rows = [(9, 1, 0), (9, 2, 1), (4, 1, 1), (4, 2, 3), (5, 1, 2), (5, 3, 0), (6, 1, 3), (6, 2, 4), (6, 3, 1), (7, 3, 2)]
+    shared = spark.createDataFrame(rows, "token long, bag long, place int").coalesce(1).sortWithinPartitions("token").mapInArrow(neardup._shared, "token long, bag long, place int, same long, also long, places long")
+    assert sorted(map(tuple, neardup._first_of_same(shared).collect())) == [(5, 1, 2), (5, 3, 0), (6, 1, 3), (6, 2, 4), (6, 3, 1), (9, 1, 0), (9, 2, 1)]
+
+
+def test_shingles_of_divided_runs_all_stay(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "WHOLE", 4)
+    batches = [[(1, b, 0) for b in range(5)], [(1, 5, 0), (2, 0, 1), (2, 1, 1)], [(3, 0, 2), (3, 1, 2)], [(4, 7, 3)]]
+    arrow = [neardup.pa.RecordBatch.from_arrays([neardup.pa.array(np.array(c)) for c in zip(*b)], names=["token", "bag", "place"]) for b in batches]
+    rows = [tuple(r.values()) for b in neardup._shared(iter(arrow)) for r in b.to_pylist()]
+    assert sorted(r[:2] for r in rows) == [(1, b) for b in range(6)] + [(2, 0), (2, 1), (3, 0), (3, 1)]
+    same = {t: {r[3:5] for r in rows if r[0] == t} for t in (1, 2, 3)}
+    assert len(same[1]) == 1 and same[2] == same[3] and same[1] != same[2]
