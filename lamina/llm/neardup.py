@@ -18,9 +18,10 @@ that either has, each counted as often as it occurs. Texts are linked only if th
    for texts of one component are not compared again.
 
 A similar pair meets under nearly all of its prefixes' shingles, but once is enough. Of shingles that the same texts have, the first in the
-order alone is kept: all their pairs meet there, with the least places. And each text brings the BEFORE shingles that its prefix has before
-this one: two texts that share one of them meet under that, too, and are no pair here. The first shingle that two texts share is never
-left out by either rule, so each pair is still written there.
+order alone is kept: all their pairs meet there, with the least places. In the exact pass each text also brings the BEFORE shingles that its
+prefix has before this one: two texts that share one of them meet under that, too, and are no pair here. The first shingle that two texts
+share is never left out by either rule, so each pair is still written there. In the rounds, where under a shingle of many texts only the nearest
+meet, the second rule would leave pairs to later rounds.
 """
 
 from __future__ import annotations
@@ -241,8 +242,8 @@ def _nearest(similarity: float):
     fingerprints. Rows come ordered by hash and a turned fingerprint, so that long runs are divided among alike ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, comp, names, n, fp, place, *before in _runs(batches, 16 * CHUNK):
-            fp, pairs, known = fp.view(np.uint64), [], earlier(before, len(token))
+        for token, comp, names, n, fp, place in _runs(batches, 16 * CHUNK):
+            fp, pairs = fp.view(np.uint64), []
             start = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
             size = np.diff(np.append(start, len(token)))
             left, apart = np.flatnonzero(np.repeat(size <= FEW, size)), 1
@@ -264,8 +265,6 @@ def _nearest(similarity: float):
             i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, np.int64),) * 2
             fit = (comp[i] != comp[j]) & able(n, place, i, j, similarity) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - _SLACK) & (np.bitwise_count(fp[i] ^ fp[j]) <= NEAR_RADIUS)
             i, j = i[fit], j[fit]
-            new = ~met(known, place, i, j)
-            i, j = i[new], j[new]
             if len(i):
                 turn = names[i] < names[j]
                 i, j = np.where(turn, j, i), np.where(turn, i, j)
@@ -394,7 +393,7 @@ def grown(docs: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: fl
             turned = F.expr(f"shiftleft(fp, {8 * turn % 64}) | shiftrightunsigned(fp, {64 - 8 * turn % 64})") if turn % 8 else F.col("fp")
             part = F.when(F.col("heavy"), F.shiftrightunsigned(turned, 54)).otherwise(0)
             ordered, meet = placed.withColumn("turned", turned).repartition("token", part).sortWithinPartitions("token", "turned"), _nearest(similarity)
-        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place", *(["sketch"] if last else []), "before").mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
+        pairs = ordered.select("token", "comp", "bag", "n", "fp", "place", *(["sketch", "before"] if last else [])).mapInArrow(meet, "a long, b long, comp_a long, comp_b long").distinct()
         if tested is not None:
             pairs = pairs.join(small_or_not(tested), ["a", "b"], "left_anti")
         pairs, placed, ordered = cut(pairs), None, None
