@@ -57,9 +57,12 @@ def raw_rows(parsed: DataFrame, table: str, run_id: str) -> DataFrame:
         "raw_record_id": F.col("raw_record_id"), "hash_key": F.col("hash_key"), "pipeline_run_id": F.lit(run_id), "source_system": F.col("source_system"), "source_api": F.col("source_api"),
         "source_file_name": F.col("file"), "ingestion_timestamp": now, "updated_ts": now, "ingestion_status": F.when(F.size("missing") > 0, "INVALID").otherwise("LOADED"), "raw_payload": F.col("raw_payload"),
     }
-    business = [F.col("business").getItem(c).alias(c) for c in columns_of(table)]
+    names = columns_of(table)
+    # one loop over the names: as many single look-ups make a method that the JVM never compiles
+    values = F.transform(F.array(*map(F.lit, names)), lambda name: F.element_at("business", name)).alias("_values")
     own = [c for c in ("file", "position", ROW) if c in parsed.columns]
-    return parsed.filter(F.col("table") == table).select(*own, *business, *[meta[n].cast(t).alias(n) for n, t in META])
+    rows = parsed.filter(F.col("table") == table).select("*", values)
+    return rows.select(*own, *[F.get("_values", F.lit(i)).alias(c) for i, c in enumerate(names)], *[meta[n].cast(t).alias(n) for n, t in META])
 
 
 def sink_for(kind: str, tables: Tables | Database | Layers | None = None):
